@@ -82,7 +82,8 @@ def _assemble(slices: DataFrame, keys: Sequence[str], block: int, remainder: str
 def pack(df: DataFrame, block: int = 256, mode: str = "global", remainder: str = "reference",
          group: Sequence[str] = ("source",), order: Sequence[str] = ("doc_id",),
          ids_col: str = "input_ids", workers: int = 8, batch_rows: int = 1000,
-         pad_id: int = 0, bucket_rows: int = DEFAULT_BUCKET_ROWS) -> DataFrame:
+         pad_id: int = 0, bucket_rows: int = DEFAULT_BUCKET_ROWS,
+         bucket: Sequence | None = None) -> DataFrame:
     """Pack token lists into blocks. Output: group columns, ``block_id``,
     ``input_ids``, ``attention_mask``, ``labels`` (labels copy the ids, F10).
 
@@ -94,13 +95,13 @@ def pack(df: DataFrame, block: int = 256, mode: str = "global", remainder: str =
     base = df.select(*group, *order, ids_col)
     if mode == "global":
         idx = dense_index(base, order=order, group=group, size=F.size(ids_col),
-                          bucket_rows=bucket_rows, offset_col="_off")
+                          bucket=bucket, bucket_rows=bucket_rows, offset_col="_off")
         out = _assemble(_slices(idx, group, block, ids_col), group, block, remainder, pad_id)
         return out.withColumnRenamed("_b", "block_id")
     if mode != "batch":
         raise ValueError("mode must be 'global' or 'batch'")
 
-    idx = dense_index(base, order=order, group=group, bucket_rows=bucket_rows,
+    idx = dense_index(base, order=order, group=group, bucket=bucket, bucket_rows=bucket_rows,
                       idx_col="_i", group_rows_col="_n")
     i, n = F.col("_i"), F.col("_n")
     w = F.least(F.lit(workers), n)

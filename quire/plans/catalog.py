@@ -76,3 +76,114 @@ QUERIES = {
     "pack_global": q_pack_global,
     "pack_accounting": q_pack_accounting,
 }
+
+
+# --- section 2.4: packing variants, dataset operations ------------------------
+
+from quire.operators import dataset as ds  # noqa: E402
+
+SPLIT_FRAC = 0.05
+CAP_ROWS = 100
+MIX_WEIGHTS = {"other": 3, "en": 4}
+BATCH = 12
+ACCUM = 8
+SHARDS = 3
+
+
+def line_tokens(spark, sf_dir) -> DataFrame:
+    return tokenise_codepoint(doc_lines(spark, sf_dir))
+
+
+def q_pack_batch(spark, sf_dir):
+    b = pack(line_tokens(spark, sf_dir), block=BLOCK, mode="batch", order=["doc_id", "pos"],
+             bucket=[F.floor(F.col("doc_id") / LINE_BUCKET_DOCS)], workers=8, batch_rows=1000)
+    return b.select("source", "block_id", F.size("input_ids").cast("long").alias("n_tokens"),
+                    ids_text().alias("ids"))
+
+
+def q_pack_pad(spark, sf_dir):
+    b = cp_blocks(spark, sf_dir, remainder="pad")
+    return b.select("source", "block_id",
+                    F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x).cast("long").alias("n_real"),
+                    ids_text().alias("ids"), ids_text("labels").alias("labels"))
+
+
+def q_concat_sources(spark, sf_dir):
+    docs = documents(spark, sf_dir, "lang", "source", "doc_id", "text")
+    langs = sorted(r["lang"] for r in docs.select("lang").distinct().collect())
+    parts = [(lang, pack(tokenise_codepoint(docs.where(F.col("lang") == lang).drop("lang")), block=BLOCK))
+             for lang in langs]
+    out = ds.concat_sources(parts, order=["source", "block_id"])
+    return out.select("part", "source", "block_id", "row_idx",
+                      F.size("input_ids").cast("long").alias("n_tokens"))
+
+
+def split_blocks(spark, sf_dir) -> DataFrame:
+    b = cp_blocks(spark, sf_dir).select("source", "block_id", "input_ids")
+    return ds.split_exact(b, SPLIT_FRAC, SEED, ["source", "block_id"])
+
+
+def q_split_test(spark, sf_dir):
+    return split_blocks(spark, sf_dir).where("split = 'test'").select("source", "block_id")
+
+
+def q_split_train(spark, sf_dir):
+    return split_blocks(spark, sf_dir).where("split = 'train'").select("source", "block_id")
+
+
+def q_cap_rows(spark, sf_dir):
+    train = split_blocks(spark, sf_dir).where("split = 'train'").select("source", "block_id")
+    return ds.cap(train, CAP_ROWS, SEED, ["source", "block_id"])
+
+
+def mix_input(spark, sf_dir):
+    d = documents(spark, sf_dir, "doc_id", "lang", "n_chars")
+    return d.withColumn("grp", F.when(F.col("lang") == "en", F.lit("en")).otherwise(F.lit("other")))
+
+
+def q_mix_rows(spark, sf_dir):
+    return ds.mix(mix_input(spark, sf_dir), "grp", MIX_WEIGHTS, SEED, ["doc_id"]).select("doc_id", "grp")
+
+
+def q_mix_tokens(spark, sf_dir):
+    return ds.mix(mix_input(spark, sf_dir), "grp", MIX_WEIGHTS, SEED, ["doc_id"], unit="tokens",
+                  size="n_chars").select("doc_id", "grp")
+
+
+def _batch_view(b: DataFrame) -> DataFrame:
+    joined = F.array_join(F.transform("input_ids", lambda a: F.array_join(a, ",")), ";")
+    return b.select("batch_id", "rows", "ragged", joined.alias("ids"))
+
+
+def q_batch_rows(spark, sf_dir):
+    return _batch_view(ds.batch(cp_blocks(spark, sf_dir), BATCH, ["source", "block_id"]))
+
+
+def q_batch_ragged(spark, sf_dir):
+    blocks = cp_blocks(spark, sf_dir, remainder="keep")
+    return _batch_view(ds.batch(blocks, BATCH, ["source", "block_id"], ragged="first"))
+
+
+def q_step_report(spark, sf_dir):
+    return ds.step_report(cp_blocks(spark, sf_dir), BATCH, ACCUM, BLOCK)
+
+
+def q_export_shards(spark, sf_dir):
+    e = table(spark, sf_dir, "embeddings").select("vec_id")
+    return ds.export_shards(e, SHARDS, ["vec_id"]).select("vec_id", "shard")
+
+
+QUERIES.update({
+    "pack_batch": q_pack_batch,
+    "pack_pad": q_pack_pad,
+    "concat_sources": q_concat_sources,
+    "split_test": q_split_test,
+    "split_train": q_split_train,
+    "cap_rows": q_cap_rows,
+    "mix_rows": q_mix_rows,
+    "mix_tokens": q_mix_tokens,
+    "batch_rows": q_batch_rows,
+    "batch_ragged": q_batch_ragged,
+    "step_report": q_step_report,
+    "export_shards": q_export_shards,
+})

@@ -19,23 +19,29 @@ CP_TOKS = f"""toks AS (
   FROM documents)"""
 
 
-def pack_ctes(src: str = "toks", block: int = BLOCK, keep: str = "reference") -> str:
+def pack_ctes(src: str = "toks", block: int = BLOCK, keep: str = "reference",
+              keys: str = "source", order: str = "doc_id") -> str:
     cond = {"reference": f"n = {block} OR block_id = 0", "drop": f"n = {block}", "keep": "TRUE"}[keep]
     return f"""offs AS (
-  SELECT source, doc_id, ids,
-         CAST(coalesce(sum(len(ids)) OVER (PARTITION BY source ORDER BY doc_id
+  SELECT {keys}, {order}, ids,
+         CAST(coalesce(sum(len(ids)) OVER (PARTITION BY {keys} ORDER BY {order}
               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS off
   FROM {src}),
 flat AS (
-  SELECT source, off + pos AS g, tok FROM (
-    SELECT source, off, unnest(range(len(ids))) AS pos, unnest(ids) AS tok FROM offs)),
+  SELECT {keys}, off + pos AS g, tok FROM (
+    SELECT {keys}, off, unnest(range(len(ids))) AS pos, unnest(ids) AS tok FROM offs)),
 allblocks AS (
-  SELECT source, CAST(g // {block} AS BIGINT) AS block_id, count(*) AS n,
+  SELECT {keys}, CAST(g // {block} AS BIGINT) AS block_id, count(*) AS n,
          list(tok ORDER BY g) AS toks
-  FROM flat GROUP BY source, g // {block}),
+  FROM flat GROUP BY {keys}, g // {block}),
 blocks AS (SELECT * FROM allblocks WHERE {cond})"""
 
 
+def cp_ids(text: str = "text") -> str:
+    return (f"list_concat([{CP_BOS}], CASE WHEN length({text}) > 0 THEN list_transform(string_split({text}, ''), "
+            f"lambda c: unicode(c)) ELSE CAST([] AS INTEGER[]) END, [{CP_EOS}])")
+
+
 def ids_text(col: str) -> str:
     return f"array_to_string({col}, ',')"
 
@@ -61,3 +67,99 @@ kept AS (SELECT source, CAST(sum(n) AS BIGINT) AS tokens_kept, count(*) AS n_blo
 SELECT tin.source, tokens_in, coalesce(tokens_kept, 0) AS tokens_kept,
        tokens_in - coalesce(tokens_kept, 0) AS tokens_dropped, coalesce(n_blocks, 0) AS n_blocks
 FROM tin LEFT JOIN kept USING (source)"""
+
+SEED = 42
+FRAC = 0.05
+CAP = 100
+BATCH, ACCUM = 12, 8
+
+SQL["pack_batch"] = f"""WITH {LINES},
+lt AS (SELECT source, doc_id, pos, {cp_ids()} AS ids FROM lines),
+r AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id, pos) - 1 AS i,
+             count(*) OVER (PARTITION BY source) AS n FROM lt),
+s1 AS (SELECT *, n // least(8, n) AS q, n % least(8, n) AS m FROM r),
+s2 AS (SELECT *, CASE WHEN i < m * (q + 1) THEN i // (q + 1) ELSE m + (i - m * (q + 1)) // q END AS shard FROM s1),
+s3 AS (SELECT *, (i - CASE WHEN shard < m THEN shard * (q + 1) ELSE m * (q + 1) + (shard - m) * q END) // 1000 AS bt
+       FROM s2),
+offs AS (SELECT source, shard, bt, ids,
+                coalesce(sum(len(ids)) OVER (PARTITION BY source, shard, bt ORDER BY doc_id, pos
+                         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS off FROM s3),
+flat AS (SELECT source, shard, bt, off + p AS g, tok FROM (
+           SELECT source, shard, bt, off, unnest(range(len(ids))) AS p, unnest(ids) AS tok FROM offs)),
+lb AS (SELECT source, shard, bt, g // {BLOCK} AS b, count(*) AS n, list(tok ORDER BY g) AS toks
+       FROM flat GROUP BY source, shard, bt, g // {BLOCK}),
+kept AS (SELECT * FROM lb WHERE n = {BLOCK} OR b = 0)
+SELECT source, CAST(row_number() OVER (PARTITION BY source ORDER BY shard, bt, b) - 1 AS BIGINT) AS block_id,
+       CAST(n AS BIGINT) AS n_tokens, array_to_string(toks, ',') AS ids FROM kept"""
+
+SQL["pack_pad"] = f"""WITH {CP_TOKS}, {pack_ctes(keep="keep")}
+SELECT source, block_id, CAST(n AS BIGINT) AS n_real,
+       array_to_string(toks, ',') || repeat(',0', {BLOCK} - n) AS ids,
+       array_to_string(toks, ',') || repeat(',-100', {BLOCK} - n) AS labels
+FROM blocks"""
+
+SQL["concat_sources"] = f"""WITH toks AS (SELECT lang, source, doc_id, {cp_ids()} AS ids FROM documents),
+{pack_ctes(keys="lang, source")}
+SELECT lang AS part, source, block_id,
+       CAST(row_number() OVER (ORDER BY lang, source, block_id) - 1 AS BIGINT) AS row_idx,
+       CAST(n AS BIGINT) AS n_tokens
+FROM blocks"""
+
+SPLIT_RANKED = f"""ranked AS (
+  SELECT source, block_id, toks,
+         row_number() OVER (ORDER BY md5('{SEED}:' || source || ':' || block_id), source, block_id) AS rn,
+         count(*) OVER () AS nb
+  FROM blocks)"""
+
+SQL["split_test"] = f"""WITH {CP_TOKS}, {pack_ctes()}, {SPLIT_RANKED}
+SELECT source, block_id FROM ranked WHERE rn <= ceil(CAST({FRAC} AS DOUBLE) * nb)"""
+
+SQL["split_train"] = f"""WITH {CP_TOKS}, {pack_ctes()}, {SPLIT_RANKED}
+SELECT source, block_id FROM ranked WHERE rn > ceil(CAST({FRAC} AS DOUBLE) * nb)"""
+
+SQL["cap_rows"] = f"""WITH {CP_TOKS}, {pack_ctes()}, {SPLIT_RANKED}
+SELECT source, block_id FROM ranked
+WHERE rn > ceil(CAST({FRAC} AS DOUBLE) * nb) AND rn <= ceil(CAST({FRAC} AS DOUBLE) * nb) + {CAP}"""
+
+
+def _mix_sql(size: str) -> str:
+    agg = "count(*)" if size == "1" else f"sum({size})"
+    return f"""WITH d AS (SELECT doc_id, n_chars, CASE WHEN lang = 'en' THEN 'en' ELSE 'other' END AS grp FROM documents),
+w AS (SELECT * FROM (VALUES ('other', 3), ('en', 4)) t(grp, wt)),
+sw AS (SELECT grp, CAST({agg} AS BIGINT) AS s, any_value(wt) AS wt FROM d JOIN w USING (grp) GROUP BY grp),
+lim AS (SELECT s AS sh, wt AS wh FROM sw ORDER BY CAST(s AS DOUBLE) / wt, grp LIMIT 1),
+t AS (SELECT grp, (wt * sh) // wh AS target FROM sw, lim),
+r AS (SELECT doc_id, grp, sum({size}) OVER (PARTITION BY grp ORDER BY md5('{SEED}:' || doc_id), doc_id
+                           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run FROM d)
+SELECT doc_id, grp FROM r JOIN t USING (grp) WHERE run <= target"""
+
+
+SQL["mix_rows"] = _mix_sql("1")
+SQL["mix_tokens"] = _mix_sql("n_chars")
+
+BATCHED = """numbered AS (
+  SELECT *, row_number() OVER (ORDER BY source, block_id) - 1 AS idx FROM blocks),
+grouped AS (
+  SELECT CAST(idx // {batch} AS BIGINT) AS batch_id, CAST(count(*) AS INTEGER) AS rows,
+         min(n) <> max(n) AS ragged,
+         string_agg(array_to_string(toks, ','), ';' ORDER BY idx) AS ids,
+         arg_min(array_to_string(toks, ','), idx) AS first_ids
+  FROM numbered GROUP BY idx // {batch})"""
+
+SQL["batch_rows"] = f"""WITH {CP_TOKS}, {pack_ctes()}, {BATCHED.format(batch=BATCH)}
+SELECT batch_id, rows, ragged, ids FROM grouped"""
+
+SQL["batch_ragged"] = f"""WITH {CP_TOKS}, {pack_ctes(keep="keep")}, {BATCHED.format(batch=BATCH)}
+SELECT batch_id, rows, ragged,
+       CASE WHEN ragged THEN repeat(first_ids || ';', rows - 1) || first_ids ELSE ids END AS ids
+FROM grouped"""
+
+SQL["step_report"] = f"""WITH {CP_TOKS}, {pack_ctes()}
+SELECT count(*) AS n_blocks, CAST({BATCH * ACCUM} AS BIGINT) AS rows_per_step,
+       CAST({BATCH * ACCUM * BLOCK} AS BIGINT) AS tokens_per_step,
+       CAST(ceil(count(*) / {BATCH * ACCUM}) AS BIGINT) AS steps, CAST(count(*) * {BLOCK} AS BIGINT) AS tokens
+FROM blocks"""
+
+SQL["export_shards"] = """SELECT vec_id,
+       CAST(CASE WHEN n // 3 = 0 THEN 2 ELSE least((rn - 1) // (n // 3), 2) END AS INTEGER) AS shard
+FROM (SELECT vec_id, row_number() OVER (ORDER BY vec_id) AS rn, count(*) OVER () AS n FROM embeddings)"""
