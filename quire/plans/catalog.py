@@ -187,3 +187,69 @@ QUERIES.update({
     "step_report": q_step_report,
     "export_shards": q_export_shards,
 })
+
+
+# --- section 2.1 / 2.2: sources, sinks, strings --------------------------------
+
+from quire.functions.text import is_blank, py_strip, source_key, url_host  # noqa: E402
+from quire.sources import corpus as src  # noqa: E402
+from quire.sources.sinks import materialise  # noqa: E402
+from quire.session import scratch_path  # noqa: E402
+
+
+def q_first_source(spark, sf_dir):
+    return src.first_source(documents(spark, sf_dir, "doc_id", "source"))
+
+
+def q_source_keys(spark, sf_dir):
+    names = table(spark, sf_dir, "pages").select(url_host("url").alias("name")).distinct()
+    keyed = names.withColumn("key", source_key("name"))
+    n = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n_names"))
+    return keyed.join(n, on="key").select("name", "key", "n_names")
+
+
+def question_lines(spark, sf_dir) -> DataFrame:
+    b = table(spark, sf_dir, "benchmark").select("item_id", "text")
+    return b.select("item_id", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line")) \
+            .select("item_id", F.col("pos").cast("long").alias("pos"), "line")
+
+
+def q_questions(spark, sf_dir):
+    return question_lines(spark, sf_dir).select("item_id", "pos", py_strip("line").alias("question"))
+
+
+def q_preview(spark, sf_dir):
+    return src.preview(q_questions(spark, sf_dir), ["item_id", "pos"], 10)
+
+
+def q_strip_text(spark, sf_dir):
+    return doc_lines(spark, sf_dir).select("doc_id", "pos", py_strip("text").alias("text"))
+
+
+def q_nonblank(spark, sf_dir):
+    return doc_lines(spark, sf_dir).where(~is_blank("text")).select("doc_id", "pos")
+
+
+def q_cache_manifest(spark, sf_dir):
+    """Lines -> blocks through the processed-data cache; the manifest is the result."""
+    lines = dense_index(doc_lines(spark, sf_dir), order=["doc_id", "pos"], group=["source"],
+                        bucket=[F.floor(F.col("doc_id") / LINE_BUCKET_DOCS)], idx_col="line_no") \
+        .select("source", "line_no", "text")
+
+    def build(todo):
+        return pack(tokenise_codepoint(todo), block=BLOCK, order=["line_no"])
+
+    root = scratch_path(spark, "cache")
+    _, manifest = materialise(lines, build, root, BLOCK, "codepoint-v1")
+    return manifest
+
+
+QUERIES.update({
+    "first_source": q_first_source,
+    "source_keys": q_source_keys,
+    "questions": q_questions,
+    "preview": q_preview,
+    "strip_text": q_strip_text,
+    "nonblank": q_nonblank,
+    "cache_manifest": q_cache_manifest,
+})

@@ -163,3 +163,33 @@ FROM blocks"""
 SQL["export_shards"] = """SELECT vec_id,
        CAST(CASE WHEN n // 3 = 0 THEN 2 ELSE least((rn - 1) // (n // 3), 2) END AS INTEGER) AS shard
 FROM (SELECT vec_id, row_number() OVER (ORDER BY vec_id) AS rn, count(*) OVER () AS n FROM embeddings)"""
+
+WS = (r"\t\n\x{0b}\x{0c}\r\x{1c}-\x{1f} \x{85}\x{a0}\x{1680}"
+      r"\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}")
+
+
+def strip(col: str) -> str:
+    return f"regexp_replace({col}, '\\A[{WS}]+|[{WS}]+\\z', '', 'g')"
+
+
+SQL["first_source"] = """SELECT doc_id, source FROM documents WHERE source = (SELECT min(source) FROM documents)"""
+
+SQL["source_keys"] = """WITH names AS (
+  SELECT DISTINCT regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]+)', 1) AS name FROM pages),
+keyed AS (SELECT name, array_to_string(list_slice(string_split(name, '.'), 1, len(string_split(name, '.')) - 1), '') AS key
+          FROM names)
+SELECT name, key, count(*) OVER (PARTITION BY key) AS n_names FROM keyed"""
+
+QLINES = """qlines AS (
+  SELECT item_id, CAST(pos AS BIGINT) AS pos, line FROM (
+    SELECT item_id, unnest(range(len(p))) AS pos, unnest(p) AS line
+    FROM (SELECT item_id, string_split(text, chr(10)) AS p FROM benchmark)))"""
+
+SQL["questions"] = f"WITH {QLINES} SELECT item_id, pos, {strip('line')} AS question FROM qlines"
+
+SQL["preview"] = f"""WITH {QLINES} SELECT item_id, pos, {strip('line')} AS question FROM qlines
+ORDER BY item_id, pos LIMIT 10"""
+
+SQL["strip_text"] = f"WITH {LINES} SELECT doc_id, pos, {strip('text')} AS text FROM lines"
+
+SQL["nonblank"] = f"WITH {LINES} SELECT doc_id, pos FROM lines WHERE length({strip('text')}) > 0"
