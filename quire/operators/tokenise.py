@@ -62,10 +62,10 @@ def tokenise_codepoint(df: DataFrame, text_col: str = "text", bos: int | None =
 
 def decode_codepoint(ids: Column | str, special: Sequence[int] = (CP_BOS, CP_EOS)) -> Column:
     """Ids back to text (special ids skipped): each id as 8 hex digits,
-    concatenated, decoded as UTF-32 big-endian. JVM-side, no UDF."""
+    concatenated, decoded as UTF-32 (big-endian, no mark). JVM-side, no UDF."""
     kept = drop_special(ids, special) if special else _c(ids)
     hexed = F.array_join(F.transform(kept, lambda i: F.lpad(F.hex(i), 8, "0")), "")
-    return F.when(F.size(kept) == 0, F.lit("")).otherwise(F.decode(F.unhex(hexed), "UTF-32BE"))
+    return F.when(F.size(kept) == 0, F.lit("")).otherwise(F.decode(F.unhex(hexed), "UTF-32"))
 
 
 def split_words(text: Column | str) -> Column:

@@ -253,3 +253,90 @@ QUERIES.update({
     "nonblank": q_nonblank,
     "cache_manifest": q_cache_manifest,
 })
+
+
+# --- section 2.3: vocabulary ------------------------------------------------------
+
+from quire.functions.arrays import drop_special  # noqa: E402
+from quire.operators import tokenise as tk  # noqa: E402
+from quire.operators import vocab as vc  # noqa: E402
+
+VOCAB_SIZE = 5000
+SUB_VOCAB = 3000
+MAX_LEN = 4096
+EXPECTED_VOCAB = 56724
+
+
+def doc_vocab(spark, sf_dir) -> DataFrame:
+    return tk.word_vocab(documents(spark, sf_dir, "text"), VOCAB_SIZE)
+
+
+def q_tokenise_word(spark, sf_dir):
+    d = documents(spark, sf_dir, "doc_id", "source", "text")
+    t = tk.tokenise_word(d, doc_vocab(spark, sf_dir))
+    return t.select("doc_id", "source", F.size("input_ids").cast("long").alias("n_tokens"),
+                    ids_text().alias("ids"))
+
+
+def q_decode_roundtrip(spark, sf_dir):
+    t = cp_tokens(spark, sf_dir)
+    dec = tk.decode_codepoint("input_ids")
+    return t.select("doc_id", F.md5(dec).alias("text_md5"), F.length(dec).cast("long").alias("n_chars"))
+
+
+def q_decode_words(spark, sf_dir):
+    d = documents(spark, sf_dir, "doc_id", "text")
+    v = doc_vocab(spark, sf_dir)
+    return tk.decode_word(tk.tokenise_word(d, v), v).select("doc_id", "text")
+
+
+def q_overlong(spark, sf_dir):
+    return tk.overlong(cp_tokens(spark, sf_dir), MAX_LEN)
+
+
+def lang_vocabs(spark, sf_dir):
+    d = documents(spark, sf_dir, "lang", "text")
+    base = tk.word_vocab(d.where(F.col("lang") == "en"), SUB_VOCAB)
+    new = tk.word_vocab(d.where(F.col("lang") != "en"), SUB_VOCAB)
+    return base, new
+
+
+def q_extend_vocab(spark, sf_dir):
+    base, new = lang_vocabs(spark, sf_dir)
+    return vc.extend_vocab(base, new).select("id", "piece")
+
+
+def q_check_vocab(spark, sf_dir):
+    base, new = lang_vocabs(spark, sf_dir)
+    return vc.check_vocab(vc.extend_vocab(base, new), EXPECTED_VOCAB)
+
+
+def q_length_reduction(spark, sf_dir):
+    d = documents(spark, sf_dir, "doc_id", "lang", "text")
+    a = tk.tokenise_codepoint(d, bos=None, eos=None)
+    b = tk.tokenise_word(d.select("doc_id", "text"), doc_vocab(spark, sf_dir), bos=False, eos=False)
+    return vc.compare_lengths(a, b, "doc_id", "lang").withColumnRenamed("lang", "lang")
+
+
+def q_token_lookup(spark, sf_dir):
+    b = table(spark, sf_dir, "benchmark").select(F.explode(tk.split_words("text")).alias("piece")).distinct()
+    return tk.token_ids(b, doc_vocab(spark, sf_dir)).select("piece", "id")
+
+
+def q_drop_special(spark, sf_dir):
+    b = table(spark, sf_dir, "benchmark").select("item_id", "text")
+    t = tk.tokenise_word(b, doc_vocab(spark, sf_dir))
+    return t.select("item_id", F.array_join(drop_special("input_ids", [1, 2]), ",").alias("ids"))
+
+
+QUERIES.update({
+    "tokenise_word": q_tokenise_word,
+    "decode_roundtrip": q_decode_roundtrip,
+    "decode_words": q_decode_words,
+    "overlong": q_overlong,
+    "extend_vocab": q_extend_vocab,
+    "check_vocab": q_check_vocab,
+    "length_reduction": q_length_reduction,
+    "token_lookup": q_token_lookup,
+    "drop_special": q_drop_special,
+})

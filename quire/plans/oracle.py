@@ -193,3 +193,74 @@ ORDER BY item_id, pos LIMIT 10"""
 SQL["strip_text"] = f"WITH {LINES} SELECT doc_id, pos, {strip('text')} AS text FROM lines"
 
 SQL["nonblank"] = f"WITH {LINES} SELECT doc_id, pos FROM lines WHERE length({strip('text')}) > 0"
+
+WORD_SEP = r"[ \t\n\r\x{0b}\x{0c}]+"
+
+
+def words_of(table: str, key: str, where: str = "TRUE") -> str:
+    return f"""SELECT {key}, list_filter(regexp_split_to_array(text, '{WORD_SEP}'), lambda w: w <> '') AS ws
+  FROM {table} WHERE {where}"""
+
+
+def vocab_cte(name: str, table: str, size: int, where: str = "TRUE") -> str:
+    return f"""{name}_w AS ({words_of(table, 'NULL AS k', where)}),
+{name}_c AS (SELECT w AS piece, count(*) AS c FROM (SELECT unnest(ws) AS w FROM {name}_w) GROUP BY w),
+{name} AS (
+  SELECT * FROM (VALUES (0, '<unk>', 0.0), (1, '<s>', 0.0), (2, '</s>', 0.0)) t(id, piece, score)
+  UNION ALL
+  SELECT CAST(row_number() OVER (ORDER BY c DESC, piece) + 2 AS INTEGER) AS id, piece, CAST(c AS DOUBLE) AS score
+  FROM {name}_c QUALIFY row_number() OVER (ORDER BY c DESC, piece) <= {size - 3})"""
+
+
+DOC_WORDS = f"""dw AS ({words_of('documents', 'doc_id, source, lang')}),
+dflat AS (SELECT doc_id, p, w FROM (SELECT doc_id, unnest(range(len(ws))) AS p, unnest(ws) AS w FROM dw))"""
+
+SQL["tokenise_word"] = f"""WITH {vocab_cte('vocab', 'documents', 5000)}, {DOC_WORDS},
+mapped AS (SELECT doc_id, p, coalesce(v.id, 0) AS id FROM dflat LEFT JOIN vocab v ON dflat.w = v.piece),
+agg AS (SELECT doc_id, count(*) AS n, string_agg(CAST(id AS VARCHAR), ',' ORDER BY p) AS s FROM mapped GROUP BY doc_id)
+SELECT dw.doc_id, dw.source, CAST(coalesce(n, 0) + 2 AS BIGINT) AS n_tokens, '1' || coalesce(',' || s, '') || ',2' AS ids
+FROM dw LEFT JOIN agg USING (doc_id)"""
+
+SQL["decode_roundtrip"] = """SELECT doc_id, md5(text) AS text_md5, CAST(length(text) AS BIGINT) AS n_chars FROM documents"""
+
+SQL["decode_words"] = f"""WITH {vocab_cte('vocab', 'documents', 5000)}, {DOC_WORDS},
+mapped AS (SELECT doc_id, p, coalesce(v.piece, '<unk>') AS piece FROM dflat LEFT JOIN vocab v ON dflat.w = v.piece),
+agg AS (SELECT doc_id, string_agg(piece, ' ' ORDER BY p) AS s FROM mapped GROUP BY doc_id)
+SELECT dw.doc_id, coalesce(s, '') AS text FROM dw LEFT JOIN agg USING (doc_id)"""
+
+SQL["overlong"] = f"""WITH {CP_TOKS}
+SELECT source, count(*) AS n_inputs, count(*) FILTER (WHERE len(ids) > 4096) AS n_overlong,
+       CAST(max(len(ids)) AS BIGINT) AS max_len FROM toks GROUP BY source"""
+
+EXTENDED = f"""{vocab_cte('base', 'documents', 3000, "lang = 'en'")},
+{vocab_cte('new', 'documents', 3000, "lang <> 'en'")},
+added AS (SELECT n.id AS nid, n.piece FROM new n ANTI JOIN base b ON n.piece = b.piece),
+ext AS (
+  SELECT id, piece FROM base
+  UNION ALL
+  SELECT CAST((SELECT max(id) + 1 FROM base) + row_number() OVER (ORDER BY nid) - 1 AS INTEGER) AS id, piece FROM added)"""
+
+SQL["extend_vocab"] = f"WITH {EXTENDED} SELECT id, piece FROM ext"
+
+SQL["check_vocab"] = f"""WITH {EXTENDED}
+SELECT count(*) AS n_entries, count(DISTINCT id) AS n_ids, count(DISTINCT piece) AS n_pieces,
+       CAST(max(id) + 1 AS BIGINT) AS id_span, CAST(56724 AS BIGINT) AS expected,
+       count(*) = 56724 AND count(DISTINCT id) = 56724 AND count(DISTINCT piece) = 56724 AND max(id) + 1 = 56724 AS ok
+FROM ext"""
+
+SQL["length_reduction"] = f"""WITH dw AS ({words_of('documents', 'doc_id, lang, text AS t')})
+SELECT lang, CAST(sum(length(t)) AS BIGINT) AS tokens_a, CAST(sum(len(ws)) AS BIGINT) AS tokens_b,
+       round(1 - sum(len(ws)) / sum(length(t)), 6) AS reduction
+FROM dw GROUP BY ROLLUP (lang)"""
+
+SQL["token_lookup"] = f"""WITH {vocab_cte('vocab', 'documents', 5000)},
+bw AS (SELECT DISTINCT unnest(ws) AS piece FROM ({words_of('benchmark', 'item_id')}))
+SELECT bw.piece, CAST(coalesce(v.id, 0) AS INTEGER) AS id FROM bw LEFT JOIN vocab v ON bw.piece = v.piece"""
+
+SQL["drop_special"] = f"""WITH {vocab_cte('vocab', 'documents', 5000)},
+bw AS ({words_of('benchmark', 'item_id')}),
+bflat AS (SELECT item_id, p, w FROM (SELECT item_id, unnest(range(len(ws))) AS p, unnest(ws) AS w FROM bw)),
+mapped AS (SELECT item_id, p, coalesce(v.id, 0) AS id FROM bflat LEFT JOIN vocab v ON bflat.w = v.piece)
+SELECT bw.item_id, coalesce((SELECT string_agg(CAST(id AS VARCHAR), ',' ORDER BY p) FROM mapped m
+                             WHERE m.item_id = bw.item_id AND id NOT IN (1, 2)), '') AS ids
+FROM bw"""
