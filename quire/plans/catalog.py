@@ -340,3 +340,90 @@ QUERIES.update({
     "token_lookup": q_token_lookup,
     "drop_special": q_drop_special,
 })
+
+
+# --- section 2.5: evaluation -------------------------------------------------------
+
+from quire.functions.arrays import argmax, label_typing  # noqa: E402
+from quire.operators import evaluate as ev  # noqa: E402
+
+MAX_EVAL = 100
+
+
+def scored_test(spark, sf_dir, by=()):
+    s = split_blocks(spark, sf_dir)
+    train, test = s.where("split = 'train'"), s.where("split = 'test'")
+    pairs, model, v = ev.fit_bigram(train)
+    return ev.score_bigram(test, pairs, model, v, by=by)
+
+
+def q_bigram_nll(spark, sf_dir):
+    out = ev.summarise(scored_test(spark, sf_dir, by=["source"]), by=["source"])
+    return out.select("source", "tokens", F.round("eval_loss", 6).alias("nll"))
+
+
+def q_token_accuracy(spark, sf_dir):
+    out = ev.summarise(scored_test(spark, sf_dir))
+    return out.select("tokens", F.round("accuracy", 6).alias("accuracy"))
+
+
+def q_perplexity(spark, sf_dir):
+    out = ev.summarise(scored_test(spark, sf_dir))
+    return out.select("tokens", F.round("eval_loss", 6).alias("eval_loss"),
+                      F.round("perplexity", 4).alias("perplexity"))
+
+
+def q_metric_rollup(spark, sf_dir):
+    out = ev.summarise(scored_test(spark, sf_dir, by=["source"]), by=["source"], rollup=True)
+    return out.select("source", "tokens", F.round("accuracy", 6).alias("accuracy"),
+                      F.round("perplexity", 4).alias("perplexity"))
+
+
+def labelled(spark, sf_dir):
+    lab = table(spark, sf_dir, "labels")
+    d = documents(spark, sf_dir, "doc_id", "n_chars")
+    return lab.join(d, "doc_id").select("doc_id", F.col("quality").alias("pred"),
+                                        (1 - F.col("toxic")).alias("ref"), "n_chars")
+
+
+def q_accuracy_count(spark, sf_dir):
+    return ev.accuracy(labelled(spark, sf_dir), "pred", "ref", normalize=False)
+
+
+def q_accuracy_weighted(spark, sf_dir):
+    a = ev.accuracy(labelled(spark, sf_dir), "pred", "ref", weight="n_chars")
+    return a.select("n", F.round("accuracy", 6).alias("accuracy"))
+
+
+def q_sample_counts(spark, sf_dir):
+    s = split_blocks(spark, sf_dir)
+    return ds.sample_counts(s.where("split = 'train'"), "train", None).unionByName(
+        ds.sample_counts(s.where("split = 'test'"), "eval", MAX_EVAL))
+
+
+def q_argmax(spark, sf_dir):
+    e = table(spark, sf_dir, "embeddings")
+    return e.select("vec_id", argmax("embedding").alias("argmax"))
+
+
+def q_label_typing(spark, sf_dir):
+    return label_typing(table(spark, sf_dir, "labels"), ["quality", "toxic"]).unionByName(
+        label_typing(table(spark, sf_dir, "events"), ["value"]))
+
+
+def q_vector_bytes(spark, sf_dir):
+    return ev.vector_bytes(table(spark, sf_dir, "embeddings"), by=["label"])
+
+
+QUERIES.update({
+    "bigram_nll": q_bigram_nll,
+    "token_accuracy": q_token_accuracy,
+    "perplexity": q_perplexity,
+    "metric_rollup": q_metric_rollup,
+    "accuracy_count": q_accuracy_count,
+    "accuracy_weighted": q_accuracy_weighted,
+    "sample_counts": q_sample_counts,
+    "argmax": q_argmax,
+    "label_typing": q_label_typing,
+    "vector_bytes": q_vector_bytes,
+})

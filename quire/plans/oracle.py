@@ -264,3 +264,69 @@ mapped AS (SELECT item_id, p, coalesce(v.id, 0) AS id FROM bflat LEFT JOIN vocab
 SELECT bw.item_id, coalesce((SELECT string_agg(CAST(id AS VARCHAR), ',' ORDER BY p) FROM mapped m
                              WHERE m.item_id = bw.item_id AND id NOT IN (1, 2)), '') AS ids
 FROM bw"""
+
+SCORED = f"""{CP_TOKS}, {pack_ctes()}, {SPLIT_RANKED},
+parts AS (SELECT source, toks, CASE WHEN rn <= ceil(CAST({FRAC} AS DOUBLE) * nb) THEN 'test' ELSE 'train' END AS split
+          FROM ranked),
+pr AS (SELECT split, source, toks[i] AS a, toks[i + 1] AS b
+       FROM (SELECT split, source, toks, unnest(range(1, len(toks))) AS i FROM parts)),
+cab AS (SELECT a, b, count(*) AS c FROM pr WHERE split = 'train' GROUP BY a, b),
+model AS (SELECT a, sum(c) AS n_a, arg_max(b, c * 1000000000 - b) AS pred FROM cab GROUP BY a),
+vsize AS (SELECT count(DISTINCT t) AS v FROM (SELECT unnest(toks) AS t FROM parts WHERE split = 'train')),
+mt AS (SELECT source, a, b, count(*) AS m FROM pr WHERE split = 'test' GROUP BY source, a, b),
+scored AS (
+  SELECT mt.source, mt.a, mt.b, mt.m,
+         -ln((coalesce(cab.c, 0) + 1.0) / (coalesce(model.n_a, 0) + 1.0 * (SELECT v FROM vsize))) AS nll,
+         coalesce(model.pred = mt.b, false) AS hit
+  FROM mt LEFT JOIN cab ON mt.a = cab.a AND mt.b = cab.b LEFT JOIN model ON mt.a = model.a)"""
+
+SQL["bigram_nll"] = f"""WITH {SCORED}
+SELECT source, CAST(sum(m) AS BIGINT) AS tokens, round(sum(m * nll) / sum(m), 6) AS nll FROM scored GROUP BY source"""
+
+SQL["token_accuracy"] = f"""WITH {SCORED}
+SELECT CAST(sum(m) AS BIGINT) AS tokens, round(sum(CASE WHEN hit THEN m ELSE 0 END) / sum(m), 6) AS accuracy FROM scored"""
+
+SQL["perplexity"] = f"""WITH {SCORED}
+SELECT CAST(sum(m) AS BIGINT) AS tokens, round(sum(m * nll) / sum(m), 6) AS eval_loss,
+       round(exp(sum(m * nll) / sum(m)), 4) AS perplexity FROM scored"""
+
+SQL["metric_rollup"] = f"""WITH {SCORED}
+SELECT source, CAST(sum(m) AS BIGINT) AS tokens,
+       round(sum(CASE WHEN hit THEN m ELSE 0 END) / sum(m), 6) AS accuracy,
+       round(exp(sum(m * nll) / sum(m)), 4) AS perplexity
+FROM scored GROUP BY ROLLUP (source)"""
+
+LABELLED = """lab AS (SELECT l.doc_id, l.quality AS pred, 1 - l.toxic AS ref, d.n_chars
+                FROM labels l JOIN documents d USING (doc_id))"""
+
+SQL["accuracy_count"] = f"""WITH {LABELLED}
+SELECT count(*) AS n, CAST(count(*) FILTER (WHERE pred = ref) AS DOUBLE) AS accuracy FROM lab"""
+
+SQL["accuracy_weighted"] = f"""WITH {LABELLED}
+SELECT count(*) AS n, round(sum(CASE WHEN pred = ref THEN CAST(n_chars AS DOUBLE) ELSE 0.0 END)
+                            / sum(CAST(n_chars AS DOUBLE)), 6) AS accuracy FROM lab"""
+
+SQL["sample_counts"] = f"""WITH {CP_TOKS}, {pack_ctes()}, {SPLIT_RANKED}
+SELECT 'train' AS phase, count(*) AS samples FROM ranked WHERE rn > ceil(CAST({FRAC} AS DOUBLE) * nb)
+UNION ALL
+SELECT 'eval' AS phase, least(100, count(*)) AS samples FROM ranked WHERE rn <= ceil(CAST({FRAC} AS DOUBLE) * nb)"""
+
+SQL["argmax"] = """SELECT vec_id, CAST(CASE WHEN len(embedding) > 0 THEN list_position(embedding, list_max(embedding)) - 1 END AS INTEGER) AS argmax
+FROM embeddings"""
+
+SQL["label_typing"] = """SELECT 'quality' AS "column", count(quality) AS n,
+       count(*) FILTER (WHERE CAST(quality AS DOUBLE) <> floor(CAST(quality AS DOUBLE))) AS n_fractional,
+       CASE WHEN count(*) FILTER (WHERE CAST(quality AS DOUBLE) <> floor(CAST(quality AS DOUBLE))) = 0 THEN 'bigint' ELSE 'double' END AS target_type
+FROM labels
+UNION ALL
+SELECT 'toxic', count(toxic), count(*) FILTER (WHERE CAST(toxic AS DOUBLE) <> floor(CAST(toxic AS DOUBLE))),
+       CASE WHEN count(*) FILTER (WHERE CAST(toxic AS DOUBLE) <> floor(CAST(toxic AS DOUBLE))) = 0 THEN 'bigint' ELSE 'double' END
+FROM labels
+UNION ALL
+SELECT 'value', count(value), count(*) FILTER (WHERE value <> floor(value)),
+       CASE WHEN count(*) FILTER (WHERE value <> floor(value)) = 0 THEN 'bigint' ELSE 'double' END
+FROM events"""
+
+SQL["vector_bytes"] = """SELECT label, count(*) AS n_vectors, CAST(sum(len(embedding)) AS BIGINT) AS n_elements,
+       CAST(sum(len(embedding)) * 4 AS BIGINT) AS bytes
+FROM embeddings GROUP BY ROLLUP (label)"""
