@@ -427,3 +427,65 @@ QUERIES.update({
     "label_typing": q_label_typing,
     "vector_bytes": q_vector_bytes,
 })
+
+
+# --- section 2.2 / 2.6: prompts, answers, inference -----------------------------
+
+from quire.functions.text import cut_at_stop, drop_markers, extract_answer, render_prompt  # noqa: E402
+from quire.operators import infer  # noqa: E402
+from quire.operators.index import dense_index as _dense_index  # noqa: E402
+
+
+def conversations(spark, sf_dir):
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+
+
+def q_render_prompt(spark, sf_dir):
+    return q_questions(spark, sf_dir).select("item_id", "pos", render_prompt("question").alias("prompt"))
+
+
+def q_render_chat(spark, sf_dir):
+    return infer.render_chat(conversations(spark, sf_dir))
+
+
+def q_answer_second(spark, sf_dir):
+    chat = infer.render_chat(conversations(spark, sf_dir))
+    return chat.select("conv_id", extract_answer(drop_markers("text"), "second").alias("answer"))
+
+
+def q_answer_last(spark, sf_dir):
+    chat = infer.render_chat(conversations(spark, sf_dir))
+    return chat.select("conv_id", extract_answer(drop_markers("text"), "last").alias("answer"))
+
+
+def q_cut_at_stop(spark, sf_dir):
+    chat = infer.render_chat(conversations(spark, sf_dir))
+    return chat.select("conv_id", cut_at_stop("text").alias("text"))
+
+
+def q_turn_pairs(spark, sf_dir):
+    return infer.turn_pairs(conversations(spark, sf_dir))
+
+
+def q_prediction_record(spark, sf_dir):
+    pairs = infer.turn_pairs(conversations(spark, sf_dir))
+    pairs = _dense_index(pairs, order=["conv_id", "turn"])
+    pairs = pairs.withColumn("prompt", render_prompt("question"))
+    return infer.prediction_record(pairs, input="prompt")
+
+
+def q_batch_generate(spark, sf_dir):
+    q = _dense_index(q_questions(spark, sf_dir), order=["item_id", "pos"]).select("idx", "question")
+    return infer.answer_pipeline(q, infer.stub_model)
+
+
+QUERIES.update({
+    "render_prompt": q_render_prompt,
+    "render_chat": q_render_chat,
+    "answer_second": q_answer_second,
+    "answer_last": q_answer_last,
+    "cut_at_stop": q_cut_at_stop,
+    "turn_pairs": q_turn_pairs,
+    "prediction_record": q_prediction_record,
+    "batch_generate": q_batch_generate,
+})

@@ -330,3 +330,48 @@ FROM events"""
 SQL["vector_bytes"] = """SELECT label, count(*) AS n_vectors, CAST(sum(len(embedding)) AS BIGINT) AS n_elements,
        CAST(sum(len(embedding)) * 4 AS BIGINT) AS bytes
 FROM embeddings GROUP BY ROLLUP (label)"""
+
+SYSTEM_PROMPT = "You are a helpful assistant. 你是一个乐于助人的助手。"
+SYS_HEAD, SYS_TAIL = "<|start_header_id|>system<|end_header_id|>\n\n", "<|eot_id|>"
+USER_HEAD = "<|start_header_id|>user<|end_header_id|>\n\n"
+USER_TAIL = "<|eot_id|><|start_header_id|>assistant<|end_header_id|>\n\n"
+ASSIST_TAIL = "<|eot_id|>"
+
+
+def prompt_sql(col: str) -> str:
+    return f"'{SYS_HEAD}{SYSTEM_PROMPT}{SYS_TAIL}{USER_HEAD}' || {col} || '{USER_TAIL}'"
+
+
+CHAT = f"""rendered AS (
+  SELECT conv_id, turn, CASE role
+      WHEN 'system' THEN '{SYS_HEAD}' || text || '{SYS_TAIL}'
+      WHEN 'user' THEN '{USER_HEAD}' || text || '{USER_TAIL}'
+      WHEN 'assistant' THEN text || '{ASSIST_TAIL}' END AS t
+  FROM conversations),
+chat AS (SELECT conv_id, string_agg(t, '' ORDER BY turn) AS text FROM rendered GROUP BY conv_id),
+plain AS (SELECT conv_id, regexp_replace(text, '<\\|start_header_id\\|>|<\\|end_header_id\\|>|<\\|eot_id\\|>|<\\|end_of_text\\|>|<\\|begin_of_text\\|>', '', 'g') AS text
+          FROM chat)"""
+
+MARK = "assistant\n\n"
+
+SQL["render_prompt"] = f"""WITH {QLINES} SELECT item_id, pos, {prompt_sql(strip('line'))} AS prompt FROM qlines"""
+
+SQL["render_chat"] = f"WITH {CHAT} SELECT conv_id, text FROM chat"
+
+SQL["answer_second"] = f"""WITH {CHAT} SELECT conv_id, {strip(f"string_split(text, '{MARK}')[2]")} AS answer FROM plain"""
+
+SQL["answer_last"] = f"""WITH {CHAT} SELECT conv_id, {strip(f"string_split(text, '{MARK}')[-1]")} AS answer FROM plain"""
+
+SQL["cut_at_stop"] = f"""WITH {CHAT}
+SELECT conv_id, split_part(split_part(text, '<|eot_id|>', 1), '<|end_of_text|>', 1) AS text FROM chat"""
+
+PAIRS = """pairs AS (
+  SELECT u.conv_id, u.turn, u.text AS question, a.text AS answer
+  FROM conversations u JOIN conversations a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1
+  WHERE u.role = 'user' AND a.role = 'assistant')"""
+
+SQL["turn_pairs"] = f"WITH {PAIRS} SELECT conv_id, turn, question, answer FROM pairs"
+
+SQL["prediction_record"] = f"""WITH {PAIRS}
+SELECT CAST(row_number() OVER (ORDER BY conv_id, turn) - 1 AS BIGINT) AS idx,
+       {prompt_sql('question')} AS "Input", answer AS "Output" FROM pairs"""
