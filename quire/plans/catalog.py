@@ -489,3 +489,78 @@ QUERIES.update({
     "prediction_record": q_prediction_record,
     "batch_generate": q_batch_generate,
 })
+
+
+# --- section 2.7 / 2.8: keyed merges, name filter ---------------------------------
+
+from quire.operators import keyed  # noqa: E402
+
+LOW_RANK = 4
+ALPHA = 2.0
+NAME_PATTERN = r"https?://m\."
+
+
+def embeddings(spark, sf_dir):
+    return table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+
+
+def patch_table(spark, sf_dir):
+    e = embeddings(spark, sf_dir)
+    doubled = e.where(F.col("label") == 3).select(
+        "vec_id", F.transform("embedding", lambda x: x * 2).alias("embedding"), "label")
+    foreign = e.where(F.col("label") == 4).select(
+        (F.col("vec_id") + 1_000_000).alias("vec_id"), "embedding", "label")
+    return doubled.unionByName(foreign)
+
+
+def exploded(df, col="embedding"):
+    return df.select("vec_id", F.posexplode(col).alias("pos", "v")).select(
+        "vec_id", F.col("pos").cast("int").alias("pos"), F.round(F.col("v").cast("double"), 6).alias("value"))
+
+
+def q_override(spark, sf_dir):
+    out = keyed.override(embeddings(spark, sf_dir), patch_table(spark, sf_dir), ["vec_id"], ["embedding"])
+    return exploded(out)
+
+
+def q_override_fields(spark, sf_dir):
+    out = keyed.override_fields(embeddings(spark, sf_dir), patch_table(spark, sf_dir), ["vec_id"],
+                                {"label": F.col("label") + 100})
+    return out.select("vec_id", "label", F.round(F.element_at("embedding", 1).cast("double"), 6).alias("e0"))
+
+
+def q_last_wins(spark, sf_dir):
+    ev_ = table(spark, sf_dir, "events")
+    parts = (ev_.select(F.concat(F.lit("L"), F.hour("ts").cast("string"), F.lit("-consolidated.00.pth")).alias("part"),
+                        F.concat(F.lit("user"), F.col("user_id").cast("string")).alias("key"))
+                .groupBy("part", "key").agg(F.count(F.lit(1)).alias("value")))
+    return keyed.last_wins(parts, ["key"], "part", ["value"])
+
+
+def _low_rank(spark, sf_dir, r):
+    e = embeddings(spark, sf_dir)
+    a = keyed.class_means(e, list(range(r)))
+    return keyed.apply_low_rank(e.select("vec_id", "embedding"), a, a.T, ALPHA, r)
+
+
+def q_low_rank(spark, sf_dir):
+    return exploded(_low_rank(spark, sf_dir, LOW_RANK))
+
+
+def q_low_rank_r1(spark, sf_dir):
+    return exploded(_low_rank(spark, sf_dir, 1))
+
+
+def q_name_filter(spark, sf_dir):
+    p = table(spark, sf_dir, "pages").select("page_id", "url")
+    return p.where(keyed.name_filter("url", NAME_PATTERN))
+
+
+QUERIES.update({
+    "override": q_override,
+    "override_fields": q_override_fields,
+    "last_wins": q_last_wins,
+    "low_rank": q_low_rank,
+    "low_rank_r1": q_low_rank_r1,
+    "name_filter": q_name_filter,
+})

@@ -375,3 +375,41 @@ SQL["turn_pairs"] = f"WITH {PAIRS} SELECT conv_id, turn, question, answer FROM p
 SQL["prediction_record"] = f"""WITH {PAIRS}
 SELECT CAST(row_number() OVER (ORDER BY conv_id, turn) - 1 AS BIGINT) AS idx,
        {prompt_sql('question')} AS "Input", answer AS "Output" FROM pairs"""
+
+PATCH = """patch AS (
+  SELECT vec_id, list_transform(embedding, lambda x: x * 2) AS embedding, label FROM embeddings WHERE label = 3
+  UNION ALL
+  SELECT vec_id + 1000000, embedding, label FROM embeddings WHERE label = 4)"""
+
+
+def exploded_sql(src: str, col: str = "embedding") -> str:
+    return f"""SELECT vec_id, CAST(pos AS INTEGER) AS pos, round(CAST(v AS DOUBLE), 6) AS value FROM (
+  SELECT vec_id, unnest(range(len({col}))) AS pos, unnest({col}) AS v FROM {src})"""
+
+
+SQL["override"] = f"""WITH {PATCH},
+merged AS (SELECT e.vec_id, coalesce(p.embedding, e.embedding) AS embedding FROM embeddings e LEFT JOIN patch p USING (vec_id))
+{exploded_sql('merged')}"""
+
+SQL["override_fields"] = f"""WITH {PATCH}
+SELECT e.vec_id, CASE WHEN p.vec_id IS NOT NULL THEN p.label ELSE e.label + 100 END AS label,
+       round(CAST((CASE WHEN p.vec_id IS NOT NULL THEN p.embedding ELSE e.embedding END)[1] AS DOUBLE), 6) AS e0
+FROM embeddings e LEFT JOIN patch p USING (vec_id)"""
+
+SQL["last_wins"] = """WITH parts AS (
+  SELECT 'L' || CAST(hour(ts) AS VARCHAR) || '-consolidated.00.pth' AS part, 'user' || CAST(user_id AS VARCHAR) AS key,
+         count(*) AS value
+  FROM events GROUP BY 1, 2)
+SELECT key, max(part) AS part, arg_max(value, part) AS value FROM parts GROUP BY key"""
+
+SQL["low_rank_r1"] = f"""WITH a AS (
+  SELECT pos, avg(CAST(v AS DOUBLE)) AS m FROM (
+    SELECT unnest(range(len(embedding))) AS pos, unnest(embedding) AS v FROM embeddings WHERE label = 0)
+  GROUP BY pos),
+x AS (SELECT vec_id, pos, CAST(v AS DOUBLE) AS v FROM (
+  SELECT vec_id, unnest(range(len(embedding))) AS pos, unnest(embedding) AS v FROM embeddings)),
+dot AS (SELECT x.vec_id, sum(x.v * a.m) AS d FROM x JOIN a USING (pos) GROUP BY x.vec_id)
+SELECT x.vec_id, CAST(x.pos AS INTEGER) AS pos, round(x.v + 2.0 * a.m * dot.d, 6) AS value
+FROM x JOIN a USING (pos) JOIN dot USING (vec_id)"""
+
+SQL["name_filter"] = """SELECT page_id, url FROM pages WHERE regexp_matches(url, '^(?:https?://m\\.)')"""
