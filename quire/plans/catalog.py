@@ -564,3 +564,38 @@ QUERIES.update({
     "low_rank_r1": q_low_rank_r1,
     "name_filter": q_name_filter,
 })
+
+
+# --- section 2.9: streaming ---------------------------------------------------------
+
+from quire.streaming import stream as st  # noqa: E402
+
+
+def q_score_stream(spark, sf_dir):
+    """User turns as JSON request files -> request stream -> answers read back."""
+    root = scratch_path(spark, "requests")
+    conv = conversations(spark, sf_dir).where(F.col("role") == "user")
+    conv.select(F.to_json(F.struct("conv_id", "turn", F.col("text").alias("query"))).alias("value")) \
+        .write.text(f"{root}/in")
+    q = st.score_stream(spark, f"{root}/in", f"{root}/out", f"{root}/ckpt", infer.stub_model)
+    q.awaitTermination()
+    out = spark.read.parquet(f"{root}/out")
+    return out.select(F.get_json_object("output", "$.conv_id").cast("long").alias("conv_id"),
+                      F.get_json_object("output", "$.turn").cast("long").alias("turn"),
+                      "query", F.get_json_object("output", "$.output").alias("output"), "error")
+
+
+def q_tokenise_stream(spark, sf_dir):
+    """Document lines as arriving text files -> streamed tokens read back."""
+    root = scratch_path(spark, "corpus")
+    doc_lines(spark, sf_dir).select("text").write.text(f"{root}/in")
+    q = st.tokenise_stream(spark, f"{root}/in", f"{root}/out", f"{root}/ckpt", tokenise_codepoint)
+    q.awaitTermination()
+    out = spark.read.parquet(f"{root}/out")
+    return out.select("source", "line_no", F.size("input_ids").cast("long").alias("n_tokens"))
+
+
+QUERIES.update({
+    "score_stream": q_score_stream,
+    "tokenise_stream": q_tokenise_stream,
+})
