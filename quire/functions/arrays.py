@@ -28,7 +28,7 @@ def argmax(values: Column | str) -> Column:
 
 
 def ones_like(ids: Column | str) -> Column:
-    return F.transform(_c(ids), lambda x: F.lit(1))
+    return F.array_repeat(F.lit(1), F.size(_c(ids)))
 
 
 def shifted_pairs(preds: Column | str, labels: Column | str) -> Column:

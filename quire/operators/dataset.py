@@ -57,12 +57,22 @@ def select_prefix(df: DataFrame, key: str, ties: Sequence[str], target: int | Da
 
 
 def split_exact(df: DataFrame, frac: float, seed: int, ids: Sequence[str],
-                n: int | None = None) -> DataFrame:
+                n: int | None = None, materialize: bool = True) -> DataFrame:
     """Add ``split``: 'test' for the first ``ceil(frac * n)`` rows in the
     order md5('seed:ids'), then ids; 'train' for the rest (P6). ``frac`` is a
-    fraction in (0, 1), as the reference's "percentage" really is."""
+    fraction in (0, 1), as the reference's "percentage" really is.
+
+    The selection reads its input three times (bucket totals, whole buckets,
+    boundary bucket), so by default the input is first written once with a
+    reliable ``checkpoint()`` into the session's checkpoint folder, which
+    also cuts the lineage (the reference saves its processed data before the
+    split as well)."""
     if not 0 < frac < 1:
         raise ValueError("frac must be in (0, 1)")
+    if materialize:
+        from quire.session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(df.sparkSession)
+        df = df.checkpoint(eager=True)
     n = df.count() if n is None else n
     k = math.ceil(float(frac) * n)
     keyed = df.withColumn("_key", md5_key(seed, *ids))

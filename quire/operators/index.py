@@ -9,9 +9,11 @@ consecutive keys each):
 2. a running sum over that small bucket table gives each bucket's base;
 3. a window partitioned by (group, bucket) finishes the sum inside the bucket.
 
-The join in (3) and the window share the (group, bucket) hash partitioning, so
-the payload is shuffled once, and no task holds more than one bucket of rows
-even when one group (source) holds a third of the data.
+The join in (3) and the window share the (group, bucket) hash partitioning,
+so the payload is shuffled once, and no task holds more than one bucket of
+rows even when one group (source) holds a third of the data. The input is
+evaluated twice (totals and payload); materialise an expensive input first
+(``checkpoint`` or the processed-data cache) to compute it once.
 """
 
 from __future__ import annotations
@@ -50,6 +52,8 @@ def dense_index(df: DataFrame, order: Sequence[str], group: Sequence[str] = (),
     sz = (F.col(size) if isinstance(size, str) else size) if size is not None else F.lit(1)
     d = df.select("*", *[b.alias(n) for b, n in zip(bucket, bcols)], sz.cast("long").alias("_qsz"))
 
+    # bucket totals: partially aggregated before the shuffle (one small row
+    # per bucket and task); only the payload join below moves whole rows.
     totals = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("_qn"), F.sum("_qsz").alias("_qs"))
     before = Window.partitionBy(*group).orderBy(*bcols).rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*group)

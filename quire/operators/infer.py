@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quire.session import ship_package
 from quire.functions.text import (DEFAULT_SYSTEM_PROMPT, cut_at_stop, drop_markers, extract_answer,
                                   render_prompt, render_turn)
 
@@ -24,6 +25,7 @@ def generate(df: DataFrame, make_model: Callable[[], Model], input_col: str = "p
              output_col: str = "raw", batch_size: int = 32) -> DataFrame:
     """Add ``output_col`` = model(input) for every row (I1). Rows keep their
     other columns (``idx`` carries the pairing, I2)."""
+    ship_package(df.sparkSession)
     schema = T.StructType(df.schema.fields + [T.StructField(output_col, T.StringType())])
 
     def run(batches):

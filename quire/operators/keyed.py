@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quire.session import ship_package
+
 
 def override(base: DataFrame, patch: DataFrame, key: Sequence[str], cols: Sequence[str]) -> DataFrame:
     """Where ``patch`` has the key, its values replace the base values.
@@ -66,6 +68,7 @@ def apply_low_rank(df: DataFrame, a: np.ndarray, b: np.ndarray, alpha: float, r:
     if a.shape[0] != b.shape[1] or a.shape[1] != b.shape[0]:
         raise ValueError(f"shapes do not fit: A {a.shape}, B {b.shape}")
     scale = float(alpha) / float(r)
+    ship_package(df.sparkSession)
     bc = df.sparkSession.sparkContext.broadcast((a, b, scale, transpose))
     out_col = out_col or col
 

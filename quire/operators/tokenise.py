@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quire.functions.arrays import drop_special, ones_like
+from quire.session import ship_package
 
 # Code point tokenizer: the two markers sit just above the largest code point.
 CP_BOS = 0x110000
@@ -149,6 +150,7 @@ def tokenise_word(df: DataFrame, vocab: DataFrame, text_col: str = "text",
                   bos: bool = True, eos: bool = True) -> DataFrame:
     """White-space words -> ids; a word outside the vocabulary gets ``<unk>``.
     Narrow: one Arrow batch map per partition with the vocabulary broadcast."""
+    ship_package(df.sparkSession)
     pieces, ids = collect_vocab(vocab)
     lookup = dict(zip(pieces, ids))
     unk_id = lookup.get(UNK, 0)
@@ -196,6 +198,7 @@ def decode_word(df: DataFrame, vocab: DataFrame, ids_col: str = "input_ids", sep
                 skip_special: bool = True) -> DataFrame:
     """Ids back to words joined by ``sep`` (special pieces skipped)."""
     import pyarrow as pa
+    ship_package(df.sparkSession)
     pieces, ids = collect_vocab(vocab)
     size = max(ids) + 1 if ids else 0
     table = [UNK] * size

@@ -599,3 +599,31 @@ QUERIES.update({
     "score_stream": q_score_stream,
     "tokenise_stream": q_tokenise_stream,
 })
+
+
+# --- section 2.3: unigram --------------------------------------------------------
+
+from quire.operators import unigram as ug  # noqa: E402
+
+UNIGRAM_SIZE = 2000
+
+
+def unigram_vocab(spark, sf_dir):
+    return ug.train_unigram(documents(spark, sf_dir, "text"), UNIGRAM_SIZE, seed_size=8000)
+
+
+def q_train_unigram(spark, sf_dir):
+    return unigram_vocab(spark, sf_dir)
+
+
+def q_tokenise_unigram(spark, sf_dir):
+    v = unigram_vocab(spark, sf_dir)
+    t = ug.tokenise_unigram(documents(spark, sf_dir, "doc_id", "source", "text"), v)
+    return t.select("doc_id", "source", F.size("input_ids").cast("long").alias("n_tokens"),
+                    ids_text().alias("ids"))
+
+
+QUERIES.update({
+    "train_unigram": q_train_unigram,
+    "tokenise_unigram": q_tokenise_unigram,
+})

@@ -53,3 +53,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint root (never reused)."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{root}/quire-{name}-{uuid.uuid4().hex[:12]}"
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``quire`` importable in Python workers (what ``--py-files`` does):
+    zip the package once per driver and add it to the SparkContext."""
+    sc = spark.sparkContext
+    key = id(sc._jsc)
+    if key in _SHIPPED:
+        return
+    import shutil
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    out_dir = tempfile.mkdtemp(prefix="quire-pyfiles-")
+    archive = shutil.make_archive(os.path.join(out_dir, "quire"), "zip",
+                                  root_dir=os.path.dirname(pkg_dir), base_dir="quire")
+    sc.addPyFile(archive)
+    _SHIPPED.add(key)
