@@ -24,7 +24,7 @@ def argmax(values: Column | str) -> Column:
     """0-based index of the largest value, first of ties. Spark orders NaN
     above every number, so a NaN wins; an empty array gives NULL."""
     a = _c(values)
-    return F.when(F.size(a) > 0, F.array_position(a, F.array_max(a)) - 1)
+    return F.when(F.size(a) > 0, (F.array_position(a, F.array_max(a)) - 1).cast("int"))
 
 
 def ones_like(ids: Column | str) -> Column:
