@@ -279,9 +279,8 @@ def q_tokenise_word(spark, sf_dir):
 
 
 def q_decode_roundtrip(spark, sf_dir):
-    t = cp_tokens(spark, sf_dir)
-    dec = tk.decode_codepoint("input_ids")
-    return t.select("doc_id", F.md5(dec).alias("text_md5"), F.length(dec).cast("long").alias("n_chars"))
+    dec = tk.decode_codepoint_arrow(cp_tokens(spark, sf_dir).select("doc_id", "input_ids"))
+    return dec.select("doc_id", F.md5("text").alias("text_md5"), F.length("text").cast("long").alias("n_chars"))
 
 
 def q_decode_words(spark, sf_dir):

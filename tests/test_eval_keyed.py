@@ -119,11 +119,13 @@ def test_vocab_extend_and_check(spark):
 def test_codepoint_and_word_tokenizers(spark):
     texts = [(0, "ཀ་ཁ་། \U0001F600 é"), (1, ""), (2, "  lead  trail  "), (3, "b a b")]
     df = spark.createDataFrame(texts, "doc_id bigint, text string")
-    t = tk.tokenise_codepoint(df)
-    rows = {r.doc_id: r for r in t.select("doc_id", "input_ids", tk.decode_codepoint("input_ids").alias("d")).collect()}
-    for i, s in texts:
-        assert rows[i].d == s
-        assert list(rows[i].input_ids) == [tk.CP_BOS] + [ord(c) for c in s] + [tk.CP_EOS]
+    for engine in ("sql", "arrow"):
+        t = tk.tokenise_codepoint(df, engine=engine)
+        rows = {r.doc_id: r for r in t.select("doc_id", "input_ids", tk.decode_codepoint("input_ids").alias("d")).collect()}
+        arrow = {r.doc_id: r.text for r in tk.decode_codepoint_arrow(t).collect()}
+        for i, s in texts:
+            assert rows[i].d == s and arrow[i] == s
+            assert list(rows[i].input_ids) == [tk.CP_BOS] + [ord(c) for c in s] + [tk.CP_EOS]
     v = tk.word_vocab(df, 5)
     assert [(r.id, r.piece) for r in v.orderBy("id").collect()] == [(0, "<unk>"), (1, "<s>"), (2, "</s>"), (3, "b"), (4, "a")]
     w = {r.doc_id: list(r.input_ids) for r in tk.tokenise_word(df, v).collect()}
