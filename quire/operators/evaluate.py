@@ -73,17 +73,15 @@ def fit_bigram(train: DataFrame, ids_col: str = "input_ids") -> tuple[DataFrame,
     return pairs, model, int(v)
 
 
-def _broadcast_checked(df: DataFrame, max_rows: int) -> DataFrame:
-    return F.broadcast(df) if df.count() <= max_rows else df
-
-
 def score_bigram(test: DataFrame, pairs: DataFrame, model: DataFrame, vocab_size: int,
                  by: Sequence[str] = (), k: float = SMOOTHING, ids_col: str = "input_ids") -> DataFrame:
     """Per (by..., a, b): test count m, loss -ln((c+k)/(n_a+kV)) and whether
     the model's prediction for a is b. Pre-aggregated, ready to sum."""
     m = pair_counts(test, by=by, ids_col=ids_col)
+    # the model has one row per distinct training token, so V bounds its size
+    small = F.broadcast(model) if vocab_size <= MAX_BROADCAST_MODEL else model
     j = (m.join(pairs, on=["a", "b"], how="left")
-          .join(_broadcast_checked(model, MAX_BROADCAST_MODEL), on="a", how="left"))
+          .join(small, on="a", how="left"))
     c = F.coalesce(F.col("c"), F.lit(0)).cast("double")
     n = F.coalesce(F.col("n_a"), F.lit(0)).cast("double")
     nll = -F.log((c + F.lit(k)) / (n + F.lit(k * vocab_size)))

@@ -157,7 +157,7 @@ def decode_codepoint(ids: Column | str, special: Sequence[int] = (CP_BOS, CP_EOS
 
 
 def split_words(text: Column | str) -> Column:
-    return F.filter(F.split(_c(text), WORD_SEP, -1), lambda w: w != "")
+    return F.array_remove(F.split(_c(text), WORD_SEP, -1), "")
 
 
 def word_vocab(df: DataFrame, size: int, text_col: str = "text",
@@ -182,10 +182,9 @@ def word_vocab(df: DataFrame, size: int, text_col: str = "text",
 
 def collect_vocab(vocab: DataFrame, max_size: int = MAX_BROADCAST_VOCAB) -> tuple[list, list]:
     """Bring a vocabulary to the driver only behind a size check."""
-    n = vocab.count()
-    if n > max_size:
-        raise ValueError(f"vocabulary has {n} entries, above the broadcast bound {max_size}")
-    rows = vocab.select("id", "piece").collect()
+    rows = vocab.select("id", "piece").limit(max_size + 1).collect()   # one job, bounded
+    if len(rows) > max_size:
+        raise ValueError(f"vocabulary has more than {max_size} entries, the broadcast bound")
     return [r["piece"] for r in rows], [int(r["id"]) for r in rows]
 
 
