@@ -22,7 +22,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.functions.arrays import ones_like
@@ -79,23 +79,46 @@ def _assemble(slices: DataFrame, keys: Sequence[str], block: int, remainder: str
     return blocks.select(*keys, "_b", "input_ids", mask.alias("attention_mask"), labels.alias("labels"))
 
 
+def _tokenise_late(df: DataFrame, tokenise, expected: str, ids_col: str) -> DataFrame:
+    """Tokenise after the offsets are known; fail loudly if the token count
+    differs from the size expression the offsets were computed with."""
+    t = tokenise(df)
+    ok = F.size(ids_col) == F.col(expected)
+    return t.withColumn(ids_col, F.when(ok, F.col(ids_col)).otherwise(
+        F.raise_error(F.lit("token count differs from the size expression given to pack")))).drop(expected)
+
+
 def pack(df: DataFrame, block: int = 256, mode: str = "global", remainder: str = "reference",
          group: Sequence[str] = ("source",), order: Sequence[str] = ("doc_id",),
          ids_col: str = "input_ids", workers: int = 8, batch_rows: int = 1000,
          pad_id: int = 0, bucket_rows: int = DEFAULT_BUCKET_ROWS,
-         bucket: Sequence | None = None) -> DataFrame:
+         bucket: Sequence | None = None, tokenise=None, size: Column | None = None,
+         text_col: str = "text") -> DataFrame:
     """Pack token lists into blocks. Output: group columns, ``block_id``,
     ``input_ids``, ``attention_mask``, ``labels`` (labels copy the ids, F10).
 
     ``mode="global"``: one concatenation per group; independent of any
     worker count. ``mode="batch"``: the group is cut into ``workers``
     contiguous shards and each shard into batches of ``batch_rows`` rows; the
-    remainder rule applies per batch (the reference's per-map-batch rule)."""
+    remainder rule applies per batch (the reference's per-map-batch rule).
+
+    With ``tokenise`` and ``size`` (a cheap Column giving each text's token
+    count, e.g. :func:`quire.operators.tokenise.codepoint_size`), ``df``
+    holds text: offsets are computed from ``size``, the text (smaller than
+    its ids) is what gets shuffled, and tokenisation runs once, after the
+    shuffle."""
     group, order = list(group), list(order)
-    base = df.select(*group, *order, ids_col)
+    late = tokenise is not None
+    if late and size is None:
+        df, late = tokenise(df), False
+    payload = text_col if late else ids_col
+    base = df.select(*group, *order, payload)
+    n_expr = size if late else F.size(ids_col)
     if mode == "global":
-        idx = dense_index(base, order=order, group=group, size=F.size(ids_col),
+        idx = dense_index(base.withColumn("_exp", n_expr), order=order, group=group, size=F.col("_exp"),
                           bucket=bucket, bucket_rows=bucket_rows, offset_col="_off")
+        if late:
+            idx = _tokenise_late(idx, tokenise, "_exp", ids_col)
         out = _assemble(_slices(idx, group, block, ids_col), group, block, remainder, pad_id)
         return out.withColumnRenamed("_b", "block_id")
     if mode != "batch":
@@ -113,9 +136,11 @@ def pack(df: DataFrame, block: int = 256, mode: str = "global", remainder: str =
                 .withColumn("_batch", F.floor((i - start) / batch_rows).cast("long")))
     bkeys = group + ["_shard", "_batch"]
     within = Window.partitionBy(*bkeys).orderBy(*order)
+    keyed = keyed.withColumn("_exp", n_expr)
     keyed = keyed.withColumn(
-        "_off", F.sum(F.size(ids_col)).over(within.rowsBetween(Window.unboundedPreceding, 0))
-        - F.size(ids_col))
+        "_off", F.sum("_exp").over(within.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_exp"))
+    if late:
+        keyed = _tokenise_late(keyed, tokenise, "_exp", ids_col)
     local = _assemble(_slices(keyed, bkeys, block, ids_col), bkeys, block, remainder, pad_id)
     # dense block ids per group: blocks of earlier (shard, batch) come first
     per_batch = local.groupBy(*bkeys).agg(F.count(F.lit(1)).alias("_k"))

@@ -38,7 +38,10 @@ def cp_tokens(spark, sf_dir) -> DataFrame:
 
 
 def cp_blocks(spark, sf_dir, remainder: str = "reference", mode: str = "global") -> DataFrame:
-    return pack(cp_tokens(spark, sf_dir), block=BLOCK, mode=mode, remainder=remainder)
+    """Documents -> code point blocks; tokenised once, after the offsets."""
+    from quire.operators.tokenise import codepoint_size
+    return pack(documents(spark, sf_dir, "source", "doc_id", "text"), block=BLOCK, mode=mode,
+                remainder=remainder, tokenise=tokenise_codepoint, size=codepoint_size("text"))
 
 
 # --- section 2.1 / 2.3 / 2.4: minimum slice --------------------------------
@@ -95,8 +98,10 @@ def line_tokens(spark, sf_dir) -> DataFrame:
 
 
 def q_pack_batch(spark, sf_dir):
-    b = pack(line_tokens(spark, sf_dir), block=BLOCK, mode="batch", order=["doc_id", "pos"],
-             bucket=[F.floor(F.col("doc_id") / LINE_BUCKET_DOCS)], workers=8, batch_rows=1000)
+    from quire.operators.tokenise import codepoint_size
+    b = pack(doc_lines(spark, sf_dir), block=BLOCK, mode="batch", order=["doc_id", "pos"],
+             bucket=[F.floor(F.col("doc_id") / LINE_BUCKET_DOCS)], workers=8, batch_rows=1000,
+             tokenise=tokenise_codepoint, size=codepoint_size("text"))
     return b.select("source", "block_id", F.size("input_ids").cast("long").alias("n_tokens"),
                     ids_text().alias("ids"))
 
@@ -237,7 +242,8 @@ def q_cache_manifest(spark, sf_dir):
         .select("source", "line_no", "text")
 
     def build(todo):
-        return pack(tokenise_codepoint(todo), block=BLOCK, order=["line_no"])
+        from quire.operators.tokenise import codepoint_size
+        return pack(todo, block=BLOCK, order=["line_no"], tokenise=tokenise_codepoint, size=codepoint_size("text"))
 
     root = scratch_path(spark, "cache")
     _, manifest = materialise(lines, build, root, BLOCK, "codepoint-v1")

@@ -30,8 +30,11 @@ def prepare_blocks(spark: SparkSession, corpus_dir: str, cache_root: str, block:
     if debug_first_only:
         lines = first_source(lines)
 
+    from quire.operators.tokenise import codepoint_size
+    count = codepoint_size("text") if tokenise is tokenise_codepoint else None
+
     def build(todo: DataFrame) -> DataFrame:
-        return pack(tokenise(todo), block=size, order=["line_no"], mode=mode)
+        return pack(todo, block=size, order=["line_no"], mode=mode, tokenise=tokenise, size=count)
 
     return materialise(lines, build, cache_root, size, tokenizer_fp, overwrite=overwrite_cache)
 

@@ -126,3 +126,18 @@ def test_block_size_rule():
     assert effective_block_size(None, 4096) == 1024
     assert effective_block_size(256, 128) == 128
     assert effective_block_size(256, None) == 256
+
+
+def test_late_tokenisation_equals_early(spark):
+    from quire.operators.tokenise import codepoint_size, tokenise_codepoint
+    texts = [("s", i, "ཀ་ཁ་ " * (i % 9) + "x" * (i % 4)) for i in range(80)] + [("t", 0, "")]
+    df = spark.createDataFrame(texts, "source string, doc_id bigint, text string")
+    early = collect_blocks(pack(tokenise_codepoint(df), block=16))
+    late = collect_blocks(pack(df, block=16, tokenise=tokenise_codepoint, size=codepoint_size("text")))
+    assert early == late
+    for mode_kw in ({"mode": "batch", "workers": 3, "batch_rows": 7},):
+        assert collect_blocks(pack(tokenise_codepoint(df), block=16, **mode_kw)) == \
+            collect_blocks(pack(df, block=16, tokenise=tokenise_codepoint, size=codepoint_size("text"), **mode_kw))
+    wrong = pack(df, block=16, tokenise=tokenise_codepoint, size=codepoint_size("text", bos=None))
+    with pytest.raises(Exception, match="token count differs"):
+        wrong.collect()
