@@ -46,7 +46,8 @@ def accuracy(df: DataFrame, pred: str, ref: str, normalize: bool = True,
     match = (F.col(pred) == F.col(ref))
     if weight:
         w = F.col(weight).cast("double")
-        v = F.sum(F.when(match, w).otherwise(0.0)) / F.sum(w) if normalize else F.sum(F.when(match, w).otherwise(0.0))
+        v = F.try_divide(F.sum(F.when(match, w).otherwise(0.0)), F.sum(w)) if normalize \
+            else F.sum(F.when(match, w).otherwise(0.0))
     else:
         v = F.avg(match.cast("double")) if normalize else F.count_if(match).cast("double")
     return df.agg(F.count(F.lit(1)).alias("n"), v.alias("accuracy"))
@@ -93,8 +94,8 @@ def summarise(scored: DataFrame, by: Sequence[str] = (), rollup: bool = False) -
     """tokens, accuracy, eval loss and perplexity = exp(loss)."""
     aggs = [
         F.sum("m").cast("long").alias("tokens"),
-        (F.sum(F.when(F.col("hit"), F.col("m")).otherwise(0)) / F.sum("m")).alias("accuracy"),
-        (F.sum(F.col("m") * F.col("nll")) / F.sum("m")).alias("eval_loss"),
+        F.try_divide(F.sum(F.when(F.col("hit"), F.col("m")).otherwise(0)), F.sum("m")).alias("accuracy"),
+        F.try_divide(F.sum(F.col("m") * F.col("nll")), F.sum("m")).alias("eval_loss"),
     ]
     g = scored.rollup(*by) if rollup else (scored.groupBy(*by) if by else scored)
     out = g.agg(*aggs)

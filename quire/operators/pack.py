@@ -142,8 +142,21 @@ def pack(df: DataFrame, block: int = 256, mode: str = "global", remainder: str =
     if late:
         keyed = _tokenise_late(keyed, tokenise, "_exp", ids_col)
     local = _assemble(_slices(keyed, bkeys, block, ids_col), bkeys, block, remainder, pad_id)
-    # dense block ids per group: blocks of earlier (shard, batch) come first
-    per_batch = local.groupBy(*bkeys).agg(F.count(F.lit(1)).alias("_k"))
+    # dense block ids per group: blocks of earlier (shard, batch) come first.
+    # A batch's block count follows from its token total and the remainder
+    # rule, so it is computed from sizes alone (no second pass over blocks).
+    total = F.sum("_exp")
+    full = F.floor(total / block)
+    if remainder == "reference":
+        k = F.when(total >= block, full).when(total > 0, F.lit(1)).otherwise(F.lit(0))
+    elif remainder == "drop":
+        k = full
+    else:
+        k = F.ceil(total / block)
+    sizes = idx.withColumn("_shard", shard.cast("long")) \
+               .withColumn("_batch", F.floor((i - start) / batch_rows).cast("long")) \
+               .withColumn("_exp", n_expr)
+    per_batch = sizes.groupBy(*bkeys).agg(k.cast("long").alias("_k"))
     before = Window.partitionBy(*group).orderBy("_shard", "_batch").rowsBetween(Window.unboundedPreceding, -1)
     per_batch = per_batch.select(*bkeys, F.coalesce(F.sum("_k").over(before), F.lit(0)).alias("_base"))
     return (local.join(per_batch, on=bkeys)

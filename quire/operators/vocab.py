@@ -44,4 +44,4 @@ def compare_lengths(a: DataFrame, b: DataFrame, key: str, by: str,
     return j.rollup(by).agg(
         F.sum("_na").cast("long").alias("tokens_a"),
         F.sum("_nb").cast("long").alias("tokens_b"),
-    ).withColumn("reduction", F.round(1 - F.col("tokens_b") / F.col("tokens_a"), 6))
+    ).withColumn("reduction", F.round(1 - F.try_divide(F.col("tokens_b"), F.col("tokens_a")), 6))

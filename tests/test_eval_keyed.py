@@ -136,3 +136,8 @@ def test_codepoint_and_word_tokenizers(spark):
     assert ids.select(drop_special("ids", [1, 2])).first()[0] == [5, 5]
     look = tk.token_ids(spark.createDataFrame([("a",), ("zz",)], "piece string"), v)
     assert {r.piece: r.id for r in look.collect()} == {"a": 4, "zz": 0}
+
+
+def test_zero_weights_give_null_not_error(spark):
+    df = spark.createDataFrame([(1, 1, 0.0), (0, 1, 0.0)], "p int, r int, w double")
+    assert ev.accuracy(df, "p", "r", weight="w").first().accuracy is None
