@@ -65,12 +65,20 @@ def fit_bigram(train: DataFrame, ids_col: str = "input_ids") -> tuple[DataFrame,
     """E5: pair counts c(a,b), the per-token model (n(a), most frequent next
     token, ties to the smaller id), and the vocabulary size V (distinct
     tokens in the training blocks)."""
-    pairs = pair_counts(train, ids_col=ids_col).withColumnRenamed("m", "c")
+    from quire.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(train.sparkSession)
+    # the fitted counts are the model: written once (reliable checkpoint) and
+    # read by the vocabulary count, the model table and the scoring joins
+    pairs = pair_counts(train, ids_col=ids_col).withColumnRenamed("m", "c").checkpoint(eager=True)
     model = pairs.groupBy("a").agg(
         F.sum("c").alias("n_a"),
         F.max(F.struct(F.col("c"), (-F.col("b")).alias("nb"))).alias("_best"),
     ).select("a", "n_a", (-F.col("_best.nb")).alias("pred"))
-    v = train.select(F.explode(ids_col).alias("t")).agg(F.count_distinct("t")).first()[0]
+    # every token of a block with two or more tokens is in some pair; a
+    # one-token block adds its token alone
+    lone = train.where(F.size(ids_col) == 1).select(F.col(ids_col)[0].alias("t"))
+    toks = pairs.select(F.col("a").alias("t")).unionByName(pairs.select(F.col("b").alias("t"))).unionByName(lone)
+    v = toks.agg(F.count_distinct("t")).first()[0]
     return pairs, model, int(v)
 
 
