@@ -163,29 +163,49 @@ def _expected_counts_prob(word: str, freq: float, prob: dict, max_len: int):
 # Spark jobs
 # --------------------------------------------------------------------------
 
+FLUSH_ENTRIES = 1_000_000
+
+
+def _flush(acc: dict, key: str, val: str) -> pd.DataFrame:
+    out = pd.DataFrame({key: list(acc), val: [float(v) for v in acc.values()]})
+    acc.clear()
+    return out
+
+
 def word_counts(df: DataFrame, text_col: str = "text") -> DataFrame:
-    """(word, freq) over all pre-tokens; Arrow batch map + partial aggregation."""
+    """(word, freq) over all pre-tokens. Counted inside each task first (a
+    dictionary flushed every ``FLUSH_ENTRIES`` words), then summed by a
+    group-by: one row per distinct word and task crosses the shuffle."""
     def run(batches):
+        acc: dict = {}
         for pdf in batches:
-            words = [w for t in pdf[text_col].fillna("") for w in pre_tokens(t)]
-            yield pd.DataFrame({"word": words})
+            for t in pdf[text_col].fillna(""):
+                for w in pre_tokens(t):
+                    acc[w] = acc.get(w, 0) + 1
+            if len(acc) >= FLUSH_ENTRIES:
+                yield _flush(acc, "word", "freq")
+        if acc:
+            yield _flush(acc, "word", "freq")
     ship_package(df.sparkSession)
-    words = df.select(text_col).mapInPandas(run, "word string")
-    return words.groupBy("word").agg(F.count(F.lit(1)).cast("double").alias("freq"))
+    words = df.select(text_col).mapInPandas(run, "word string, freq double")
+    return words.groupBy("word").agg(F.sum("freq").alias("freq"))
 
 
 def seed_pieces(words: DataFrame, seed_size: int, max_len: int) -> DataFrame:
     """Initial pieces: every character, plus the most frequent substrings up
     to ``max_len`` (weighted by word frequency, ties by piece)."""
     def run(batches):
+        acc: dict = {}
         for pdf in batches:
-            pieces, freqs = [], []
             for w, f in zip(pdf["word"], pdf["freq"]):
                 for i in range(len(w)):
                     for j in range(i + 1, min(len(w), i + max_len) + 1):
-                        pieces.append(w[i:j])
-                        freqs.append(f)
-            yield pd.DataFrame({"piece": pieces, "c": freqs})
+                        p = w[i:j]
+                        acc[p] = acc.get(p, 0.0) + f
+            if len(acc) >= FLUSH_ENTRIES:
+                yield _flush(acc, "piece", "c")
+        if acc:
+            yield _flush(acc, "piece", "c")
     ship_package(words.sparkSession)
     subs = words.mapInPandas(run, "piece string, c double").groupBy("piece").agg(F.sum("c").alias("c"))
     chars = subs.where(F.length("piece") == 1)
@@ -198,15 +218,15 @@ def _e_step_fn(bc, max_len):
     def run(batches):
         logp = bc.value
         prob = {p: math.exp(v) for p, v in logp.items()}
-        for pdf in batches:
-            acc: dict = {}
-            total_ll = 0.0
+        acc: dict = {}
+        total_ll = 0.0
+        for pdf in batches:                      # one row per piece and task
             for w, f in zip(pdf["word"], pdf["freq"]):
                 counts, ll = expected_counts(w, float(f), logp, max_len, prob)
                 total_ll += ll
                 for p, c in counts.items():
                     acc[p] = acc.get(p, 0.0) + c
-            yield pd.DataFrame({"piece": list(acc) + [""], "c": list(acc.values()) + [total_ll]})
+        yield pd.DataFrame({"piece": list(acc) + [""], "c": list(acc.values()) + [total_ll]})
     return run
 
 
