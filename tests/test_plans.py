@@ -59,3 +59,14 @@ def test_metrics_sink(spark, tmp_path):
     write_metrics(metrics_long(wide, "eval", ["eval_loss", "perplexity"]), str(tmp_path / "m"))
     got = {(r.phase, r.metric): r.value for r in read_metrics(spark, str(tmp_path / "m")).collect()}
     assert got == {("eval", "eval_loss"): 0.5, ("eval", "perplexity"): 12.0}
+
+
+def test_prediction_input_modes(spark):
+    from quire.operators.infer import answer_pipeline
+    q = spark.createDataFrame([(0, "why?")], "idx bigint, question string")
+    raw = answer_pipeline(q, stub_model, input="raw").first()
+    prompt = answer_pipeline(q, stub_model, input="prompt").first()
+    assert raw.Input == "why?" and prompt.Input.endswith("<|start_header_id|>assistant<|end_header_id|>\n\n")
+    assert raw.Output == prompt.Output == "why?"
+    plain = answer_pipeline(q, stub_model, with_prompt=False).first()
+    assert plain.Output.endswith("why?")
