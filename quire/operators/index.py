@@ -22,6 +22,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DEFAULT_BUCKET_ROWS = 4096
 
@@ -48,15 +49,27 @@ def dense_index(df: DataFrame, order: Sequence[str], group: Sequence[str] = (),
     order = list(order)
     bucket = list(bucket) if bucket is not None else default_bucket(order, bucket_rows)
     bcols = [f"_qb{i}" for i in range(len(bucket))]
-    keys = group + bcols
     sz = (F.col(size) if isinstance(size, str) else size) if size is not None else F.lit(1)
     d = df.select("*", *[b.alias(n) for b, n in zip(bucket, bcols)], sz.cast("long").alias("_qsz"))
 
+    # Each key becomes two non-null columns (is-null flag, value or default):
+    # the join and the window then use plain equality on the same columns
+    # (one shuffle, no inferred null filters) and a NULL key keeps its rows.
+    enc_g, enc_b, enc_cols = [], [], []
+    for n, k in enumerate(group + bcols):
+        flag, val = f"_qn{n}", f"_qv{n}"
+        enc_cols += [F.isnull(k).alias(flag), F.coalesce(F.col(k), _default(d.schema[k].dataType)).alias(val)]
+        (enc_g if n < len(group) else enc_b).append((flag, val))
+    d = d.select("*", *enc_cols)
+    g_keys = [c for fv in enc_g for c in fv]
+    keys = g_keys + [c for fv in enc_b for c in fv]
+    b_order = [x for flag, val in enc_b for x in (F.col(flag).desc(), F.col(val).asc())]
+
     # bucket totals: partially aggregated before the shuffle (one small row
     # per bucket and task); only the payload join below moves whole rows.
     totals = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("_qn"), F.sum("_qsz").alias("_qs"))
-    before = Window.partitionBy(*group).orderBy(*bcols).rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*group)
+    before = Window.partitionBy(*g_keys).orderBy(*b_order).rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*g_keys)
     extra = []
     if group_rows_col:
         extra.append(F.sum("_qn").over(whole).alias(group_rows_col))
@@ -74,7 +87,19 @@ def dense_index(df: DataFrame, order: Sequence[str], group: Sequence[str] = (),
     if offset_col:
         running = F.sum("_qsz").over(inner.rowsBetween(Window.unboundedPreceding, Window.currentRow))
         j = j.withColumn(offset_col, F.col("_qsb") + running - F.col("_qsz"))
-    return j.drop(*bcols, "_qsz", "_qrb", "_qsb")
+    return j.drop(*bcols, *keys, "_qsz", "_qrb", "_qsb")
+
+
+def _default(dt: T.DataType) -> Column:
+    """A non-null stand-in value of the key's type (paired with its is-null flag)."""
+    if isinstance(dt, T.StringType):
+        return F.lit("")
+    if isinstance(dt, T.BooleanType):
+        return F.lit(False)
+    if isinstance(dt, T.NumericType):
+        return F.lit(0).cast(dt)
+    return F.lit(0).cast(dt) if isinstance(dt, (T.DateType, T.TimestampType, T.TimestampNTZType)) \
+        else F.lit("").cast(dt)
 
 
 def md5_key(seed: int | str, *cols: Column | str) -> Column:

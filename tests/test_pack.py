@@ -141,3 +141,12 @@ def test_late_tokenisation_equals_early(spark):
     wrong = pack(df, block=16, tokenise=tokenise_codepoint, size=codepoint_size("text", bos=None))
     with pytest.raises(Exception, match="token count differs"):
         wrong.collect()
+
+
+def test_null_keys_are_kept(spark):
+    rows = [(None, 1, [1, 2]), (None, None, [3]), ("a", None, [4, 5]), ("a", 2, [6])]
+    df = spark.createDataFrame(rows, SCHEMA)
+    idx = {(r.source, r.idx): r.i for r in dense_index(df, order=["idx"], group=["source"], idx_col="i").collect()}
+    assert idx == {(None, None): 0, (None, 1): 1, ("a", None): 0, ("a", 2): 1}
+    blocks = collect_blocks(pack(df, block=2, order=["idx"], remainder="keep"))
+    assert blocks == {(None, 0): [3, 1], (None, 1): [2], ("a", 0): [4, 5], ("a", 1): [6]}
