@@ -159,7 +159,9 @@ def pack(df: DataFrame, block: int = 256, mode: str = "global", remainder: str =
     per_batch = sizes.groupBy(*bkeys).agg(k.cast("long").alias("_k"))
     before = Window.partitionBy(*group).orderBy("_shard", "_batch").rowsBetween(Window.unboundedPreceding, -1)
     per_batch = per_batch.select(*bkeys, F.coalesce(F.sum("_k").over(before), F.lit(0)).alias("_base"))
-    return (local.join(per_batch, on=bkeys)
+    pb = per_batch.select(*[F.col(k).alias(f"_pb{k}") for k in bkeys], "_base")
+    cond = [local[k].eqNullSafe(pb[f"_pb{k}"]) for k in bkeys]      # NULL sources keep their blocks
+    return (local.join(pb, on=cond)
                  .select(*group, (F.col("_base") + F.col("_b")).alias("block_id"),
                          "input_ids", "attention_mask", "labels"))
 

@@ -150,3 +150,11 @@ def test_null_keys_are_kept(spark):
     assert idx == {(None, None): 0, (None, 1): 1, ("a", None): 0, ("a", 2): 1}
     blocks = collect_blocks(pack(df, block=2, order=["idx"], remainder="keep"))
     assert blocks == {(None, 0): [3, 1], (None, 1): [2], ("a", 0): [4, 5], ("a", 1): [6]}
+
+
+def test_null_source_batch_mode(spark):
+    rows = [(None, 1, [1, 2, 3]), (None, 2, [4]), ("a", 1, [5, 6])]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = collect_blocks(pack(df, block=2, mode="batch", order=["idx"], workers=2, batch_rows=5))
+    want = ref_pack_batch([(r[0] or "", r[1], r[2]) for r in rows], 2, 2, 5)
+    assert got == {(k[0] or None, k[1]): v for k, v in want.items()}
