@@ -20,6 +20,7 @@ HEADLINE = [
     "tokenise_codepoint", "tokenise_word", "pack_global", "pack_batch", "split_test",
     "mix_tokens", "batch_rows", "perplexity", "metric_rollup", "decode_roundtrip",
     "render_chat", "turn_pairs", "batch_generate", "low_rank", "last_wins", "line_numbers",
+    "train_unigram",
 ]
 
 
