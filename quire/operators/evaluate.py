@@ -9,7 +9,7 @@ combined map-side like any other.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -110,6 +110,16 @@ def summarise(scored: DataFrame, by: Sequence[str] = (), rollup: bool = False) -
     return out.withColumn("perplexity", F.exp("eval_loss"))
 
 
+def metric_report(df: DataFrame, metrics: Mapping[str, Column], by: Sequence[str] = (),
+                  rollup: bool = True) -> DataFrame:
+    """Pluggable metrics (U2, E6): each named aggregate Column is computed per
+    ``by`` group, with subtotals and a grand total when ``rollup``."""
+    aggs = [c.alias(n) for n, c in metrics.items()]
+    if not by:
+        return df.agg(*aggs)
+    return (df.rollup(*by) if rollup else df.groupBy(*by)).agg(*aggs)
+
+
 def perplexity(df: DataFrame, nll: str = "nll", by: Sequence[str] = ()) -> DataFrame:
     """E3 on token rows: exp(mean nll); an overflow is +Infinity."""
     g = df.groupBy(*by) if by else df

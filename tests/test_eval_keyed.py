@@ -141,3 +141,12 @@ def test_codepoint_and_word_tokenizers(spark):
 def test_zero_weights_give_null_not_error(spark):
     df = spark.createDataFrame([(1, 1, 0.0), (0, 1, 0.0)], "p int, r int, w double")
     assert ev.accuracy(df, "p", "r", weight="w").first().accuracy is None
+
+
+def test_metric_report_pluggable(spark):
+    df = spark.createDataFrame([("a", "x", 1, 1), ("a", "y", 0, 1), ("b", "x", 1, 1)], "g string, h string, p int, r int")
+    rep = ev.metric_report(df, {"n": F.count(F.lit(1)), "acc": F.avg((F.col("p") == F.col("r")).cast("double"))}, by=["g"])
+    got = {r.g: (r.n, r.acc) for r in rep.collect()}
+    assert got == {"a": (2, 0.5), "b": (1, 1.0), None: (3, 2 / 3)}
+    flat = ev.metric_report(df, {"n": F.count(F.lit(1))}, by=["g", "h"], rollup=False)
+    assert flat.count() == 3
