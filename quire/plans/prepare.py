@@ -50,3 +50,24 @@ def split_and_cap(blocks: DataFrame, frac: float, seed: int, max_train: int | No
     if max_eval is not None:
         test = cap(test, max_eval, seed, ["source", "block_id"])
     return train, test
+
+
+def with_validation_files(spark: SparkSession, corpus_dir: str, validation_paths: list[str], cache_root: str,
+                          block: int | None = 256, model_max: int | None = None,
+                          tokenise: Callable[[DataFrame], DataFrame] = tokenise_codepoint,
+                          tokenizer_fp: str = "codepoint-v1") -> tuple[DataFrame, DataFrame]:
+    """Named validation files replace the split (S12): train = every block of
+    the corpus folder, test = the blocks of the validation files, each packed
+    and cached the same way (separate cache roots)."""
+    size = effective_block_size(block, model_max)
+    from quire.operators.tokenise import codepoint_size
+    count = codepoint_size("text") if tokenise is tokenise_codepoint else None
+
+    def build(todo: DataFrame) -> DataFrame:
+        return pack(todo, block=size, order=["line_no"], tokenise=tokenise, size=count)
+
+    train, _ = prepare_blocks(spark, corpus_dir, f"{cache_root.rstrip('/')}/train", block=size,
+                              tokenise=tokenise, tokenizer_fp=tokenizer_fp)
+    val_lines = scan_corpus(spark, paths=list(validation_paths))
+    test, _ = materialise(val_lines, build, f"{cache_root.rstrip('/')}/validation", size, tokenizer_fp)
+    return train, test

@@ -70,3 +70,13 @@ def test_prediction_input_modes(spark):
     assert raw.Output == prompt.Output == "why?"
     plain = answer_pipeline(q, stub_model, with_prompt=False).first()
     assert plain.Output.endswith("why?")
+
+
+def test_validation_files_replace_split(spark, tmp_path):
+    from quire.plans.prepare import with_validation_files
+    corpus, cache = str(tmp_path / "corpus"), str(tmp_path / "cache")
+    _w(f"{corpus}/a.txt", "".join(f"train line {i}\n" for i in range(50)))
+    _w(str(tmp_path / "val" / "v.txt"), "".join(f"valid {i}\n" for i in range(30)))
+    train, test = with_validation_files(spark, corpus, [str(tmp_path / "val" / "v.txt")], cache, block=16)
+    assert {r.source for r in train.collect()} == {"a"}
+    assert {r.source for r in test.collect()} == {"v"} and test.count() > 0
