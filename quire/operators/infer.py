@@ -10,12 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quire.session import ship_package
-from quire.functions.text import (DEFAULT_SYSTEM_PROMPT, cut_at_stop, drop_markers, extract_answer,
+from quire.functions.text import (DEFAULT_SYSTEM_PROMPT, cut_at_stop, extract_answer,
                                   render_prompt, render_turn)
 
 Model = Callable[[list[str]], list[str]]

@@ -18,7 +18,6 @@ from __future__ import annotations
 import math
 import re
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F

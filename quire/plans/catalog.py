@@ -7,10 +7,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quire.functions.arrays import argmax, drop_special, label_typing
+from quire.functions.text import (cut_at_stop, drop_markers, extract_answer, is_blank, py_strip,
+                                  render_prompt, source_key, url_host)
+from quire.operators import dataset as ds
+from quire.operators import evaluate as ev
+from quire.operators import infer, keyed
+from quire.operators import tokenise as tk
+from quire.operators import unigram as ug
+from quire.operators import vocab as vc
 from quire.operators.index import dense_index
 from quire.operators.pack import accounting, pack
-from quire.operators.tokenise import tokenise_codepoint
+from quire.operators.tokenise import codepoint_size, tokenise_codepoint
+from quire.session import scratch_path
+from quire.sources import corpus as src
+from quire.sources.sinks import materialise
 from quire.sources.tables import table
+from quire.streaming import stream as st
 
 BLOCK = 256
 SEED = 42
@@ -39,7 +52,6 @@ def cp_tokens(spark, sf_dir) -> DataFrame:
 
 def cp_blocks(spark, sf_dir, remainder: str = "reference", mode: str = "global") -> DataFrame:
     """Documents -> code point blocks; tokenised once, after the offsets."""
-    from quire.operators.tokenise import codepoint_size
     return pack(documents(spark, sf_dir, "source", "doc_id", "text"), block=BLOCK, mode=mode,
                 remainder=remainder, tokenise=tokenise_codepoint, size=codepoint_size("text"))
 
@@ -83,7 +95,6 @@ QUERIES = {
 
 # --- section 2.4: packing variants, dataset operations ------------------------
 
-from quire.operators import dataset as ds  # noqa: E402
 
 SPLIT_FRAC = 0.05
 CAP_ROWS = 100
@@ -98,7 +109,6 @@ def line_tokens(spark, sf_dir) -> DataFrame:
 
 
 def q_pack_batch(spark, sf_dir):
-    from quire.operators.tokenise import codepoint_size
     b = pack(doc_lines(spark, sf_dir), block=BLOCK, mode="batch", order=["doc_id", "pos"],
              bucket=[F.floor(F.col("doc_id") / LINE_BUCKET_DOCS)], workers=8, batch_rows=1000,
              tokenise=tokenise_codepoint, size=codepoint_size("text"))
@@ -196,11 +206,6 @@ QUERIES.update({
 
 # --- section 2.1 / 2.2: sources, sinks, strings --------------------------------
 
-from quire.functions.text import is_blank, py_strip, source_key, url_host  # noqa: E402
-from quire.sources import corpus as src  # noqa: E402
-from quire.sources.sinks import materialise  # noqa: E402
-from quire.session import scratch_path  # noqa: E402
-
 
 def q_first_source(spark, sf_dir):
     return src.first_source(documents(spark, sf_dir, "doc_id", "source"))
@@ -242,7 +247,6 @@ def q_cache_manifest(spark, sf_dir):
         .select("source", "line_no", "text")
 
     def build(todo):
-        from quire.operators.tokenise import codepoint_size
         return pack(todo, block=BLOCK, order=["line_no"], tokenise=tokenise_codepoint, size=codepoint_size("text"))
 
     root = scratch_path(spark, "cache")
@@ -263,9 +267,6 @@ QUERIES.update({
 
 # --- section 2.3: vocabulary ------------------------------------------------------
 
-from quire.functions.arrays import drop_special  # noqa: E402
-from quire.operators import tokenise as tk  # noqa: E402
-from quire.operators import vocab as vc  # noqa: E402
 
 VOCAB_SIZE = 5000
 SUB_VOCAB = 3000
@@ -349,8 +350,6 @@ QUERIES.update({
 
 # --- section 2.5: evaluation -------------------------------------------------------
 
-from quire.functions.arrays import argmax, label_typing  # noqa: E402
-from quire.operators import evaluate as ev  # noqa: E402
 
 MAX_EVAL = 100
 
@@ -436,10 +435,6 @@ QUERIES.update({
 
 # --- section 2.2 / 2.6: prompts, answers, inference -----------------------------
 
-from quire.functions.text import cut_at_stop, drop_markers, extract_answer, render_prompt  # noqa: E402
-from quire.operators import infer  # noqa: E402
-from quire.operators.index import dense_index as _dense_index  # noqa: E402
-
 
 def conversations(spark, sf_dir):
     return table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -474,13 +469,13 @@ def q_turn_pairs(spark, sf_dir):
 
 def q_prediction_record(spark, sf_dir):
     pairs = infer.turn_pairs(conversations(spark, sf_dir))
-    pairs = _dense_index(pairs, order=["conv_id", "turn"])
+    pairs = dense_index(pairs, order=["conv_id", "turn"])
     pairs = pairs.withColumn("prompt", render_prompt("question"))
     return infer.prediction_record(pairs, input="prompt")
 
 
 def q_batch_generate(spark, sf_dir):
-    q = _dense_index(q_questions(spark, sf_dir), order=["item_id", "pos"]).select("idx", "question")
+    q = dense_index(q_questions(spark, sf_dir), order=["item_id", "pos"]).select("idx", "question")
     return infer.answer_pipeline(q, infer.stub_model)
 
 
@@ -498,7 +493,6 @@ QUERIES.update({
 
 # --- section 2.7 / 2.8: keyed merges, name filter ---------------------------------
 
-from quire.operators import keyed  # noqa: E402
 
 LOW_RANK = 4
 ALPHA = 2.0
@@ -573,8 +567,6 @@ QUERIES.update({
 
 # --- section 2.9: streaming ---------------------------------------------------------
 
-from quire.streaming import stream as st  # noqa: E402
-
 
 def q_score_stream(spark, sf_dir):
     """User turns as JSON request files -> request stream -> answers read back."""
@@ -608,7 +600,6 @@ QUERIES.update({
 
 # --- section 2.3: unigram --------------------------------------------------------
 
-from quire.operators import unigram as ug  # noqa: E402
 
 UNIGRAM_SIZE = 2000
 
