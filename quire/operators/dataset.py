@@ -108,8 +108,9 @@ def mix(df: DataFrame, group_col: str, weights: Mapping, seed: int, ids: Sequenc
     d = df.where(F.col(group_col).isin(list(weights)))
     totals = d.groupBy(group_col).agg((F.count(F.lit(1)) if w is None else F.sum(w)).alias("s")).collect()
     targets = mixture_targets({r[group_col]: int(r["s"] or 0) for r in totals}, weights)
-    tdf = df.sparkSession.createDataFrame([(g, int(t)) for g, t in targets.items()],
-                                          f"{group_col} {d.schema[group_col].dataType.simpleString()}, _target long")
+    from quire.sources.tables import literal_rows
+    tdf = literal_rows(df.sparkSession, [(g, int(t)) for g, t in targets.items()],
+                       f"{group_col} {d.schema[group_col].dataType.simpleString()}, _target long")
     keyed = d.withColumn("_key", md5_key(seed, *ids))
     sel = select_prefix(keyed, "_key", list(ids), tdf, group=[group_col], size=w,
                         max_groups=len(weights))

@@ -185,9 +185,9 @@ def word_vocab(df: DataFrame, size: int, text_col: str = "text",
         (F.row_number().over(Window.orderBy(F.col("score").desc(), F.col("piece")))
          + F.lit(len(specials) - 1)).cast("int").alias("id"),
         "piece", "score")
-    spark = df.sparkSession
-    head = spark.createDataFrame([(i, p, 0.0) for i, p in enumerate(specials)],
-                                 "id int, piece string, score double")
+    from quire.sources.tables import literal_rows
+    head = literal_rows(df.sparkSession, [(i, p, 0.0) for i, p in enumerate(specials)],
+                        "id int, piece string, score double")
     return head.unionByName(ranked)
 
 
