@@ -37,10 +37,20 @@ def main():
     names = sys.argv[1:] or HEADLINE
     spark = local_session(cpus=cpus, shuffle_partitions=int(cpus) * 2, app="quire-bench")
     run(spark, "pack_global", sf_dir)  # warm the JVM (JIT) and the Python workers; not counted
-    times = {n: round(run(spark, n, sf_dir), 3) for n in names}
+    times, failed = {}, []
+    for n in names:
+        try:
+            times[n] = round(run(spark, n, sf_dir), 3)
+        except Exception as e:  # keep measuring the others; report the failure
+            print(f"{n} failed: {e}", file=sys.stderr)
+            times[n] = None
+            failed.append(n)
     sf = sf_dir.rstrip("/").rsplit("sf", 1)[-1]
-    print(json.dumps({"metric": "total_query_seconds", "value": round(sum(times.values()), 3),
-                      "unit": "sec", "queries": times, "sf": float(sf) if sf.replace(".", "").isdigit() else sf}))
+    out = {"metric": "total_query_seconds", "value": round(sum(v for v in times.values() if v is not None), 3),
+           "unit": "sec", "queries": times, "sf": float(sf) if sf.replace(".", "").isdigit() else sf}
+    if failed:
+        out["failed"] = failed
+    print(json.dumps(out))
 
 
 if __name__ == "__main__":
