@@ -33,7 +33,7 @@ def select_prefix(df: DataFrame, key: str, ties: Sequence[str], target: int | Da
     groups (None: unknown), which decides whether the bucket table is broadcast."""
     group = list(group)
     d = df.withColumn("_p", F.conv(F.substring(key, 1, prefix_hex), 16, 10).cast("long")) \
-          .withColumn("_w", (size if size is not None else F.lit(1)).cast("long"))
+          .withColumn("_w", F.coalesce((size if size is not None else F.lit(1)).cast("long"), F.lit(0)))
     tot = d.groupBy(*group, "_p").agg(F.sum("_w").alias("_ps"), F.min("_w").alias("_pmin"))
     before = Window.partitionBy(*group).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
     tot = tot.withColumn("_pb", F.coalesce(F.sum("_ps").over(before), F.lit(0)))
@@ -90,6 +90,8 @@ def cap(df: DataFrame, n: int, seed: int, ids: Sequence[str]) -> DataFrame:
 def mixture_targets(sizes: Mapping, weights: Mapping) -> dict:
     """Scale every group to its weight against the limiting group (exact
     rational arithmetic): target_g = floor(w_g * S_h / w_h)."""
+    if any(w < 0 for w in weights.values()) or not any(w > 0 for w in weights.values()):
+        raise ValueError("weights must be >= 0 with at least one positive")
     ratios = {g: Fraction(sizes.get(g, 0)) / Fraction(w) for g, w in weights.items() if w > 0}
     h = min(ratios, key=lambda g: (ratios[g], str(g)))
     return {g: math.floor(Fraction(w) * ratios[h]) if w > 0 else 0 for g, w in weights.items()}
@@ -144,6 +146,8 @@ def batch(df: DataFrame, size: int, order: Sequence[str], ragged: str = "fail",
     ``ragged="fail"`` raises, ``"first"`` repeats the batch's first row (P10)."""
     if ragged not in ("fail", "first"):
         raise ValueError("ragged must be 'fail' or 'first'")
+    if size < 1:
+        raise ValueError("batch size must be at least 1")
     cols = list(cols)
     idx = dense_index(df.select(*order, *cols), order=list(order), bucket=bucket, bucket_rows=bucket_rows)
     g = (idx.withColumn("batch_id", F.floor(F.col("idx") / size).cast("long"))
@@ -190,6 +194,8 @@ def sample_counts(df: DataFrame, phase: str, max_samples: int | None) -> DataFra
 def export_shards(df: DataFrame, n: int, order: Sequence[str], bucket_rows: int = DEFAULT_BUCKET_ROWS) -> DataFrame:
     """Shard number for an export in ``n`` equal parts in ``order``; the
     remainder goes to the last shard (S14): ``least(idx div (N div n), n-1)``."""
+    if n < 1:
+        raise ValueError("the number of shards must be at least 1")
     idx = dense_index(df, order=list(order), bucket_rows=bucket_rows, group_rows_col="_n")
     per = F.floor(F.col("_n") / n)
     shard = F.when(per == 0, F.lit(n - 1)).otherwise(F.least(F.floor(F.col("idx") / per), F.lit(n - 1)))

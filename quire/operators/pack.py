@@ -107,6 +107,8 @@ def pack(df: DataFrame, block: int = 256, mode: str = "global", remainder: str =
     holds text: offsets are computed from ``size``, the text (smaller than
     its ids) is what gets shuffled, and tokenisation runs once, after the
     shuffle."""
+    if block < 1 or workers < 1 or batch_rows < 1:
+        raise ValueError("block, workers and batch_rows must be at least 1")
     group, order = list(group), list(order)
     late = tokenise is not None
     if late and size is None:

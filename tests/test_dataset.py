@@ -86,3 +86,19 @@ def test_concat_schema_check(spark):
         ds.concat_sources([("a", a), ("b", b)], ["x"])
     c = ds.concat_sources([("b", a), ("a", a.union(a))], ["x"]).orderBy("row_idx").collect()
     assert [(r.part, r.row_idx) for r in c] == [("a", 0), ("a", 1), ("b", 2)]
+
+
+def test_argument_checks_and_null_sizes(spark):
+    from quire.operators.pack import pack
+    df = spark.createDataFrame([(1, "x", None), (2, "x", 3), (3, "y", 1)], "id bigint, g string, n int")
+    with pytest.raises(ValueError):
+        ds.mixture_targets({"x": 1}, {"x": 0})
+    with pytest.raises(ValueError):
+        ds.export_shards(df, 0, ["id"])
+    with pytest.raises(ValueError):
+        ds.batch(df, 0, ["id"], cols=["n"])
+    with pytest.raises(ValueError):
+        pack(df.selectExpr("g AS source", "id AS doc_id", "array(1) AS input_ids"), block=0)
+    alone = spark.createDataFrame([(1, "x", None), (2, "y", 3)], "id bigint, g string, n int")
+    got = {r.id for r in ds.mix(alone, "g", {"x": 1, "y": 1}, 5, ["id"], unit="tokens", size="n").collect()}
+    assert got == {1}                                 # a NULL size counts as 0: within a target of 0
