@@ -213,6 +213,28 @@ def seed_pieces(words: DataFrame, seed_size: int, max_len: int) -> DataFrame:
     return chars.unionByName(longer)
 
 
+def digamma(x: float) -> float:
+    """psi(x) for x > 0: recurrence up to x >= 10, then the asymptotic series
+    (truncation error below 1e-12)."""
+    acc = 0.0
+    while x < 10.0:
+        acc -= 1.0 / x
+        x += 1.0
+    inv = 1.0 / x
+    inv2 = inv * inv
+    return acc + math.log(x) - 0.5 * inv - inv2 * (1.0 / 12 - inv2 * (1.0 / 120 - inv2 * (1.0 / 252 - inv2 / 240)))
+
+
+def _m_step(counts: dict, prior: str) -> dict:
+    """Maximum likelihood (``prior="none"``): log(c / total). Bayesian
+    (``prior="digamma"``): psi(c) - psi(total), which shrinks rare pieces."""
+    total = sum(counts.values())
+    if prior == "digamma":
+        lt = digamma(total)
+        return {p: digamma(c) - lt for p, c in counts.items() if c > 0}
+    return {p: math.log(c / total) for p, c in counts.items() if c > 0}
+
+
 def _e_step_fn(bc, max_len):
     def run(batches):
         logp = bc.value
@@ -250,9 +272,12 @@ def _prune_fn(bc, max_len, unk_logp):
 
 def train_unigram(df: DataFrame, vocab_size: int, text_col: str = "text", max_len: int = 8,
                   seed_size: int = 20000, shrink: float = 0.75, em_steps: int = 2,
-                  max_rounds: int = 20) -> DataFrame:
+                  max_rounds: int = 20, prior: str = "none") -> DataFrame:
     """Train a Unigram vocabulary of ``vocab_size`` entries (specials
-    included). Returns (id, piece, score = log probability)."""
+    included). Returns (id, piece, score = log probability). ``prior``
+    selects the M-step (see :func:`_m_step`)."""
+    if prior not in ("none", "digamma"):
+        raise ValueError("prior must be 'none' or 'digamma'")
     from quire.session import ensure_checkpoint_dir
 
     spark = df.sparkSession
@@ -279,7 +304,7 @@ def train_unigram(df: DataFrame, vocab_size: int, text_col: str = "text", max_le
             counts = {r["piece"]: r["c"] for r in sums if r["piece"] != ""}
             for ch in chars:                      # every character stays covered
                 counts.setdefault(ch, 1e-3)
-            logp = normalise(counts)
+            logp = _m_step(counts, prior)
         if len(logp) <= target:
             break
         keep_n = max(target, int(len(logp) * shrink))

@@ -69,3 +69,15 @@ def test_train_unigram_small(spark):
     by_id = {r.id: r.piece for r in rows}
     for t, r in zip(lines, toks):
         assert ug.decode_unigram([by_id[i] for i in r.input_ids]) == t
+
+
+def test_digamma_and_bayesian_m_step(spark):
+    assert math.isclose(ug.digamma(1.0), -0.5772156649015329, rel_tol=1e-10)
+    assert math.isclose(ug.digamma(0.5), -1.9635100260214235, rel_tol=1e-10)
+    assert math.isclose(ug.digamma(10.0), 2.251752589066721, rel_tol=1e-10)
+    lp = ug._m_step({"a": 10.0, "b": 0.5}, "digamma")
+    ml = ug._m_step({"a": 10.0, "b": 0.5}, "none")
+    assert lp["b"] < ml["b"]                          # rare pieces are shrunk
+    df = spark.createDataFrame([("ab ab abc ཀ་ཁ་",)] * 20, "text string")
+    v = ug.train_unigram(df, 12, seed_size=50, prior="digamma")
+    assert v.count() <= 12
