@@ -619,7 +619,16 @@ def q_tokenise_unigram(spark, sf_dir):
                     ids_text().alias("ids"))
 
 
+def q_length_reduction_unigram(spark, sf_dir):
+    """T8 with a learned subword vocabulary: code points vs Unigram pieces."""
+    d = documents(spark, sf_dir, "doc_id", "lang", "text")
+    a = tk.tokenise_codepoint(d, bos=None, eos=None)
+    b = ug.tokenise_unigram(d.select("doc_id", "text"), unigram_vocab(spark, sf_dir), bos=False, eos=False)
+    return vc.compare_lengths(a, b, "doc_id", "lang")
+
+
 QUERIES.update({
     "train_unigram": q_train_unigram,
     "tokenise_unigram": q_tokenise_unigram,
+    "length_reduction_unigram": q_length_reduction_unigram,
 })
