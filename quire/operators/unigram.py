@@ -171,23 +171,52 @@ def _flush(acc: dict, key: str, val: str) -> pd.DataFrame:
     return out
 
 
+def arrow_pre_tokens(texts):
+    """Vectorised :func:`pre_tokens` over an Arrow string array: returns a
+    flat Arrow array of words (C++ kernels; no per-row Python)."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    from quire.functions.text import PY_WHITESPACE_CLASS
+    ws = f"[{PY_WHITESPACE_CLASS}]+"
+    t = pc.fill_null(texts, "")
+    lead = pc.match_substring_regex(t, f"^{ws}")                 # text starts with white space
+    chunks = pc.split_pattern_regex(t, pattern=ws)               # white-space separated chunks
+    n_chunks = pc.list_value_length(chunks).to_numpy(zero_copy_only=False)
+    flat = pc.list_flatten(chunks)
+    row = np.repeat(np.arange(len(t)), n_chunks)
+    pos = np.arange(len(flat)) - np.repeat(np.cumsum(n_chunks) - n_chunks, n_chunks)
+    lead_np = lead.to_numpy(zero_copy_only=False)
+    after_ws = (pos > 0) | lead_np[row]                          # chunk follows white space
+    keep = pc.greater(pc.utf8_length(flat), 0).to_numpy(zero_copy_only=False)
+    flat, after_ws = flat.filter(pa.array(keep)), after_ws[keep]
+    marked = pc.replace_substring_regex(flat, pattern="([་།]+)", replacement="\\1\x00")
+    pieces = pc.split_pattern(marked, pattern="\x00")
+    n_p = pc.list_value_length(pieces).to_numpy(zero_copy_only=False)
+    words = pc.list_flatten(pieces)
+    first = np.zeros(len(words), dtype=bool)
+    starts = np.cumsum(n_p) - n_p
+    first[starts[n_p > 0]] = True
+    prefix = np.repeat(after_ws, n_p) & first
+    words = pc.if_else(pa.array(prefix), pc.binary_join_element_wise(SPACE, words, ""), words)
+    return words.filter(pc.greater(pc.utf8_length(words), 0))
+
+
 def word_counts(df: DataFrame, text_col: str = "text") -> DataFrame:
-    """(word, freq) over all pre-tokens. Counted inside each task first (a
-    dictionary flushed every ``FLUSH_ENTRIES`` words), then summed by a
-    group-by: one row per distinct word and task crosses the shuffle."""
+    """(word, freq) over all pre-tokens: words extracted and counted per
+    Arrow batch with C++ kernels (one row per distinct word and batch), then
+    summed by a group-by."""
     def run(batches):
-        acc: dict = {}
-        for pdf in batches:
-            for t in pdf[text_col].fillna(""):
-                for w in pre_tokens(t):
-                    acc[w] = acc.get(w, 0) + 1
-            if len(acc) >= FLUSH_ENTRIES:
-                yield _flush(acc, "word", "freq")
-        if acc:
-            yield _flush(acc, "word", "freq")
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        for rb in batches:
+            vc = pc.value_counts(arrow_pre_tokens(rb.column(text_col)))
+            yield pa.RecordBatch.from_arrays([vc.field("values"), pc.cast(vc.field("counts"), pa.float64())],
+                                             names=["word", "freq"])
     ship_package(df.sparkSession)
-    words = df.select(text_col).mapInPandas(run, "word string, freq double")
-    return words.groupBy("word").agg(F.sum("freq").alias("freq"))
+    per_batch = df.select(text_col).mapInArrow(run, "word string, freq double")
+    return per_batch.groupBy("word").agg(F.sum("freq").alias("freq"))
 
 
 def seed_pieces(words: DataFrame, seed_size: int, max_len: int) -> DataFrame:

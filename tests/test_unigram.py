@@ -81,3 +81,15 @@ def test_digamma_and_bayesian_m_step(spark):
     df = spark.createDataFrame([("ab ab abc ཀ་ཁ་",)] * 20, "text string")
     v = ug.train_unigram(df, 12, seed_size=50, prior="digamma")
     assert v.count() <= 12
+
+
+def test_arrow_pre_tokens_equal_python():
+    import random
+
+    import pyarrow as pa
+    texts = ["ab cd  ཀ་ཁ་། ef", "  lead", "trail  ", "", "ཀ་ཁ་།ག", "a\tb　c\x1cd", "།།a", "ཀ་ ་ཁ", None]
+    rng = random.Random(1)
+    alpha = ["a", "b", " ", "  ", "་", "།", "ཀ", "\n", "　", "é"]
+    texts += ["".join(rng.choice(alpha) for _ in range(rng.randint(0, 25))) for _ in range(2000)]
+    got = ug.arrow_pre_tokens(pa.array(texts, pa.string())).to_pylist()
+    assert got == [w for t in texts for w in ug.pre_tokens(t or "")]
