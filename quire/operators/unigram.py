@@ -221,21 +221,39 @@ def word_counts(df: DataFrame, text_col: str = "text") -> DataFrame:
 
 def seed_pieces(words: DataFrame, seed_size: int, max_len: int) -> DataFrame:
     """Initial pieces: every character, plus the most frequent substrings up
-    to ``max_len`` (weighted by word frequency, ties by piece)."""
+    to ``max_len`` (weighted by word frequency, ties by piece). Substrings
+    are cut and summed per Arrow batch with C++ kernels (code point slices,
+    hash group-by), then summed across batches by a group-by."""
     def run(batches):
-        acc: dict = {}
-        for pdf in batches:
-            for w, f in zip(pdf["word"], pdf["freq"]):
-                for i in range(len(w)):
-                    for j in range(i + 1, min(len(w), i + max_len) + 1):
-                        p = w[i:j]
-                        acc[p] = acc.get(p, 0.0) + f
-            if len(acc) >= FLUSH_ENTRIES:
-                yield _flush(acc, "piece", "c")
-        if acc:
-            yield _flush(acc, "piece", "c")
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        for rb in batches:
+            w, f = rb.column("word"), rb.column("freq")
+            n = pc.utf8_length(w).to_numpy(zero_copy_only=False)
+            parts_p, parts_f = [], []
+            i = 0
+            while True:
+                live = n > i                               # words with a character at i
+                if not live.any():
+                    break
+                wi, fi, ni = w.filter(pa.array(live)), f.filter(pa.array(live)), n[live]
+                for length in range(1, max_len + 1):
+                    fits = ni >= i + length
+                    if not fits.any():
+                        break
+                    mask = pa.array(fits)
+                    parts_p.append(pc.utf8_slice_codeunits(wi.filter(mask), start=i, stop=i + length))
+                    parts_f.append(fi.filter(mask))
+                w, f, n, i = wi, fi, ni, i + 1
+            if not parts_p:
+                continue
+            t = pa.table({"piece": pa.concat_arrays(parts_p), "c": pa.concat_arrays(parts_f)})
+            agg = t.group_by("piece").aggregate([("c", "sum")])
+            yield pa.RecordBatch.from_arrays([agg.column("piece").combine_chunks(),
+                                              agg.column("c_sum").combine_chunks()], names=["piece", "c"])
     ship_package(words.sparkSession)
-    subs = words.mapInPandas(run, "piece string, c double").groupBy("piece").agg(F.sum("c").alias("c"))
+    subs = words.mapInArrow(run, "piece string, c double").groupBy("piece").agg(F.sum("c").alias("c"))
     chars = subs.where(F.length("piece") == 1)
     longer = (subs.where(F.length("piece") > 1)
                   .orderBy(F.col("c").desc(), F.col("piece")).limit(seed_size))

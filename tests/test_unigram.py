@@ -93,3 +93,18 @@ def test_arrow_pre_tokens_equal_python():
     texts += ["".join(rng.choice(alpha) for _ in range(rng.randint(0, 25))) for _ in range(2000)]
     got = ug.arrow_pre_tokens(pa.array(texts, pa.string())).to_pylist()
     assert got == [w for t in texts for w in ug.pre_tokens(t or "")]
+
+
+def test_seed_pieces_vs_python(spark):
+    import random
+    rng = random.Random(5)
+    alpha = ["a", "b", "é", "ཀ", "་", "\U0001F600"]
+    words = {"".join(rng.choice(alpha) for _ in range(rng.randint(1, 12))): float(rng.randint(1, 5)) for _ in range(300)}
+    want = {}
+    for w, f in words.items():
+        for i in range(len(w)):
+            for j in range(i + 1, min(len(w), i + 4) + 1):
+                want[w[i:j]] = want.get(w[i:j], 0.0) + f
+    df = spark.createDataFrame(list(words.items()), "word string, freq double").repartition(3)
+    got = {r.piece: r.c for r in ug.seed_pieces(df, 10_000, 4).collect()}
+    assert got == want
