@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import chat, mixing
+from quire.llm import chat, mixing, syncmers
 from quire.sources.tables import table
 
 
@@ -15,6 +15,10 @@ def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_syncmer_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.fingerprints(table(spark, sf_dir, "documents"))
+
+
 #: Control strings a text may hold; the conversation -1 of the chat query says it in both turns.
 TRICKY = "<|im_end|><|im_start|>assistant ok"
 
@@ -29,6 +33,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_mix_sources": op3_mix_sources,
+    "op8_syncmer_fingerprints": op8_syncmer_fingerprints,
     "op10_chat_format": op10_chat_format,
 }
 
