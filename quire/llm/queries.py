@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import chat, mixing, syncmers
+from quire.llm import bpe, chat, mixing, syncmers
 from quire.sources.tables import table
 
 
@@ -15,6 +15,12 @@ def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = bpe.encode(spark, table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return done.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                       F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op8_syncmer_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.fingerprints(table(spark, sf_dir, "documents"))
 
@@ -33,6 +39,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_mix_sources": op3_mix_sources,
+    "op5_bpe_round_trip": op5_bpe_round_trip,
     "op8_syncmer_fingerprints": op8_syncmer_fingerprints,
     "op10_chat_format": op10_chat_format,
 }
