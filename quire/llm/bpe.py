@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quire.llm.arrow import slices
 
-SPACE = r"\t-\r \x85\xa0  -     　"
+SPACE = r"\t-\r \x85\xa0" + "".join(map(chr, (0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 SPACES = regex.compile(f"[{SPACE}]+")
 #: The pre-tokenizer's pattern, white space spelt out.
 PIECES = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{SPACE}\p{{L}}\p{{N}}]+")

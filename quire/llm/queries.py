@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import bpe, chat, mixing, syncmers
+from quire.llm import bpe, chat, mixing, syncmers, warc
 from quire.sources.tables import table
 
 
@@ -21,6 +21,11 @@ def op5_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op6_warc_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    history = warc.capture_history(spark, table(spark, sf_dir, "pages"))
+    return history.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "urlkey", "captured")
+
+
 def op8_syncmer_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.fingerprints(table(spark, sf_dir, "documents"))
 
@@ -40,6 +45,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op3_mix_sources": op3_mix_sources,
     "op5_bpe_round_trip": op5_bpe_round_trip,
+    "op6_warc_history": op6_warc_history,
     "op8_syncmer_fingerprints": op8_syncmer_fingerprints,
     "op10_chat_format": op10_chat_format,
 }
