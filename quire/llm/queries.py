@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import bpe, chat, mixing, syncmers, warc
+from quire.llm import bpe, chat, minhash, mixing, syncmers, warc
 from quire.sources.tables import table
 
 
@@ -15,6 +15,10 @@ def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(spark, table(spark, sf_dir, "documents"), words=4, percent=80)
+
+
 def op5_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = bpe.encode(spark, table(spark, sf_dir, "documents").select("doc_id", "text"))
     return done.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
@@ -44,6 +48,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_mix_sources": op3_mix_sources,
+    "op4_near_duplicates": op4_near_duplicates,
     "op5_bpe_round_trip": op5_bpe_round_trip,
     "op6_warc_history": op6_warc_history,
     "op8_syncmer_fingerprints": op8_syncmer_fingerprints,
@@ -51,6 +56,26 @@ QUERIES = {
 }
 
 SQL = {
+    "op4_near_duplicates": r"""
+WITH RECURSIVE cut AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))) END AS s
+  FROM cut
+), flat AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets
+), common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS c
+  FROM flat a JOIN flat b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY 1, 2
+), links AS (SELECT a, b FROM common WHERE 100 * c >= 80 * (na + nb - c)
+), both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach(doc_id, r) AS (
+  SELECT doc_id, doc_id FROM sets UNION SELECT reach.doc_id, b FROM reach JOIN both_ways ON r = a
+), least AS (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY 1)
+SELECT doc_id, len(s) AS n_shingles, component_id, doc_id = component_id AS kept FROM sets JOIN least USING (doc_id)
+""",
     "op10_chat_format": r"""
 WITH rows AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
