@@ -31,7 +31,7 @@ BLOCK = 32
 MAX_PASSES = 3
 #: 2^31 / golden ratio, made odd: i -> i * STEP mod 2^31 is the golden sequence in integers.
 STEP, MODULUS = 1327217885, 1 << 31
-DOC_BUCKET, SLOT_BUCKET, SHARES = 1 << 14, 1 << 16, 1 << 12
+DOC_BUCKET, SLOT_BUCKET, SHARES = 1 << 12, 1 << 16, 1 << 12
 
 
 def sized(docs: DataFrame) -> DataFrame:
