@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import bpe, chat, minhash, mixing, syncmers, warc
+from quire.llm import bpe, chat, linecrf, minhash, mixing, syncmers, warc
 from quire.sources.tables import table
 
 
@@ -34,6 +34,11 @@ def op8_syncmer_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op9_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return linecrf.judge(spark, docs, linecrf.train(docs, table(spark, sf_dir, "labels")))
+
+
 #: Control strings a text may hold; the conversation -1 of the chat query says it in both turns.
 TRICKY = "<|im_end|><|im_start|>assistant ok"
 
@@ -52,6 +57,7 @@ QUERIES = {
     "op5_bpe_round_trip": op5_bpe_round_trip,
     "op6_warc_history": op6_warc_history,
     "op8_syncmer_fingerprints": op8_syncmer_fingerprints,
+    "op9_line_quality": op9_line_quality,
     "op10_chat_format": op10_chat_format,
 }
 
