@@ -6,10 +6,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import bpe, chat, linecrf, minhash, mixing, syncmers, warc
+from quire.llm import bpe, chat, linecrf, minhash, mixing, syncmers, toxicity, warc
 from quire.sources.tables import table
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(spark, table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -52,6 +56,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_toxicity": op2_toxicity,
     "op3_mix_sources": op3_mix_sources,
     "op4_near_duplicates": op4_near_duplicates,
     "op5_bpe_round_trip": op5_bpe_round_trip,
