@@ -11,7 +11,7 @@ The scorer is a list of rules, each a word or the beginning of a word with the
 share of toxic documents among those that hold it. Rules are learned on at
 most SAMPLE labelled documents (those of smallest hash of doc_id), one after
 the other: the next is the one that covers most of the toxic documents, each of
-which counts half as much after every rule that it meets. Documents that are
+which counts a quarter as much after every rule that it meets. Documents that are
 copies of one another count once. The score is the largest share
 among the rules that a text meets, or the rate of the rest where it meets none.
 
@@ -309,21 +309,22 @@ def learn_rules(spark: SparkSession, docs: DataFrame, labels: DataFrame, model)
     toxic = np.array([truth[d] for d in ids], float)
     names, feature = np.unique(np.array([p[0] for p in pairs], np.int64), return_inverse=True)
     doc = np.array([ids[p[1]] for p in pairs])
-    weight = np.ones(len(ids))  # halved by every rule that a document meets
+    weight = np.ones(len(ids))  # quartered by every rule that a document meets
     k = np.bincount(feature, weights=toxic[doc], minlength=len(names))
     n = np.bincount(feature, minlength=len(names))
     bound = np.where(k >= SUPPORT, _lower_bound(k, n), 0)
     picked, shares = [], []
     while len(picked) < RULES:
         left = np.bincount(feature, weights=(toxic * weight)[doc], minlength=len(names))
-        gain = np.where((bound >= LEAST_SHARE) & (left >= SUPPORT / 2), left * bound, 0)
+        new = _lower_bound(left, left + n - k)  # what it adds must hold by itself
+        gain = np.where((bound >= LEAST_SHARE) & (new >= LEAST_SHARE) & (left >= SUPPORT / 2), left * new, 0)
         gain[picked] = 0
         best = int(gain.argmax())
         if not gain[best]:
             break
         picked.append(best)
         shares.append(float(bound[best]))
-        weight[doc[feature == best]] *= 0.5
+        weight[doc[feature == best]] *= 0.25
     open_docs = weight == 1
     rest = toxic[open_docs].sum() / max(open_docs.sum(), 1)
     return names[picked], np.array(shares), float(min(rest, 0.2))
