@@ -6,10 +6,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import bpe, chat, linecrf, minhash, mixing, syncmers, toxicity, warc
+from quire.llm import bpe, chat, linecrf, minhash, mixing, repeats, syncmers, toxicity, warc
 from quire.sources.tables import table
 
 
+def op1_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = repeats.remove_repeats(spark, table(spark, sf_dir, "documents"))
+    return done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -56,6 +61,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_repeated_passages": op1_repeated_passages,
     "op2_toxicity": op2_toxicity,
     "op3_mix_sources": op3_mix_sources,
     "op4_near_duplicates": op4_near_duplicates,
