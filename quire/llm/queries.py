@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import bpe, chat, linecrf, minhash, mixing, repeats, syncmers, toxicity, warc
+from quire.llm import bpe, chat, kneser, linecrf, minhash, mixing, repeats, syncmers, toxicity, warc
 from quire.sources.tables import table
 
 
@@ -39,6 +39,10 @@ def op6_warc_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "urlkey", "captured")
 
 
+def op7_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kneser.judge(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_syncmer_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.fingerprints(table(spark, sf_dir, "documents"))
 
@@ -67,6 +71,7 @@ QUERIES = {
     "op4_near_duplicates": op4_near_duplicates,
     "op5_bpe_round_trip": op5_bpe_round_trip,
     "op6_warc_history": op6_warc_history,
+    "op7_perplexity": op7_perplexity,
     "op8_syncmer_fingerprints": op8_syncmer_fingerprints,
     "op9_line_quality": op9_line_quality,
     "op10_chat_format": op10_chat_format,
