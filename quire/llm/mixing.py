@@ -35,9 +35,9 @@ DOC_BUCKET, SLOT_BUCKET, SHARES = 1 << 12, 1 << 16, 1 << 12
 
 
 def sized(docs: DataFrame) -> DataFrame:
-    """(doc_id, source, size), sizes in words."""
+    """(doc_id, key, source, size), sizes in words; key is a hash of id and text."""
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    return docs.select("doc_id", "source", size.alias("size"))
+    return docs.select("doc_id", F.xxhash64("doc_id", "text").alias("key"), "source", size.alias("size"))
 
 
 def source_targets(sizes: DataFrame) -> DataFrame:
@@ -80,7 +80,7 @@ def shuffled_offsets(sizes: DataFrame, n_docs: int) -> DataFrame:
     inside = W.partitionBy("source", "bucket").orderBy("h", "doc_id").rowsBetween(W.unboundedPreceding, 0)
     return (keyed.withColumn("upto", F.sum("size").over(inside))
             .join(base, F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b")))
-            .select("doc_id", "source", "size", (F.col("base") + F.col("upto") - F.col("size")).alias("start")))
+            .select("doc_id", "key", "source", "size", (F.col("base") + F.col("upto") - F.col("size")).alias("start")))
 
 
 def schedule(spark: SparkSession, targets: DataFrame, n_slots: int) -> DataFrame:
@@ -123,9 +123,9 @@ def pieces(offsets: DataFrame) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """One row per document: (doc_id, source, size, source_size, target, taken,
-    again, whole_passes, extra): ``taken`` words, which are ``whole_passes``
-    times the whole document and once more its ``extra`` words from ``first``."""
+    """One row per document: (doc_id, key, source, size, taken, parts,
+    source_size, target). ``parts`` are the pieces taken (first, words, times);
+    their times do not grow along the document."""
     ensure_checkpoint_dir(spark)
     sizes = sized(docs).checkpoint()
     n_docs, total = sizes.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
@@ -141,6 +141,28 @@ def mix(spark: SparkSession, docs: DataFrame) -> DataFrame:
         F.collect_list(F.struct("first", "words", "times")).alias("parts"))
     out = offsets.join(per.select(F.col("source").alias("s"), F.col("start").alias("o"), "taken", "parts"),
                        F.col("source").eqNullSafe(F.col("s")) & (F.col("start") == F.col("o")) & (F.col("size") > 0), "left")
-    return (out.select("doc_id", "source", "size", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "parts")
+    return (out.select("doc_id", "key", "source", "size", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "parts")
             .join(targets.select(F.col("source").alias("s"), "source_size", "target"),
                   F.col("source").eqNullSafe(F.col("s"))).drop("s"))
+
+
+def mixed_texts(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """The documents of the mix, one row for every pass that takes words of a
+    document, with the text of the words taken: the whole text, or its first
+    words joined by spaces where the last block of the mix ends in it. text and
+    n_chars are those of the words taken, other columns stay."""
+    taken = (mix(spark, docs).where("taken > 0").groupBy("doc_id", "key")
+             .agg(F.max(F.struct("size", F.sort_array("parts").alias("parts"))).alias("of")))
+    times = F.transform("of.parts", lambda x: x["times"])
+    passes = taken.select(
+        F.col("doc_id").alias("i"), F.col("key").alias("k"), F.col("of.size").alias("size"), "of.parts",
+        F.explode(F.sequence(F.lit(1).cast("long"), F.array_max(times))).alias("pass"))
+    words = passes.select("i", "k", "size", F.aggregate(
+        "parts", F.lit(0).cast("long"),
+        lambda sum_, x: sum_ + F.when(x["times"] >= F.col("pass"), x["words"]).otherwise(F.lit(0).cast("long"))).alias("words"))
+    met = docs.withColumn("k2", F.xxhash64("doc_id", "text")).join(
+        words, F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("k2") == F.col("k")))
+    text = F.when(F.col("words") == F.col("size"), F.col("text")).otherwise(F.array_join(
+        F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), F.lit(1), F.col("words").cast("int")), " "))
+    out = met.withColumn("text", text).withColumn("n_chars", F.length("text").cast("long"))
+    return out.select(*docs.columns)

@@ -32,7 +32,7 @@ Rows are told apart by a 64-bit hash of doc_id and text, strings by 64-bit
 hashes of key and context together (128 bits).
 
 Defined cases: a null text is empty; texts shorter than LENGTH stay whole; the
-bytes left may cut a character of a text, ``kept_text`` then drops its rest;
+bytes left may hold parts of characters, which ``kept_text`` drops;
 repeated rows are texts of their own, so from LENGTH bytes on they go wholly; an
 empty table gives an empty result; other columns are ignored.
 """
@@ -153,15 +153,17 @@ def parse(docs: DataFrame) -> DataFrame:
 
 
 def with_rows(docs: DataFrame) -> DataFrame:
-    """(row, doc_id, text)."""
+    """``docs`` with row, the number that tells its rows apart."""
+    kept = [c for c in docs.columns if c != "row"]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             data, offsets = joined(batch.column("text"))
             rows = row_ids(batch.column("doc_id"), ws.prefix_sums(data), offsets)
-            yield pa.RecordBatch.from_arrays([pa.array(rows), batch.column("doc_id"), batch.column("text")], ["row", "doc_id", "text"])
+            yield pa.RecordBatch.from_arrays([pa.array(rows), *[batch.column(c) for c in kept]], ["row", *kept])
 
-    return docs.mapInArrow(work, "row long, doc_id long, text string")
+    kinds = dict(docs.dtypes)
+    return docs.select(*kept).mapInArrow(work, ", ".join(["row long", *[f"`{c}` {kinds[c]}" for c in kept]]))
 
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -288,37 +290,41 @@ def covers(spark: SparkSession, docs: DataFrame) -> DataFrame:
     return whole.unionByName(examined).unionByName(hot)
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches, "text"):
-        out = []
-        for doc, text, spans in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), batch.column("spans").to_pylist()):
-            raw = (text or "").encode()
-            kept, upto, removed, number = [], 0, 0, 0
-            until = -1
-            for s in sorted((s["start"], s["stop"]) for s in spans or ()):
-                if s[0] > until:
-                    if until >= 0:
-                        upto = until
-                    kept.append(raw[upto:s[0]])
-                    number += 1
-                    begin = s[0]
-                    until = s[1]
-                    removed += until - begin
-                elif s[1] > until:
-                    removed += s[1] - until
-                    until = s[1]
-            kept.append(raw[max(until, 0):])
-            out.append((doc, len(raw), removed, number, b"".join(kept), b"".join(kept).decode(errors="ignore") if number else text))
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.string()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out) if out else [[]] * 6, kinds)],
-                                         ["doc_id", "n_bytes", "n_removed", "n_spans", "kept", "kept_text"])
-
-
-def remove_repeats(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept, kept_text) of every row;
-    kept is the bytes left."""
+def _cut(kept: list[str]):
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            out = []
+            for text, spans in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist()):
+                raw = (text or "").encode()
+                merged: list[list[int]] = []
+                for start, stop in sorted((s["start"], s["stop"]) for s in spans or ()):
+                    if merged and start <= merged[-1][1]:
+                        merged[-1][1] = max(merged[-1][1], stop)
+                    else:
+                        merged.append([start, stop])
+                edges = [0, *[x for span in merged for x in span], len(raw)]
+                rest = [raw[a:b] for a, b in zip(edges[::2], edges[1::2])]
+                left = b"".join(rest)
+                whole = "".join(x.decode(errors="ignore") for x in rest) if merged else text
+                out.append((len(raw), len(raw) - len(left), len(merged), left, whole))
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.string()]
+            made = [pa.array(c, k) for c, k in zip(zip(*out) if out else [[]] * 5, kinds)]
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], *made], [*kept, *MADE])
+
+    return work
+
+
+MADE = ["n_bytes", "n_removed", "n_spans", "kept", "kept_text"]
+
+
+def remove_repeats(spark: SparkSession, docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, the columns to carry, n_bytes, n_removed, n_spans, kept,
+    kept_text) of every row; kept is the bytes left, kept_text the whole
+    characters among them."""
     ensure_checkpoint_dir(spark)
-    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    spans = covers(spark, texts).groupBy("row").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
-    return with_rows(texts).join(spans, "row", "left").select("doc_id", "text", "spans").mapInArrow(
-        _cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, kept_text string")
+    kept = ["doc_id", *carry]
+    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), *carry)
+    kinds = dict(texts.dtypes)
+    spans = covers(spark, texts.select("doc_id", "text")).groupBy("row").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
+    schema = ", ".join([*[f"`{c}` {kinds[c]}" for c in kept], "n_bytes long, n_removed long, n_spans long, kept binary, kept_text string"])
+    return with_rows(texts).join(spans, "row", "left").drop("row").mapInArrow(_cut(kept), schema)

@@ -330,13 +330,18 @@ def learn_rules(spark: SparkSession, docs: DataFrame, labels: DataFrame, model)
     return names[picked], np.array(shares), float(min(rest, 0.2))
 
 
-def score(spark: SparkSession, docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(doc_id, held_out, score, predicted) of every document."""
+def scored(spark: SparkSession, docs: DataFrame, labels: DataFrame, kept: list[str]) -> DataFrame:
+    """``kept`` columns of ``docs`` and ``score``, of every document."""
     ensure_checkpoint_dir(spark)
     texts = docs.select("doc_id", F.col("text").cast("string"))
     model = spark.sparkContext.broadcast(character_model(texts).tobytes())
     names, shares, rest = learn_rules(spark, texts, labels.select("doc_id", "toxic"), model)
-    return apply_rules(spark, docs, ["doc_id"], model, names, shares, rest).select(
+    return apply_rules(spark, docs, kept, model, names, shares, rest)
+
+
+def score(spark: SparkSession, docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """(doc_id, held_out, score, predicted) of every document."""
+    return scored(spark, docs, labels, ["doc_id"]).select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
