@@ -77,7 +77,7 @@ def shuffled_offsets(sizes: DataFrame, n_docs: int) -> DataFrame:
     base = totals.select(
         F.col("source").alias("s"), F.col("bucket").alias("b"),
         (F.sum("total").over(W.partitionBy("source").orderBy("bucket")) - F.col("total")).alias("base"))
-    inside = W.partitionBy("source", "bucket").orderBy("h", "doc_id").rowsBetween(W.unboundedPreceding, 0)
+    inside = W.partitionBy("source", "bucket").orderBy("h", "doc_id", "key").rowsBetween(W.unboundedPreceding, 0)
     return (keyed.withColumn("upto", F.sum("size").over(inside))
             .join(base, F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b")))
             .select("doc_id", "key", "source", "size", (F.col("base") + F.col("upto") - F.col("size")).alias("start")))
@@ -160,9 +160,10 @@ def mixed_texts(spark: SparkSession, docs: DataFrame) -> DataFrame:
     words = passes.select("i", "k", "size", F.aggregate(
         "parts", F.lit(0).cast("long"),
         lambda sum_, x: sum_ + F.when(x["times"] >= F.col("pass"), x["words"]).otherwise(F.lit(0).cast("long"))).alias("words"))
-    met = docs.withColumn("k2", F.xxhash64("doc_id", "text")).join(
-        words, F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("k2") == F.col("k")))
-    text = F.when(F.col("words") == F.col("size"), F.col("text")).otherwise(F.array_join(
-        F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), F.lit(1), F.col("words").cast("int")), " "))
-    out = met.withColumn("text", text).withColumn("n_chars", F.length("text").cast("long"))
-    return out.select(*docs.columns)
+    packed = docs.select(F.struct(*docs.columns).alias("d"), F.xxhash64("doc_id", "text").alias("k2"))
+    met = packed.join(words, F.col("d.doc_id").eqNullSafe(F.col("i")) & (F.col("k2") == F.col("k")))
+    text = F.when(F.col("words") == F.col("size"), F.col("d.text")).otherwise(F.array_join(
+        F.slice(F.regexp_extract_all("d.text", F.lit(WORD), F.lit(0)), F.lit(1), F.col("words").cast("int")), " "))
+    made = met.withColumn("t", text)
+    new = {"text": F.col("t"), "n_chars": F.length("t").cast("long")}
+    return made.select(*[new.get(c, F.col(f"d.`{c}`")).alias(c) for c in docs.columns])

@@ -1,0 +1,38 @@
+import pytest
+
+#: Rows with nulls in every column, empty and long texts, repeated rows and ids, and columns named like inner ones.
+COLUMNS = ("doc_id long, text string, lang string, source string, n_chars long, row string, key string, size string, "
+           "node string, bucket string, start string, kept string, score string, n string, words string, block string")
+WORDS = "the quick brown fox jumps over a lazy dog near the old river bank while seven birds watch them in silence".split()
+
+
+def long_text(n, step=7):
+    return " ".join(f"{WORDS[(i * step) % len(WORDS)]}{(i * i * step) % 97}" for i in range(n))
+
+
+@pytest.fixture(scope="session")
+def edge_rows():
+    base = long_text(120)
+    return [
+        (1, base, "en", "a", 1), (2, base, "en", "a", 1), (2, base, "en", "a", 1), (3, None, "en", "b", None),
+        (4, "", None, None, 0), (5, " \t\n ", "de", "b", 4), (6, "one", "de", None, 3), (None, "no id here at all", None, "a", None),
+        (None, None, None, None, None), (7, base + " and a tail", "en", "c", 1), (8, long_text(6000, 11), "en", "c", 9),
+        (9, "ab " * 900, "en", "a", 2700), (10, "x" * 5000, "fr", "b", 5000), (11, "é" * 700 + "\n" + "ß\r\nÜ", "de", "ü", 1),
+        (12, long_text(40, 3) + " " + base, "fr", "b", 2), (12, "another text of a repeated id", "fr", "b", 2),
+    ]
+
+
+@pytest.fixture(scope="session")
+def edge_docs(spark, edge_rows):
+    return spark.createDataFrame([(*r, *["clash"] * 11) for r in edge_rows], COLUMNS).repartition(3)
+
+
+@pytest.fixture(scope="session")
+def no_docs(spark):
+    return spark.createDataFrame([], COLUMNS)
+
+
+@pytest.fixture(scope="session")
+def edge_labels(spark):
+    rows = [(i, i % 2, int(i == 7)) for i in range(1, 13)] + [(None, 1, 1), (3, None, None)]
+    return spark.createDataFrame(rows, "doc_id long, quality int, toxic int")
