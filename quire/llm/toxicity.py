@@ -249,13 +249,16 @@ def labelled_features(docs: DataFrame, model) -> DataFrame:
             data, start, stop, doc = restored_words(batch.column("text"), channel)
             sums = ws.prefix_sums(data)
             hashes, owner = [], []
-            copy = np.zeros(batch.num_rows, np.int64)
+            copy = np.full(batch.num_rows, np.iinfo(np.int64).max)
             for kind in (0, *PREFIXES):
                 h, word = word_features(data, start, stop, sums, kind)
                 hashes.append(h)
                 owner.append(doc[word])
-                if kind == 0:
-                    np.minimum.at(copy, owner[0], h)
+                if kind == 0:  # the least hash of three words in a row
+                    three, place = ws.windows(h.view(np.uint64), owner[0], 3)
+                    short = np.bincount(owner[0], minlength=batch.num_rows)[owner[0]] < 3
+                    np.minimum.at(copy, owner[0][short], h[short])
+                    np.minimum.at(copy, owner[0][place], three.view(np.int64))
             found, of = np.concatenate(hashes), np.concatenate(owner)
             order = np.lexsort((found, of))
             found, of = found[order], of[order]
