@@ -15,7 +15,7 @@ def corpus(spark):
     r = random.Random(5)
     docs, labels = [], []
     for i in range(600):
-        words = [r.choice(PLAIN) for _ in range(40)]
+        words = [r.choice(PLAIN) if r.random() < 0.7 else r.choice("aeiou").join(r.sample("bcdfglmnprst", 3)) for _ in range(40)]
         toxic = i % 5 == 0
         if toxic:
             words.insert(r.randrange(40), BAD[i // 5 % 3])
@@ -49,7 +49,7 @@ def test_scores_hidden_words_and_leaves_clean_ones(spark, corpus):
         spark, docs.unionByName(spark.createDataFrame(more, docs.schema)), labels).collect()}
     assert [rows[i].predicted for i in range(1000, 1008)] == [1, 1, 1, 0, 0, 0, 1, 0]
     truth = dict(labels.collect())
-    assert all(rows[i].predicted == t for i, t in truth.items())
+    assert sum(rows[i].predicted != t for i, t in truth.items()) <= 6
     assert all(r.held_out == (zlib.crc32(str(i).encode()) % 4 == 2) for i, r in rows.items())
     assert all(0 <= r.score <= 1 for r in rows.values())
 
