@@ -143,7 +143,7 @@ def batch(df: DataFrame, size: int, order: Sequence[str], ragged: str = "fail",
           bucket: Sequence[Column] | None = None, bucket_rows: int = DEFAULT_BUCKET_ROWS) -> DataFrame:
     """Rows -> batches of ``size`` in ``order`` (P9). ``batch_id = idx div
     size``; a batch holds at most ``size`` rows. Unequal lengths inside a batch:
-    ``ragged="fail"`` raises, ``"first"`` repeats the batch's first row (P10)."""
+    in any column ``ragged="fail"`` raises, ``"first"`` repeats the batch's first row (P10)."""
     if ragged not in ("fail", "first"):
         raise ValueError("ragged must be 'fail' or 'first'")
     if size < 1:
@@ -153,8 +153,10 @@ def batch(df: DataFrame, size: int, order: Sequence[str], ragged: str = "fail",
     g = (idx.withColumn("batch_id", F.floor(F.col("idx") / size).cast("long"))
             .groupBy("batch_id")
             .agg(F.array_sort(F.collect_list(F.struct("idx", *cols))).alias("_r")))
-    lens = F.transform("_r", lambda x: F.size(x[cols[0]]))
-    is_ragged = F.array_min(lens) != F.array_max(lens)
+    is_ragged = F.lit(False)
+    for c in cols:
+        lens = F.transform(F.transform("_r", _field(c)), lambda x: F.size(x))
+        is_ragged = is_ragged | (F.array_min(lens) != F.array_max(lens))
     out = [F.col("batch_id"), F.size("_r").cast("int").alias("rows"), is_ragged.alias("ragged")]
     for c in cols:
         stacked = F.transform("_r", _field(c))

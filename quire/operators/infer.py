@@ -8,7 +8,7 @@ list of prompts to a list of decoded outputs.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -51,31 +51,43 @@ def prediction_record(df: DataFrame, input: str = "raw", question_col: str = "qu
 
 
 def answer_pipeline(questions: DataFrame, make_model: Callable[[], Model], with_prompt: bool = True,
-                    input: str = "raw", system: str = DEFAULT_SYSTEM_PROMPT) -> DataFrame:
+                    input: str = "raw", system: str = DEFAULT_SYSTEM_PROMPT, output: str = "full") -> DataFrame:
     """Question rows (idx, question) -> prediction records: render, generate,
-    cut at the stop strings, extract the answer (file mode: second part)."""
+    cut at the stop strings, extract the answer. ``output="full"``: the model
+    returns prompt and answer, which is the second part (file mode);
+    ``"answer"``: it returns the answer alone, which is not split."""
+    if output not in ("full", "answer"):
+        raise ValueError("output must be 'full' or 'answer'")
     p = questions.withColumn("prompt", render_prompt("question", system=system, with_prompt=with_prompt))
     g = generate(p, make_model, "prompt", "raw")
-    ans = extract_answer(cut_at_stop("raw"), "second") if with_prompt else cut_at_stop("raw")
+    ans = extract_answer(cut_at_stop("raw"), "second") if with_prompt and output == "full" else cut_at_stop("raw")
     return prediction_record(g.withColumn("answer", ans), input=input)
 
 
-def turn_pairs(conv: DataFrame) -> DataFrame:
-    """Single-turn pairs (I4): a user turn followed by an assistant turn.
-    ``turn`` is the position in the conversation (dense from 0), so the next
-    turn is an equi-join on (conv_id, turn + 1): the join spreads one huge
-    conversation over many tasks, where a window would put it in one."""
-    u = conv.where(F.col("role") == "user").select("conv_id", "turn", F.col("text").alias("question"))
-    a = conv.where(F.col("role") == "assistant").select(
-        "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("answer"))
-    return u.join(a, on=["conv_id", "turn"], how="inner")
+def turn_pairs(conv: DataFrame, dense: bool = True) -> DataFrame:
+    """Single-turn pairs (I4): a user turn whose next turn, by ``turn`` order,
+    is an assistant turn. With ``dense``, ``turn`` is the position (0, 1, 2,
+    ...); otherwise positions come first from the bucketed index, so gaps do
+    not matter. The next turn is an equi-join on (conv_id, position): a huge
+    conversation spreads over many tasks, where a window would put it in one."""
+    from quire.operators.index import dense_index
+    at = conv.select("conv_id", "turn", "role", "text")
+    at = at.withColumn("_at", F.col("turn")) if dense else dense_index(
+        at, order=["turn"], group=["conv_id"], idx_col="_at")
+    u = at.where(F.col("role") == "user").select("conv_id", "turn", "_at", F.col("text").alias("question"))
+    a = at.where(F.col("role") == "assistant").select(
+        "conv_id", (F.col("_at") - 1).alias("_at"), F.col("text").alias("answer"))
+    return u.join(a, on=["conv_id", "_at"], how="inner").drop("_at")
 
 
 def render_chat(conv: DataFrame, default_system: str | None = None) -> DataFrame:
     """Whole conversation -> one training string (I5, F5): turns rendered in
-    the chat format and concatenated in turn order. With ``default_system``,
+    the chat format and concatenated in turn order. A turn with a role outside
+    the format is an error, not a turn that silently disappears. With ``default_system``,
     conversations without a system turn get that system block first."""
-    parts = conv.select("conv_id", "turn", render_turn("role", "text").alias("_t"))
+    shown = render_turn("role", F.coalesce("text", F.lit("")))
+    other = F.raise_error(F.concat(F.lit("no chat format for role: "), F.coalesce("role", F.lit("NULL"))))
+    parts = conv.select("conv_id", "turn", F.when(shown.isNull(), other.cast("string")).otherwise(shown).alias("_t"))
     g = parts.groupBy("conv_id").agg(
         F.array_sort(F.collect_list(F.struct("turn", "_t"))).alias("_s"),
         F.max((F.col("_t").startswith("<|start_header_id|>system")).cast("int")).alias("_has_sys"))
@@ -102,8 +114,3 @@ def stub_model() -> Model:
             out.append(re.sub(r"<\|(start_header_id|end_header_id|eot_id|begin_of_text)\|>", "", p) + reply)
         return out
     return model
-
-
-def add_idx(df: DataFrame, order: Sequence[str]) -> DataFrame:
-    from quire.operators.index import dense_index
-    return dense_index(df, order=list(order))

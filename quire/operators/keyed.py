@@ -13,11 +13,20 @@ from pyspark.sql import types as T
 from quire.session import ship_package
 
 
+def _one_per_key(patch: DataFrame, key: list[str], columns: list) -> DataFrame:
+    """``columns`` of the patch as ``_p``, one row per key; a repeated key is an
+    error, as which row wins is for the caller to say (:func:`last_wins`)."""
+    many = F.raise_error(F.lit("patch key repeats: apply last_wins first"))
+    row = F.struct(*columns)
+    one = patch.groupBy(*key).agg(F.any_value(row).alias("_p"), F.count(F.lit(1)).alias("_n"))
+    return one.select(*key, F.when(F.col("_n") > 1, many.cast(one.schema["_p"].dataType)).otherwise(F.col("_p")).alias("_p"))
+
+
 def override(base: DataFrame, patch: DataFrame, key: Sequence[str], cols: Sequence[str]) -> DataFrame:
     """Where ``patch`` has the key, its values replace the base values.
-    Patch keys absent from base are ignored."""
+    Patch keys absent from base are ignored; a patch key must not repeat."""
     key = list(key)
-    p = patch.select(*key, *[F.col(c).alias(f"_p_{c}") for c in cols])
+    p = _one_per_key(patch, key, [F.col(c).alias(f"_p_{c}") for c in cols]).select(*key, "_p.*")
     j = base.join(p, on=key, how="left")
     out = [F.coalesce(F.col(f"_p_{c}"), F.col(c)).alias(c) if c in cols else F.col(c) for c in base.columns]
     return j.select(*out)
@@ -29,7 +38,7 @@ def override_fields(base: DataFrame, patch: DataFrame, key: Sequence[str],
     record with ``fields`` replaced by the given expressions (J2)."""
     key = list(key)
     others = [c for c in base.columns if c not in key]
-    p = patch.select(*key, F.lit(True).alias("_hit"), *[F.col(c).alias(f"_p_{c}") for c in others])
+    p = _one_per_key(patch, key, [F.lit(True).alias("_hit"), *[F.col(c).alias(f"_p_{c}") for c in others]]).select(*key, "_p.*")
     j = base.join(p, on=key, how="left")
     out = []
     for c in base.columns:

@@ -175,7 +175,9 @@ def accounting(tokens: DataFrame, blocks: DataFrame, group: Sequence[str] = ("so
     kept = blocks.groupBy(*group).agg(
         F.sum(F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x)).cast("long").alias("tokens_kept"),
         F.count(F.lit(1)).alias("n_blocks"))
-    return (t_in.join(kept, on=group, how="left")
+    kept = kept.select(*[F.col(g).alias(f"_k{i}") for i, g in enumerate(group)], "tokens_kept", "n_blocks")
+    same = [F.col(g).eqNullSafe(F.col(f"_k{i}")) for i, g in enumerate(group)]   # a NULL source keeps its blocks
+    return (t_in.join(kept, on=same, how="left")
                 .select(*group, "tokens_in",
                         F.coalesce("tokens_kept", F.lit(0)).alias("tokens_kept"),
                         (F.col("tokens_in") - F.coalesce("tokens_kept", F.lit(0))).alias("tokens_dropped"),

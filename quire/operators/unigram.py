@@ -191,8 +191,9 @@ def arrow_pre_tokens(texts):
     after_ws = (pos > 0) | lead_np[row]                          # chunk follows white space
     keep = pc.greater(pc.utf8_length(flat), 0).to_numpy(zero_copy_only=False)
     flat, after_ws = flat.filter(pa.array(keep)), after_ws[keep]
-    marked = pc.replace_substring_regex(flat, pattern="([་།]+)", replacement="\\1\x00")
-    pieces = pc.split_pattern(marked, pattern="\x00")
+    # \x1f is white space to the split above, so no chunk holds one: a cut mark that no text can contain
+    marked = pc.replace_substring_regex(flat, pattern="([་།]+)", replacement="\\1\x1f")
+    pieces = pc.split_pattern(marked, pattern="\x1f")
     n_p = pc.list_value_length(pieces).to_numpy(zero_copy_only=False)
     words = pc.list_flatten(pieces)
     first = np.zeros(len(words), dtype=bool)
@@ -319,9 +320,11 @@ def _prune_fn(bc, max_len, unk_logp):
 
 def train_unigram(df: DataFrame, vocab_size: int, text_col: str = "text", max_len: int = 8,
                   seed_size: int = 20000, shrink: float = 0.75, em_steps: int = 2,
-                  max_rounds: int = 20, prior: str = "none") -> DataFrame:
+                  prior: str = "none") -> DataFrame:
     """Train a Unigram vocabulary of ``vocab_size`` entries (specials
-    included). Returns (id, piece, score = log probability). ``prior``
+    included). Method parameters: seed candidates are the ``seed_size`` most
+    frequent substrings of up to ``max_len`` characters; every character stays
+    in the vocabulary, so ``vocab_size`` must hold them all. Returns (id, piece, score = log probability). ``prior``
     selects the M-step (see :func:`_m_step`)."""
     if prior not in ("none", "digamma"):
         raise ValueError("prior must be 'none' or 'digamma'")
@@ -337,13 +340,16 @@ def train_unigram(df: DataFrame, vocab_size: int, text_col: str = "text", max_le
     pieces = {r["piece"]: r["c"] for r in seed_pieces(words, seed_size, max_len).collect()}
     target = vocab_size - len(SPECIALS)
     chars = {p for p in pieces if len(p) == 1}
+    if len(chars) > target:
+        raise ValueError(f"the text has {len(chars)} distinct characters, which all stay; vocab_size must be at least "
+                         f"{len(chars) + len(SPECIALS)}")
 
     def normalise(counts: dict) -> dict:
         total = sum(counts.values())
         return {p: math.log(c / total) for p, c in counts.items() if c > 0}
 
     logp = normalise(pieces)
-    for _ in range(max_rounds):
+    while True:                                   # each round removes pieces, so the target is reached
         for _ in range(em_steps):
             bc = spark.sparkContext.broadcast(logp)
             sums = (words.mapInPandas(_e_step_fn(bc, max_len), "piece string, c double")
@@ -354,7 +360,7 @@ def train_unigram(df: DataFrame, vocab_size: int, text_col: str = "text", max_le
             logp = _m_step(counts, prior)
         if len(logp) <= target:
             break
-        keep_n = max(target, int(len(logp) * shrink))
+        keep_n = max(target, min(int(len(logp) * shrink), len(logp) - 1))
         bc = spark.sparkContext.broadcast(logp)
         unk_logp = min(logp.values()) - UNK_PENALTY
         scored = spark.createDataFrame(
@@ -363,7 +369,10 @@ def train_unigram(df: DataFrame, vocab_size: int, text_col: str = "text", max_le
                       .mapInPandas(_prune_fn(bc, max_len, unk_logp), "piece string, c double, loss double")
                       .orderBy(F.col("loss").desc(), F.col("piece")).limit(keep_n)
                       .select("piece").collect())
-        keep = {r["piece"] for r in kept} | chars
+        bc.unpersist()
+        least = [r["piece"] for r in kept]        # the characters count within the target
+        extra = len(chars - set(least))
+        keep = chars | {p for p in least[:len(least) - extra] if p not in chars} | (chars & set(least))
         logp = normalise({p: math.exp(v) for p, v in logp.items() if p in keep})
     ranked = sorted(logp.items(), key=lambda kv: (-kv[1], kv[0]))
     non_char = [kv for kv in ranked if len(kv[0]) > 1]
@@ -402,10 +411,11 @@ def _tokenise_fn(bc, text_col, passthrough, max_len, bos_id, eos_id):
     return run
 
 
-def tokenise_unigram(df: DataFrame, vocab: DataFrame, text_col: str = "text", max_len: int = 8,
+def tokenise_unigram(df: DataFrame, vocab: DataFrame, text_col: str = "text",
                      bos: bool = True, eos: bool = True) -> DataFrame:
     """Best-path segmentation of every word (T1c); narrow Arrow batch map,
-    vocabulary broadcast after a size check, per-task word memo."""
+    vocabulary broadcast after a size check, per-task word memo. Pieces of any
+    length are used."""
     ship_package(df.sparkSession)
     n = vocab.count()
     if n > MAX_VOCAB_BROADCAST:
@@ -414,6 +424,7 @@ def tokenise_unigram(df: DataFrame, vocab: DataFrame, text_col: str = "text", ma
     ids = {r["piece"]: int(r["id"]) for r in rows}
     logp = {r["piece"]: float(r["score"]) for r in rows if r["piece"] not in SPECIALS}
     unk_logp = (min(logp.values()) if logp else 0.0) - UNK_PENALTY
+    max_len = max(map(len, logp), default=1)
     bc = df.sparkSession.sparkContext.broadcast((logp, ids, ids.get(UNK, 0), unk_logp))
     passthrough = [c for c in df.columns if c != text_col]
     schema = T.StructType([df.schema[c] for c in passthrough] + [

@@ -605,7 +605,7 @@ UNIGRAM_SIZE = 2000
 
 
 def unigram_vocab(spark, sf_dir):
-    return ug.train_unigram(documents(spark, sf_dir, "text"), UNIGRAM_SIZE, seed_size=8000)
+    return ug.train_unigram(documents(spark, sf_dir, "text"), UNIGRAM_SIZE)
 
 
 def q_train_unigram(spark, sf_dir):
