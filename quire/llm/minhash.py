@@ -15,9 +15,10 @@ likeness 0.8 misses all of them with a chance of (1 - 0.8^4)^32 = 5e-8.
 Work is linear in the group: documents with equal sets are one class; in a
 bucket every class is compared with the first one only, on the full sets. What
 this leaves apart in a bucket (classes of different components) is then
-compared sketch by sketch, block by block, within tasks, and the pairs that can
-be as alike as asked (NEAR of the coordinates, 5.6 standard deviations below
-0.8) are compared on the full sets as well. Components come from the links.
+compared within tasks, block by block, by longer sketches of FINE coordinates;
+a pair is looked at in the first bucket that it shares only, and those that can
+be as alike as asked (4.5 standard deviations below 0.8, a chance of 3e-6 to
+miss one) are compared on the full sets as well. Components come from the links.
 
 Defined cases: a null or empty text and one without words has the empty set
 and is linked with nothing; fewer words than a shingle make one shingle of all
@@ -39,9 +40,9 @@ from quire.llm import words as ws
 from quire.llm.arrow import joined, slices
 from quire.session import ensure_checkpoint_dir, scratch_path
 
-T, BANDS, ROWS = 128, 32, 4
-#: Least share of equal coordinates of a pair worth comparing.
-NEAR = 0.6
+T, BANDS, ROWS, FINE = 128, 32, 4, 512
+#: Standard deviations of the estimate that a pair worth comparing may lie below the likeness asked for.
+SLACK = 4.5
 #: Members of a bucket that a task compares with as many others at once.
 BLOCK = 1024
 
@@ -67,22 +68,22 @@ def shingle_sets(texts: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
     return owner[new], found[new]
 
 
-def sketches(owner: np.ndarray, hashes: np.ndarray, n_docs: int) -> np.ndarray:
-    """T coordinates of every document; those of an empty set stay at the
+def sketches(owner: np.ndarray, hashes: np.ndarray, n_docs: int, t: int = T) -> np.ndarray:
+    """t coordinates of every document; those of an empty set stay at the
     largest value."""
     empty = np.uint64(0xFFFFFFFFFFFFFFFF)
-    bins = np.full(n_docs * T, empty, np.uint64)
+    bins = np.full(n_docs * t, empty, np.uint64)
     low = np.uint64((1 << 48) - 1)
-    for i in range(2 * T):
+    for i in range(2 * t):
         if not len(hashes):
             break
         h = ws.mix(hashes ^ ws.mix(np.array([i + 1], np.uint64) * ws.BASE)[0])
-        place = (h >> np.uint64(57)).astype(np.int64) % T if i < T else i - T
-        np.minimum.at(bins, owner * T + place, (np.uint64(i) << np.uint64(48)) | (h & low))
-        open_docs = (bins.reshape(n_docs, T) == empty).any(1)
+        place = (h >> np.uint64(48)).astype(np.int64) % t if i < t else i - t
+        np.minimum.at(bins, owner * t + place, (np.uint64(i) << np.uint64(48)) | (h & low))
+        open_docs = (bins.reshape(n_docs, t) == empty).any(1)
         left = open_docs[owner]
         owner, hashes = owner[left], hashes[left]
-    return bins.reshape(n_docs, T)
+    return bins.reshape(n_docs, t)
 
 
 def band_keys(sketch: np.ndarray) -> np.ndarray:
@@ -94,8 +95,7 @@ def band_keys(sketch: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, n: int) -> DataFrame:
-    """(doc_id, n_shingles, class, sketch, bands): class is equal for equal
-    sets, sketch holds 16 bits of each coordinate."""
+    """(doc_id, n_shingles, class, bands): class is equal for equal sets."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
@@ -109,19 +109,16 @@ def signatures(docs: DataFrame, n: int) -> DataFrame:
                     total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(ws.mix(hashes + np.uint64(seed) * ws.BASE), dtype=np.uint64)))
                     sums.append(total[ends] - total[ends - size])
             classes = np.stack([*sums], 1).astype("<u8").tobytes()
-            sketch = sketches(owner, hashes, rows)
-            keys = band_keys(sketch)
+            keys = band_keys(sketches(owner, hashes, rows))
             some = size > 0
-            short = ws.mix(sketch).astype("<u2").tobytes()
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id"), pa.array(size, pa.int64()),
                 pa.array([classes[16 * i:16 * i + 16] if s else None for i, s in enumerate(some)], pa.binary()),
-                pa.array([short[2 * T * i:2 * T * (i + 1)] if s else None for i, s in enumerate(some)], pa.binary()),
                 pa.array([k if s else None for k, s in zip(keys, some)], pa.list_(pa.int64()))],
-                ["doc_id", "n_shingles", "class", "sketch", "bands"])
+                ["doc_id", "n_shingles", "class", "bands"])
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        work, "doc_id long, n_shingles long, class binary, sketch binary, bands array<long>")
+        work, "doc_id long, n_shingles long, class binary, bands array<long>")
 
 
 def full_sets(docs: DataFrame, n: int) -> DataFrame:
@@ -139,6 +136,26 @@ def full_sets(docs: DataFrame, n: int) -> DataFrame:
         work, "doc_id long, shingles array<long>")
 
 
+def set_sketches(sets: DataFrame) -> DataFrame:
+    """(node, n, sketch, fine): 16 bits of each coordinate of both sketches."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, 256):
+                batch = whole.slice(at, 256)
+                lists = batch.column("shingles")
+                size = np.asarray(lists.value_lengths()).astype(np.int64)
+                hashes = lists.flatten().to_numpy().view(np.uint64)
+                owner = np.repeat(np.arange(batch.num_rows), size)
+                columns = [batch.column("node"), pa.array(size)]
+                for t in (T, FINE):
+                    raw = ws.mix(sketches(owner, hashes, batch.num_rows, t)).astype("<u2").tobytes()
+                    columns.append(pa.array([raw[2 * t * i:2 * t * (i + 1)] for i in range(batch.num_rows)], pa.binary()))
+                yield pa.RecordBatch.from_arrays(columns, ["node", "n", "sketch", "fine"])
+
+    return sets.select(F.col("doc_id").alias("node"), "shingles").mapInArrow(work, "node long, n long, sketch binary, fine binary")
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component): the smallest node reachable over the links. Each
     round hangs every node's neighbours and the node itself under the smallest
@@ -175,28 +192,36 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def _apart(percent: int):
     """Within each bucket (pair of blocks of a bucket), the pairs of different
-    components that can be as alike as asked."""
+    components that can be as alike as asked and share no earlier bucket."""
+    least = percent / 100 - SLACK * (percent / 100 * (1 - percent / 100) / FINE) ** 0.5
 
     def pairs(rows: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         left, right = np.flatnonzero(rows["side"] != 1), np.flatnonzero(rows["side"] != 0)
+        one_block = rows["side"][0] == 2
         got: tuple[list, list] = [], []
         for at in range(0, len(left), 64):
             i = left[at:at + 64]
             small = np.minimum(rows["n"][i][:, None], rows["n"][right])
             large = np.maximum(rows["n"][i][:, None], rows["n"][right])
             fits = (100 * small >= percent * large) & (rows["component"][i][:, None] != rows["component"][right])
+            if one_block:
+                fits &= rows["node"][i][:, None] > rows["node"][right]
             p, q = np.nonzero(fits)
-            for k in range(0, len(p), 1 << 15):
-                x, y = i[p[k:k + (1 << 15)]], right[q[k:k + (1 << 15)]]
-                alike = (rows["sketch"][x] == rows["sketch"][y]).sum(1) >= NEAR * T
+            for k in range(0, len(p), 1 << 14):
+                x, y = i[p[k:k + (1 << 14)]], right[q[k:k + (1 << 14)]]
+                shared = (rows["sketch"][x] == rows["sketch"][y]).reshape(-1, BANDS, ROWS).all(2)
+                first = shared.argmax(1) == rows["band"][x]
+                x, y = x[first], y[first]
+                alike = (rows["fine"][x] == rows["fine"][y]).mean(1) >= least
                 got[0].append(rows["node"][x[alike]])
                 got[1].append(rows["node"][y[alike]])
         none = np.zeros(0, np.int64)
         return np.concatenate([none, *got[0]]), np.concatenate([none, *got[1]])
 
     def work(key: tuple, table: pa.Table) -> pa.Table:
-        rows = {c: table.column(c).to_numpy() for c in ("node", "component", "n", "side")}
-        rows["sketch"] = np.frombuffer(b"".join(table.column("sketch").to_pylist()), "<u2").reshape(-1, T)
+        rows = {c: table.column(c).to_numpy() for c in ("node", "component", "n", "side", "band")}
+        for c, t in (("sketch", T), ("fine", FINE)):
+            rows[c] = np.frombuffer(b"".join(table.column(c).to_pylist()), "<u2").reshape(-1, t)
         x, y = pairs(rows)
         return pa.table({"a": np.maximum(x, y), "b": np.minimum(x, y)})
 
@@ -212,8 +237,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, words: int = 5, percen
     classes = signed.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("node")).where("node is not null")
     members = signed.where("class is not null").join(classes, "class")
     # a class is seen through its first document
-    firsts = members.where("doc_id = node").select("node", "n_shingles", "sketch", "bands").dropDuplicates(["node", "sketch"])
-    keyed = firsts.select("node", F.explode("bands").alias("key"))
+    firsts = members.where("doc_id = node").select("node", "class", "bands").dropDuplicates(["node", "class"])
+    keyed = firsts.select("node", F.posexplode("bands").alias("band", "key"))
     buckets = keyed.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first < last")
     star = (keyed.join(buckets.select("key", "first"), "key").where("node > first")
             .select(F.col("node").alias("a"), F.col("first").alias("b")).distinct().checkpoint())
@@ -225,16 +250,18 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, words: int = 5, percen
     first_round = components(links)
 
     # buckets that hold several components still
-    placed = keyed.join(first_round, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
+    placed = keyed.join(first_round, "node", "left").select("key", "band", "node", F.coalesce("component", "node").alias("component"))
     mixed = (placed.groupBy("key").agg(F.count("*").alias("members"), F.min("component").alias("low"), F.max("component").alias("high"))
              .where("low < high").select("key", "members"))
-    around = (placed.join(mixed, "key").join(firsts.select("node", F.col("n_shingles").alias("n"), "sketch"), "node"))
+    around = placed.join(mixed, "key").checkpoint()
+    sketched = set_sketches(sets.join(around.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi"))
+    around = around.join(sketched, "node")
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
     cut = around.select("*", blocks.alias("blocks"), F.pmod(F.xxhash64("node"), blocks).cast("int").alias("block"))
     dealt = cut.select(
-        "key", "node", "component", "n", "sketch", "block",
+        "key", "band", "node", "component", "n", "sketch", "fine", "block",
         F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).select(
-        "key", "node", "component", "n", "sketch", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"),
+        "key", "band", "node", "component", "n", "sketch", "fine", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"),
         F.when(F.col("block") == F.col("other"), 2).when(F.col("block") < F.col("other"), 0).otherwise(1).alias("side"))
     more = (dealt.groupBy("key", "p", "q").applyInArrow(_apart(percent), "a long, b long").where("a != b").distinct()
             .join(star, ["a", "b"], "left_anti").checkpoint())
