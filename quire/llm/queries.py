@@ -78,6 +78,49 @@ QUERIES = {
 }
 
 SQL = {
+    "op1_repeated_passages": r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), starts AS (
+  SELECT r, p, md5(substr(h, 2 * p + 1, 400)) AS s
+  FROM (SELECT r, h, unnest(range(greatest(length(h) // 2 - 199, 0))) AS p FROM docs)
+), repeated AS (
+  SELECT r, p FROM (SELECT r, p, count(*) OVER (PARTITION BY s) AS c FROM starts) WHERE c > 1
+), marked AS (
+  SELECT r, p, CASE WHEN p - lag(p) OVER w <= 200 THEN 0 ELSE 1 END AS fresh FROM repeated WINDOW w AS (PARTITION BY r ORDER BY p)
+), numbered AS (SELECT r, p, sum(fresh) OVER (PARTITION BY r ORDER BY p) AS k FROM marked
+), spans AS (SELECT r, k, min(p) AS a, max(p) + 200 AS b FROM numbered GROUP BY r, k
+), edges AS (
+  SELECT r, a, b, coalesce(lag(b) OVER w, 0) AS before, lead(a) OVER w IS NULL AS final FROM spans WINDOW w AS (PARTITION BY r ORDER BY a)
+), kept AS (
+  SELECT r, count(*) AS n, sum(b - a) AS gone,
+         string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) || substr(any_value(h), 2 * max(b) + 1) AS left_over
+  FROM edges JOIN docs USING (r) GROUP BY r
+)
+SELECT doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(gone, 0)::BIGINT AS n_removed, coalesce(n, 0)::BIGINT AS n_spans,
+       sha256(unhex(coalesce(left_over, h))) AS kept_sha256
+FROM docs LEFT JOIN kept USING (r)
+""",
+    "op6_warc_history": r"""
+WITH hashed AS (
+  SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h, lower(trim(url)) AS u FROM pages
+), cut AS (
+  SELECT *, split_part(CASE WHEN contains(u, '://') THEN substr(u, instr(u, '://') + 3) ELSE u END, '#', 1) AS rest,
+         min(page_id) OVER (PARTITION BY h) AS first
+  FROM hashed
+), hosts AS (
+  SELECT *, regexp_replace(split_part(split_part(rest, '/', 1), ':', 1), '^www\.', '') AS host, substr(rest, length(split_part(rest, '/', 1)) + 1) AS path
+  FROM cut
+)
+SELECT page_id, octet_length(encode(html))::BIGINT AS payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 +
+         ((('0x' || substr(h, (i // 4 * 5 + 1)::BIGINT, 5))::BIGINT >> (15 - 5 * (i % 4))::BIGINT) & 31)::BIGINT, 1)), '') AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to,
+       array_to_string(list_reverse(string_split(host, '.')), ',') || ')' || path AS urlkey,
+       strftime(make_timestamp((1577836800 + page_id % 1000000000) * 1000000), '%Y%m%d%H%M%S') AS captured
+FROM hosts
+""",
     "op4_near_duplicates": r"""
 WITH RECURSIVE cut AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),

@@ -73,38 +73,38 @@ def likeness(a: Column, b: Column) -> Column:
         F.size(F.array_intersect(F.array_intersect(both, a), b)) / F.size(both))
 
 
-def with_next(docs: DataFrame, columns: list[str]) -> DataFrame:
-    """``docs`` (doc_id and ``columns``) with next_<column> of the next document
-    by descending doc_id, after the last one the first.
+def with_next(docs: DataFrame, columns: list[str], more) -> DataFrame:
+    """``docs`` (doc_id, ``columns``) after ``more`` (a function that adds
+    columns to rows), with next_<column> of the next document by descending
+    doc_id, after the last one the first.
 
     Documents are ordered within ranges of ids of about BUCKET documents; only
-    the first document of each range is looked up by the range before."""
+    the first document of each range is looked up by the range before, in the
+    partitioning by range that the order needs anyway."""
     low, high, n = docs.agg(F.min("doc_id"), F.max("doc_id"), F.count("*")).first()
     width = max(1, ((high or 0) - (low or 0)) * BUCKET // max(n, 1))
     cut = docs.withColumn("bucket", F.expr(f"coalesce((doc_id - {low or 0}) div {width}, -1)")) \
               .withColumn("tie", F.xxhash64(columns[0]))
     order = W.partitionBy("bucket").orderBy(F.desc_nulls_last("doc_id"), "tie")
-    packed = F.struct(*columns)
-    rows = cut.select("*", F.lead(packed).over(order).alias("after"), F.row_number().over(order).alias("rn"))
-    heads = rows.where("rn = 1").select("bucket", packed.alias("head"))
+    heads = more(cut.withColumn("rn", F.row_number().over(order)).where("rn = 1"))
     down = W.partitionBy(F.lit(0)).orderBy(F.desc("bucket"))
     ids = cut.select("bucket").distinct()
     follow = ids.select(F.col("bucket").alias("of"), F.coalesce(
-        F.lead("bucket").over(down),
-        F.max("bucket").over(W.partitionBy(F.lit(0)))).alias("bucket"))
-    first = follow.join(heads, "bucket").select("of", "head")
-    inner = rows.where("after is not null")
-    last = rows.where("after is null").join(first, F.col("bucket") == F.col("of")).withColumn("after", F.col("head")).drop("of", "head")
-    return inner.unionByName(last).select(
-        "doc_id", *columns, *[F.col(f"after.{c}").alias(f"next_{c}") for c in columns])
+        F.lead("bucket").over(down), F.max("bucket").over(W.partitionBy(F.lit(0)))).alias("bucket"))
+    whole = more(cut)
+    added = [c for c in whole.columns if c not in ("doc_id", "bucket", "tie")]
+    first = follow.join(heads.select("bucket", F.struct(*added).alias("head")), "bucket").select("of", "head")
+    rows = whole.withColumn("after", F.lead(F.struct(*added)).over(order))
+    met = rows.join(first, F.col("bucket") == F.col("of"), "left").withColumn("after", F.coalesce("after", "head"))
+    return met.select("doc_id", *added, *[F.col(f"after.{c}").alias(f"next_{c}") for c in added])
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
     """The fingerprint of every text and of its edited text, whose last
     floor(n_chars / 2) code points give way to the first of the next text."""
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    own = with_anchors(texts, "text", "anchors").select("doc_id", "text", smallest(F.col("anchors")).alias("sketch"))
-    pairs = with_next(own, ["text", "sketch"])
+    pairs = with_next(texts, ["text"], lambda rows: with_anchors(rows, "text", "anchors").withColumn(
+        "sketch", smallest(F.col("anchors"))).drop("anchors"))
     half = F.expr("length(text) div 2").cast("int")
     edited = pairs.select(
         "doc_id", "sketch", "next_sketch", F.length("text").cast("long").alias("n_chars"),

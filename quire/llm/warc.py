@@ -25,6 +25,7 @@ gives an empty index. Other columns are ignored.
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 from collections.abc import Iterable, Iterator
 from datetime import datetime, timezone
@@ -97,7 +98,7 @@ def records(pages: DataFrame, least: int = 0) -> DataFrame:
 
 
 def write(pages: DataFrame, path: str, least: int = 0) -> None:
-    records(pages, least).write.option("lineSep", END).option("maxRecordsPerFile", RECORDS).text(path)
+    records(pages, least).write.option("lineSep", END).option("maxRecordsPerFile", RECORDS).option("compression", "gzip").text(path)
 
 
 def parse(content: bytes) -> Iterator[tuple[int, dict[str, str], bytes, bytes]]:
@@ -128,7 +129,7 @@ def _captures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for path, content in zip(batch.column("path"), batch.column("content")):
             rows, run = [], path.as_py().rpartition("/")[2]
-            for at, fields, head, payload in parse(content.as_buffer().to_pybytes()):
+            for at, fields, head, payload in parse(gzip.decompress(content.as_buffer())):
                 kind = fields["WARC-Type"]
                 said = fields["WARC-Payload-Digest"].removeprefix("sha1:")
                 length = int(dict(x.split(": ", 1) for x in head.decode().split(EOL)[1:])["Content-Length"])
