@@ -4,7 +4,6 @@ extraction, stop strings. All are built-in Spark expressions (codegen, no UDF).
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -106,8 +105,3 @@ def source_key(name: Column | str) -> Column:
 
 def url_host(col: Column | str) -> Column:
     return F.regexp_extract(_c(col), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]+)", 1)
-
-
-def re2_escape(s: str) -> str:
-    """Escape a literal for RE2 (used only to write oracle SQL)."""
-    return re.escape(s)

@@ -26,14 +26,12 @@ def token_accuracy(df: DataFrame, preds: str = "preds", labels: str = "labels",
     Every position counts unless ``mask`` (array of 0/1 aligned with labels)
     is given (Q12)."""
     pairs = shifted_pairs(preds, labels)
-    cols = [*by, F.explode(pairs).alias("_p")]
     if mask:
-        cols.append(F.explode(F.slice(F.col(mask), 2, F.size(mask) - 1)).alias("_m"))
         x = df.select(*by, F.explode(F.arrays_zip(pairs.alias("p"),
                                                  F.slice(F.col(mask), 2, F.size(mask) - 1).alias("m"))).alias("_z"))
         x = x.where(F.col("_z.m") == 1).select(*by, F.col("_z.p").alias("_p"))
     else:
-        x = df.select(*cols)
+        x = df.select(*by, F.explode(pairs).alias("_p"))
     hit = (F.col("_p.pred") == F.col("_p.label")).cast("double")
     agg = x.groupBy(*by) if by else x
     return agg.agg(F.count(F.lit(1)).alias("tokens"), F.avg(hit).alias("accuracy"))
@@ -141,8 +139,3 @@ def vector_bytes(df: DataFrame, col: str = "embedding", by: Sequence[str] = (),
         F.sum(n).cast("long").alias("n_elements"),
         (F.sum(n) * F.lit(bytes_per_element)).cast("long").alias("bytes"),
     )
-
-
-def argmax_col(values: Column | str) -> Column:
-    from quire.functions.arrays import argmax
-    return argmax(values)

@@ -48,11 +48,6 @@ def codepoint_size(text: Column | str = "text", bos: int | None = CP_BOS, eos: i
     return F.coalesce(F.length(_c(text)), F.lit(0)) + int(bos is not None) + int(eos is not None)
 
 
-def word_size(text: Column | str = "text", bos: bool = True, eos: bool = True) -> Column:
-    """Token count of the word tokenizer without a vocabulary look-up."""
-    return F.size(split_words(F.coalesce(_c(text), F.lit("")))) + int(bos) + int(eos)
-
-
 def _with_markers(ids: Column, bos: int | None, eos: int | None) -> Column:
     parts = []
     if bos is not None:

@@ -162,15 +162,6 @@ def _expected_counts_prob(word: str, freq: float, prob: dict, max_len: int):
 # Spark jobs
 # --------------------------------------------------------------------------
 
-FLUSH_ENTRIES = 1_000_000
-
-
-def _flush(acc: dict, key: str, val: str) -> pd.DataFrame:
-    out = pd.DataFrame({key: list(acc), val: [float(v) for v in acc.values()]})
-    acc.clear()
-    return out
-
-
 def arrow_pre_tokens(texts):
     """Vectorised :func:`pre_tokens` over an Arrow string array: returns a
     flat Arrow array of words (C++ kernels; no per-row Python)."""

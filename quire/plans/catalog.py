@@ -321,7 +321,7 @@ def q_length_reduction(spark, sf_dir):
     d = documents(spark, sf_dir, "doc_id", "lang", "text")
     a = tk.tokenise_codepoint(d, bos=None, eos=None)
     b = tk.tokenise_word(d.select("doc_id", "text"), doc_vocab(spark, sf_dir), bos=False, eos=False)
-    return vc.compare_lengths(a, b, "doc_id", "lang").withColumnRenamed("lang", "lang")
+    return vc.compare_lengths(a, b, "doc_id", "lang")
 
 
 def q_token_lookup(spark, sf_dir):
@@ -530,7 +530,7 @@ def q_override_fields(spark, sf_dir):
 
 def q_last_wins(spark, sf_dir):
     ev_ = table(spark, sf_dir, "events")
-    parts = (ev_.select(F.concat(F.lit("L"), F.hour("ts").cast("string"), F.lit("-consolidated.00.pth")).alias("part"),
+    parts = (ev_.select(F.concat(F.lit("L"), F.hour("ts").cast("string"), F.lit("-part.00")).alias("part"),
                         F.concat(F.lit("user"), F.col("user_id").cast("string")).alias("key"))
                 .groupBy("part", "key").agg(F.count(F.lit(1)).alias("value")))
     return keyed.last_wins(parts, ["key"], "part", ["value"])

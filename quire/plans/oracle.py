@@ -397,7 +397,7 @@ SELECT e.vec_id, CASE WHEN p.vec_id IS NOT NULL THEN p.label ELSE e.label + 100
 FROM embeddings e LEFT JOIN patch p USING (vec_id)"""
 
 SQL["last_wins"] = """WITH parts AS (
-  SELECT 'L' || CAST(hour(ts) AS VARCHAR) || '-consolidated.00.pth' AS part, 'user' || CAST(user_id AS VARCHAR) AS key,
+  SELECT 'L' || CAST(hour(ts) AS VARCHAR) || '-part.00' AS part, 'user' || CAST(user_id AS VARCHAR) AS key,
          count(*) AS value
   FROM events GROUP BY 1, 2)
 SELECT key, max(part) AS part, arg_max(value, part) AS value FROM parts GROUP BY key"""
