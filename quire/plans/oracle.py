@@ -413,3 +413,16 @@ SELECT x.vec_id, CAST(x.pos AS INTEGER) AS pos, round(x.v + 2.0 * a.m * dot.d, 6
 FROM x JOIN a USING (pos) JOIN dot USING (vec_id)"""
 
 SQL["name_filter"] = """SELECT page_id, url FROM pages WHERE regexp_matches(url, '^(?:https?://m\\.)')"""
+
+SQL["low_rank"] = """WITH e AS (
+  SELECT vec_id, label, unnest(range(len(embedding))) AS pos, CAST(unnest(embedding) AS DOUBLE) AS v FROM embeddings),
+a AS (SELECT label, pos, avg(v) AS m FROM e WHERE label IN (0, 1, 2, 3) GROUP BY label, pos),
+dot AS (SELECT vec_id, a.label, sum(v * m) AS d FROM e JOIN a USING (pos) GROUP BY vec_id, a.label),
+upd AS (SELECT vec_id, pos, sum(m * d) AS u FROM dot JOIN a USING (label) GROUP BY vec_id, pos)
+SELECT vec_id, CAST(pos AS INTEGER) AS pos, round(v + 2.0 / 4 * u, 6) AS value FROM e JOIN upd USING (vec_id, pos)"""
+
+# the stub model's answer: the words of the question in reverse order
+REVERSED = r"array_to_string(list_reverse(list_filter(regexp_split_to_array({}, '\s+'), lambda w: w <> '')), ' ')"
+
+SQL["batch_generate"] = f"""SELECT row_number() OVER (ORDER BY item_id, pos) - 1 AS idx, question AS "Input",
+  {REVERSED.format('question')} AS "Output" FROM ({SQL['questions']})"""

@@ -86,3 +86,46 @@ def test_unigram_long_pieces_nul_and_small_targets(spark):
     assert words == set(ug.pre_tokens("a\0b c x \0b"))
     with pytest.raises(ValueError, match="distinct characters"):
         ug.train_unigram(spark.createDataFrame([("abcdefghijklmnop",)], "text string"), 8)
+
+
+def cached(spark, root, rows, **kw):
+    from quire.operators.tokenise import codepoint_size, tokenise_codepoint
+    from quire.sources.sinks import materialise
+    lines = spark.createDataFrame(rows, "source string, line_no long, text string")
+    built = []
+
+    def build(todo):
+        built.extend(r.source for r in todo.select("source").distinct().collect())
+        return pack.pack(todo, block=8, order=["line_no"], remainder="drop", tokenise=tokenise_codepoint, size=codepoint_size("text"))
+
+    blocks, manifest = materialise(lines, build, root, 8, "cp", **kw)
+    got = {}
+    for r in blocks.collect():
+        got[r.source] = got.get(r.source, 0) + 1
+    said = {r.source: r.rows for r in manifest.collect()}
+    assert said == {**{r[0]: 0 for r in rows}, **got}
+    return got, sorted(map(str, built))
+
+
+def test_cache_names_shrinking_and_crash(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "cache")
+    rows = [(s, i, "some text of a line") for s in ("001", "1", "", None, "a=b/c") for i in range(3)]
+    first, built = cached(spark, root, rows)
+    assert set(first) == {"001", "1", "", None, "a=b/c"} and len(built) == 5
+    assert cached(spark, root, rows) == (first, [])
+    shrunk = [r for r in rows if r[0] != "1"] + [("1", 0, "x")]
+    second, built = cached(spark, root, shrunk)
+    assert "1" not in second and built == ["1"]
+    assert cached(spark, root, shrunk) == (second, [])
+
+    def crash(*a, **k):
+        raise RuntimeError("lost")
+    from quire.sources import sinks
+    with monkeypatch.context() as m:
+        m.setattr(sinks.uuid, "uuid4", crash)
+        with pytest.raises(RuntimeError):
+            cached(spark, root, rows)
+    assert cached(spark, root, shrunk) == (second, [])
+    assert cached(spark, root, rows)[0] == first
+    assert cached(spark, root, rows[:3])[0] == {"001": first["001"]}
+    assert cached(spark, root, rows, overwrite=True)[1] == sorted(["001", "1", "", "None", "a=b/c"])
