@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """The batches cut into runs of rows with at most ``limit`` bytes in
     ``column`` (one row at least), so that work space is bounded."""
     for batch in batches:

@@ -26,7 +26,7 @@ def _power(name: str, base: np.uint64, n: int) -> np.ndarray:
         have[0] = 1
         with np.errstate(over="ignore"):
             have = np.multiply.accumulate(have)
-        if size <= 1 << 23:
+        if size <= 1 << 21:
             _powers[name] = have
     return have[:n]
 
