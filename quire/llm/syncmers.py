@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 SPACE = r"[\x20\x09-\x0D]+"
 K, S, KEPT = 4, 2, 64
-BUCKET = 512
+BUCKET, CELLS = 512, 32
 
 
 def word_hashes(text: Column) -> Column:
@@ -73,18 +73,35 @@ def likeness(a: Column, b: Column) -> Column:
         F.size(F.array_intersect(F.array_intersect(both, a), b)) / F.size(both))
 
 
+def id_range(docs: DataFrame) -> Column:
+    """A number that grows with doc_id and is shared by about BUCKET documents:
+    CELLS^2 cells between approximate quantiles of the ids, each cut into equal
+    parts. However ids are spread, a part has at most one cell's documents."""
+    probes = [i / CELLS ** 2 for i in range(CELLS ** 2)]
+    cuts, high, n = docs.agg(F.percentile_approx("doc_id", probes, 20 * CELLS ** 2), F.max("doc_id"), F.count("*")).first()
+    if not cuts:
+        return F.lit(-1).cast("long")
+    ends = [*cuts[1:], high]
+    parts = max(1, n // CELLS ** 2 // BUCKET + 1)
+    groups = [cuts[i:i + CELLS] for i in range(0, len(cuts), CELLS)]
+    upto = lambda values: F.size(F.filter(values, lambda x: x <= F.col("doc_id"))) - 1
+    array = lambda values: F.array(*[F.lit(v).cast("long") for v in values])
+    group = F.greatest(upto(array([g[0] for g in groups])), F.lit(0))
+    cell = group * CELLS + F.greatest(upto(F.get(F.array(*map(array, groups)), group)), F.lit(0))
+    low = F.get(array(cuts), cell)
+    width = F.get(array([max(1, -(-(b - a) // parts)) for a, b in zip(cuts, ends)]), cell)
+    part = F.floor((F.col("doc_id").cast("double") - low) / width)
+    return F.coalesce(cell.cast("long") * (1 << 32) + F.greatest(part, F.lit(0)), F.lit(-1)).cast("long")
+
+
 def with_next(docs: DataFrame, columns: list[str], more) -> DataFrame:
     """``docs`` (doc_id, ``columns``) after ``more`` (a function that adds
     columns to rows), with next_<column> of the next document by descending
     doc_id, after the last one the first.
 
-    Documents are ordered within ranges of ids of about BUCKET documents; only
-    the first document of each range is looked up by the range before, in the
+    Documents are ordered within ranges of ids (see id_range); only the first document of each range is looked up by the range before, in the
     partitioning by range that the order needs anyway."""
-    low, high, n = docs.agg(F.min("doc_id"), F.max("doc_id"), F.count("*")).first()
-    width = max(1, ((high or 0) - (low or 0)) * BUCKET // max(n, 1))
-    cut = docs.withColumn("bucket", F.expr(f"coalesce((doc_id - {low or 0}) div {width}, -1)")) \
-              .withColumn("tie", F.xxhash64(columns[0]))
+    cut = docs.withColumn("bucket", id_range(docs)).withColumn("tie", F.xxhash64(columns[0]))
     order = W.partitionBy("bucket").orderBy(F.desc_nulls_last("doc_id"), "tie")
     heads = more(cut.withColumn("rn", F.row_number().over(order)).where("rn = 1"))
     down = W.partitionBy(F.lit(0)).orderBy(F.desc("bucket"))

@@ -22,13 +22,14 @@ def test_edges(spark, edge_docs, edge_rows, no_docs):
 
 
 def test_next_over_ranges(spark):
-    ids = [0, 1, 5, 900, 901, 5000, 100_000, 100_001]
+    ids = [-7, 0, 1, 5, 900, 901, 5000, *range(20_000, 20_060), 100_000, 100_001, 10**15]
     df = spark.createDataFrame([(i, f"text {i}") for i in ids], "doc_id long, text string")
-    old, syncmers.BUCKET = syncmers.BUCKET, 2
+    old = syncmers.BUCKET, syncmers.CELLS
+    syncmers.BUCKET, syncmers.CELLS = 2, 4
     try:
         got = {r.doc_id: r.next_text for r in syncmers.with_next(df, ["text"], lambda x: x).collect()}
     finally:
-        syncmers.BUCKET = old
+        syncmers.BUCKET, syncmers.CELLS = old
     down = sorted(ids, reverse=True)
     assert got == {i: f"text {j}" for i, j in zip(down, down[1:] + down[:1])}
 
