@@ -19,6 +19,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 1 << 20)
             upto = max(int(np.searchsorted(sizes, done + limit, side="right")), at + 1)
             yield batch.slice(at, upto - at)
             at = upto
+    pa.default_memory_pool().release_unused()  # workers live on for other stages
 
 
 def lengths(values: pa.Array) -> np.ndarray:

@@ -38,7 +38,7 @@ PIECES = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{SPACE}\p{{
 WIDE = 64
 NONE = np.int64(1) << 60
 #: Distinct words that a task remembers.
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 
 
 def default_vocabulary() -> str:

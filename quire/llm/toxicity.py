@@ -157,7 +157,7 @@ class Channel:
     def restore(self, token: str) -> str:
         found = self.known.get(token)
         if found is None:
-            if len(self.known) > 200_000:
+            if len(self.known) > 50_000:
                 self.known = {}
             found = self.known[token] = self.decode(self.slots(token))
         return found
