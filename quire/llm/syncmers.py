@@ -1,19 +1,23 @@
 """Document fingerprints from closed syncmers (DataFrame functions only).
 
-The symbols are words. A window of ``K`` words is chosen when the smallest
-hash of its inner strings of ``S`` words lies at its first or last place, which
-depends on the window alone: equal passages choose equal windows wherever they
-stand, so the chosen windows are anchors for positional matching. The
-fingerprint is the sorted list of the ``KEPT`` smallest distinct hashes of the
-chosen windows, 16 hex digits each; likeness is the share of common hashes
-among the ``KEPT`` smallest of both, an estimate of the Jaccard likeness of the
-chosen windows.
-
-Defined cases: a null text is empty; a text of fewer than K words has one
-window, all its words; a text without words has the empty fingerprint, which is
-like another empty one by 1 and like others by 0; repeated doc_ids are ordered
-by the hash of their texts; the next document of a single one is itself; an
-empty table gives an empty result. Other columns are ignored.
+The symbols are characters. A window of ``K_CHARS`` characters is chosen when
+the smallest hash of its inner strings of ``S_CHARS`` lies at its first or last
+place, which depends on the window alone: equal passages choose equal windows
+wherever they stand, so the chosen windows are anchors for positional matching.
+The fingerprint holds all of them in order, each as 8 hex digits of its position
+and 16 of its hash.
+
+Anchors of two texts match where they have the same hash; among anchors of one
+hash, those next to one another by position. A match counts if another one has
+the same offset (difference of positions). Likeness is the share of matched
+anchors among all: m / (a + b - m).
+
+Defined cases: a null text is empty; a text of fewer than K_CHARS characters has
+one window, all its characters, and its match counts alone; a text without
+characters has the empty fingerprint, which is like another empty one by 1 and
+like others by 0; repeated doc_ids are ordered by the hash of their texts; the
+next document of a single one is itself; an empty table gives an empty result.
+Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -23,7 +27,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 SPACE = r"[\x20\x09-\x0D]+"
-K, S, KEPT = 4, 2, 64
+#: Windows of words, and of characters for fingerprints; S is a power of two.
+K, S = 4, 2
+K_CHARS, S_CHARS = 24, 8
 BUCKET, CELLS = 512, 32
 
 
@@ -31,46 +37,72 @@ def word_hashes(text: Column) -> Column:
     return F.transform(F.filter(F.split(text, SPACE), lambda w: w != ""), lambda w: F.xxhash64(w))
 
 
-def inner_hashes(words: Column) -> Column:
-    """Hashes of the strings of S words."""
-    return F.zip_with(words, F.slice(words, S, F.greatest(F.size(words) - S + 1, F.lit(0))),
-                      lambda a, b: F.xxhash64(a, b)) if S == 2 else F.transform(
-        F.sequence(F.lit(1), F.size(words) - S + 1), lambda i: F.xxhash64(F.slice(words, i, S)))
+def character_hashes(text: Column) -> Column:
+    return F.transform(F.filter(F.split(text, ""), lambda c: c != ""), lambda c: F.xxhash64(c))
 
 
-def with_anchors(df: DataFrame, text: str, out: str) -> DataFrame:
+def _with_later(values: Column, by: int, f) -> Column:
+    """f(value, value ``by`` places later); the last ``by`` values are not meant to be used."""
+    return F.zip_with(values, F.slice(values, 1 + by, F.greatest(F.size(values) - by, F.lit(0))), f)
+
+
+def with_anchors(df: DataFrame, text: str, out: str, symbols=word_hashes, k: int = K, s: int = S) -> DataFrame:
     """``df`` with ``out``: array of (pos, hash) of the chosen windows, pos in
-    words from 0."""
-    places = K - S + 1
-    df = df.withColumn("__w", word_hashes(F.col(text)))
-    df = df.withColumn("__m", F.when(F.size("__w") >= K, inner_hashes(F.col("__w"))))
+    symbols from 0."""
+    places = k - s + 1
+    df = df.withColumn("__w", symbols(F.col(text))).withColumn("__m", F.col("__w"))
+    step = 1
+    while step < s:  # hashes of the strings of s symbols
+        df = df.withColumn("__m", _with_later(F.col("__m"), step, lambda a, b: F.xxhash64(a, b)))
+        step *= 2
+    df = df.withColumn("__i", F.col("__m"))
+    step = 1
+    while 2 * step <= places - 2:  # least hash of ``step`` places
+        df = df.withColumn("__i", _with_later(F.col("__i"), step, lambda a, b: F.least(a, b)))
+        step *= 2
 
     def chosen(i: Column) -> Column:
         edge = F.least(F.get("__m", i), F.get("__m", i + places - 1))
-        inside = F.get("__m", i + 1) if places == 3 else F.array_min(F.slice("__m", i + 2, places - 2))
-        return edge <= inside
+        return edge <= F.least(F.get("__i", i + 1), F.get("__i", i + places - 1 - step))
 
-    starts = F.sequence(F.lit(0), F.size("__w") - K)
+    starts = F.sequence(F.lit(0), F.size("__w") - k)
+    at = [j for j in range(0, places, s)] + ([places - 1] if (places - 1) % s else [])  # strings that cover the window
     many = F.transform(F.filter(starts, chosen), lambda i: F.struct(
-        i.alias("pos"), F.xxhash64(F.get("__m", i), *[F.get("__m", i + j) for j in range(1, places)]).alias("hash")))
+        i.alias("pos"), F.xxhash64(*[F.get("__m", i + j) for j in at]).alias("hash")))
     one = F.array(F.struct(F.lit(0).alias("pos"), F.xxhash64("__w").alias("hash")))
     none = F.slice(one, 1, 0)
-    return df.withColumn(out, F.when(F.size("__w") >= K, many).when(F.size("__w") > 0, one).otherwise(none)) \
-             .drop("__w", "__m")
+    return df.withColumn(out, F.when(F.size("__w") >= k, many).when(F.size("__w") > 0, one).otherwise(none)) \
+             .drop("__w", "__m", "__i")
 
 
-def smallest(anchors: Column) -> Column:
-    return F.slice(F.array_sort(F.array_distinct(F.transform(anchors, lambda a: a["hash"]))), 1, KEPT)
+def character_anchors(df: DataFrame, text: str, out: str) -> DataFrame:
+    return with_anchors(df, text, out, character_hashes, K_CHARS, S_CHARS)
 
 
-def as_text(hashes: Column) -> Column:
-    return F.array_join(F.transform(hashes, lambda h: F.lower(F.lpad(F.hex(h), 16, "0"))), "")
+def as_text(anchors: Column) -> Column:
+    return F.array_join(F.transform(anchors, lambda a: F.lower(F.concat(
+        F.lpad(F.hex(a["pos"]), 8, "0"), F.lpad(F.hex(a["hash"]), 16, "0")))), "")
 
 
-def likeness(a: Column, b: Column) -> Column:
-    both = F.slice(F.array_sort(F.array_union(a, b)), 1, KEPT)
-    return F.when(F.size(both) == 0, F.lit(1.0)).otherwise(
-        F.size(F.array_intersect(F.array_intersect(both, a), b)) / F.size(both))
+def with_likeness(df: DataFrame, a: str, b: str, out: str) -> DataFrame:
+    """``df`` with ``out``, the share of the anchors of ``a`` and ``b`` (array
+    of (pos, hash)) that match at consistent offsets."""
+    def side(column: str, n: int) -> Column:
+        return F.transform(column, lambda x: F.struct(x["hash"].alias("hash"), x["pos"].alias("pos"), F.lit(n).alias("side")))
+
+    df = df.withColumn("__x", F.array_sort(F.concat(side(a, 0), side(b, 1))))
+    here, after = (lambda i: F.get("__x", i)), (lambda i: F.get("__x", i + 1))
+    met = F.filter(F.sequence(F.lit(0), F.size("__x") - 2), lambda i: (
+        (here(i)["hash"] == after(i)["hash"]) & (here(i)["side"] != after(i)["side"])))
+    offsets = F.transform(met, lambda i: (after(i)["pos"] - here(i)["pos"]) * F.when(here(i)["side"] == 0, 1).otherwise(-1))
+    df = df.withColumn("__o", F.when(F.size("__x") >= 2, F.array_sort(offsets)).otherwise(F.array().cast("array<int>")))
+    o = lambda i: F.get("__o", i)
+    alone = F.least(F.size(a), F.size(b)) == 1
+    same = F.filter(F.sequence(F.lit(0), F.size("__o") - 1), lambda i: (
+        alone | F.coalesce(o(i) == F.when(i > 0, o(i - 1)), F.lit(False)) | F.coalesce(o(i) == o(i + 1), F.lit(False))))
+    common = F.when(F.size("__o") > 0, F.least(F.size(same), F.size(a), F.size(b))).otherwise(0)
+    every = F.size(a) + F.size(b)
+    return df.withColumn(out, F.when(every == 0, F.lit(1.0)).otherwise(common / (every - common))).drop("__x", "__o")
 
 
 def id_range(docs: DataFrame) -> Column:
@@ -116,20 +148,41 @@ def with_next(docs: DataFrame, columns: list[str], more) -> DataFrame:
     return met.select("doc_id", *added, *[F.col(f"after.{c}").alias(f"next_{c}") for c in added])
 
 
+def edited_anchors(df: DataFrame) -> DataFrame:
+    """``df`` with edited_anchors of the first ``cut`` characters of text and the
+    first ``half`` of next_text. Windows are chosen by themselves, so only those
+    across the cut are looked for anew; a text of under K_CHARS is one window."""
+    near = K_CHARS - 1
+    df = df.withColumn("half2", F.length("next_half"))
+    df = df.withColumn("middle", F.when(F.length("edited") < K_CHARS, F.col("edited")).otherwise(F.concat(
+        F.substring("text", F.greatest(F.col("cut") - near, F.lit(0)) + 1, F.least(F.lit(near), F.col("cut"))),
+        F.substring("next_half", F.lit(1), F.lit(near)))))
+    df = character_anchors(df, "middle", "across")
+
+    def inside(anchors: str, end: str) -> Column:
+        return F.filter(anchors, lambda x: x["pos"] + K_CHARS <= F.col(end))
+
+    def moved(anchors: Column, by: Column) -> Column:
+        return F.transform(anchors, lambda x: F.struct((x["pos"] + by).cast("int").alias("pos"), x["hash"].alias("hash")))
+
+    across = F.when(F.length("middle") >= K_CHARS, F.col("across")).otherwise(F.slice("across", 1, 0))
+    many = F.concat(inside("anchors", "cut"), moved(across, F.greatest(F.col("cut") - near, F.lit(0))),
+                    moved(inside("next_anchors", "half2"), F.col("cut")))
+    return df.withColumn("edited_anchors", F.when(F.length("edited") < K_CHARS, F.col("across")).otherwise(many)) \
+             .drop("half2", "middle", "across")
+
+
 def fingerprints(docs: DataFrame) -> DataFrame:
     """The fingerprint of every text and of its edited text, whose last
     floor(n_chars / 2) code points give way to the first of the next text."""
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    pairs = with_next(texts, ["text"], lambda rows: with_anchors(rows, "text", "anchors").withColumn(
-        "sketch", smallest(F.col("anchors"))).drop("anchors"))
+    pairs = with_next(texts, ["text"], lambda rows: rows).select("doc_id", "text", "next_text")
     half = F.expr("length(text) div 2").cast("int")
-    edited = pairs.select(
-        "doc_id", "sketch", "next_sketch", F.length("text").cast("long").alias("n_chars"),
-        F.concat(F.substring("text", F.lit(1), F.length("text") - half),
-                 F.substring("next_text", F.lit(1), half)).alias("edited"))
-    done = with_anchors(edited, "edited", "anchors").withColumn("new", smallest(F.col("anchors")))
+    cut = pairs.withColumn("cut", F.length("text") - half).withColumn("next_half", F.substring("next_text", F.lit(1), half))
+    cut = cut.withColumn("edited", F.concat(F.substring("text", F.lit(1), F.col("cut")), F.col("next_half")))
+    done = edited_anchors(character_anchors(character_anchors(cut, "text", "anchors"), "next_text", "next_anchors"))
+    done = with_likeness(with_likeness(done, "anchors", "edited_anchors", "near_edited"), "anchors", "next_anchors", "near_next")
     return done.select(
-        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
-        as_text(F.col("sketch")).alias("fingerprint"), as_text(F.col("new")).alias("edited_fingerprint"),
-        likeness(F.col("sketch"), F.col("new")).alias("near_edited"),
-        likeness(F.col("sketch"), F.col("next_sketch")).alias("near_next"))
+        "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+        as_text(F.col("anchors")).alias("fingerprint"), as_text(F.col("edited_anchors")).alias("edited_fingerprint"),
+        "near_edited", "near_next")

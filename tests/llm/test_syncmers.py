@@ -1,5 +1,5 @@
 import hashlib
-
+import random
 
 from quire.llm import syncmers
 
@@ -41,3 +41,62 @@ def test_anchors_do_not_depend_on_context(spark):
     inside = [h for h, p in b.items() if p + syncmers.K <= 40]
     assert inside and all(h in a for h in inside)
     assert {a[h] - b[h] for h in inside if list(b.values()).count(b[h]) == 1} >= {3}
+
+
+def brute_anchors(h, text, k, s):
+    """Chosen windows by the definition, from the hashes ``h`` of strings of s characters."""
+    out = []
+    for i in range(len(text) - k + 1):
+        inner = [h[text[j:j + s]] for j in range(i, i + k - s + 1)]
+        if min(inner) in (inner[0], inner[-1]):
+            out.append((i, text[i:i + k]))
+    return out
+
+
+def test_character_anchors_by_definition(spark):
+    r = random.Random(2)
+    texts = ["".join(r.choice("ab c我é😀") for _ in range(n)) for n in (300, 24, 25, 23, 0)]
+    k, s = syncmers.K_CHARS, syncmers.S_CHARS
+    parts = sorted({t[i:i + s] for t in texts for i in range(len(t) - s + 1)})
+    df = spark.createDataFrame([(p,) for p in parts], "p string").withColumn("__m", syncmers.character_hashes(syncmers.F.col("p")))
+    for step in (1, 2, 4):
+        df = df.withColumn("__m", syncmers._with_later(syncmers.F.col("__m"), step, lambda a, b: syncmers.F.xxhash64(a, b)))
+    h = {x.p: x["__m"][0] for x in df.collect()}
+    rows = syncmers.character_anchors(spark.createDataFrame(list(enumerate(texts)), "i long, text string"), "text", "anchors")
+    got = {x.i: x.anchors for x in rows.collect()}
+    names = {}
+    for i, t in enumerate(texts[:3]):
+        want = brute_anchors(h, t, k, s)
+        assert [a.pos for a in got[i]] == [p for p, _ in want]
+        assert all(names.setdefault(w, a.hash) == a.hash for a, (_, w) in zip(got[i], want))
+    assert len(got[0]) > 20 and len(got[3]) == 1 and got[4] == []
+
+
+def test_all_anchors_and_shared_passages_at_other_places(spark):
+    r = random.Random(4)
+    word = lambda: "".join(r.choice("abcdefghijklmnop") for _ in range(6))
+    long, shared = " ".join(word() for _ in range(3000)), " ".join(word() for _ in range(60))
+    chinese = "".join(chr(0x4E00 + r.randrange(3000)) for _ in range(400))
+    texts = {1: long, 2: " ".join(word() for _ in range(2000)) + " " + shared, 3: long[:9000] + " " + shared + " " + long[9000:],
+             10: chinese[:200] + "".join(chr(0x4E00 + r.randrange(3000)) for _ in range(200)), 11: chinese}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    rows = {x.doc_id: x for x in syncmers.fingerprints(df).collect()}
+    assert len(rows[3].fingerprint) // 24 > 1000 and int(rows[3].fingerprint[-24:-16], 16) > 20_000
+    assert 0.003 < rows[3].near_next < 0.05  # sixty words of thousands, elsewhere
+    assert rows[2].near_next == 0
+    assert 0.2 < rows[11].near_next < 0.5
+    edited = {i: t[:len(t) - len(t) // 2] + texts[j][:len(t) // 2] for (i, t), j in zip(sorted(texts.items(), reverse=True), [10, 3, 2, 1, 11])}
+    plain = {x.doc_id: x.f for x in syncmers.character_anchors(spark.createDataFrame(list(edited.items()), "doc_id long, text string"), "text", "a")
+             .select("doc_id", syncmers.as_text(syncmers.F.col("a")).alias("f")).collect()}
+    assert {i: x.edited_fingerprint for i, x in rows.items()} == plain
+    assert all(0.2 < rows[i].near_edited < 0.6 for i in (1, 3, 11))
+
+
+def test_short_edited_texts(spark):
+    texts = {i: "abcdefghijklmnopqrstuvwxyz0123456789"[:i] for i in (1, 2, 7, 22, 23, 24, 25, 30, 36)}
+    rows = {x.doc_id: x for x in syncmers.fingerprints(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
+    ids = sorted(texts, reverse=True)
+    edited = [(i, texts[i][:len(texts[i]) - len(texts[i]) // 2] + texts[j][:len(texts[i]) // 2]) for i, j in zip(ids, ids[1:] + ids[:1])]
+    plain = {x.doc_id: x.f for x in syncmers.character_anchors(spark.createDataFrame(edited, "doc_id long, text string"), "text", "a")
+             .select("doc_id", syncmers.as_text(syncmers.F.col("a")).alias("f")).collect()}
+    assert {i: x.edited_fingerprint for i, x in rows.items()} == plain
