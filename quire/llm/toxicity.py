@@ -29,6 +29,7 @@ from __future__ import annotations
 import pickle
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -62,9 +63,7 @@ _DIGIT, _SIGN, _INNER = (np.zeros(256, bool) for _ in range(3))
 _DIGIT[list(b"0123456789")] = True
 _SIGN[list(b"@$!|+(*#")] = True
 _INNER[list(b".-_~*")] = True
-_LONE = _DIGIT | _LETTER
-_LONE[list(b"@$!")] = True
-_LONE[0x80:] = False
+_PIECE = _DIGIT | _LETTER | _SIGN | _INNER
 
 
 def count_characters(docs: DataFrame) -> DataFrame:
@@ -116,6 +115,9 @@ class Channel:
     def slots(token: str) -> list[list[tuple[str, float]]]:
         """The lattice of a token; " " between the letters marks spaces."""
         out: list[list[tuple[str, float]]] = []
+        runs = [len(list(same)) for ch, same in groupby(token) if ch.isalpha()]
+        doubled = sum(n == 2 for n in runs)
+        all_doubled = doubled >= 2 and 2 * doubled >= len(runs)  # the channel doubles letters, words seldom do
         at = 0
         while at < len(token):
             ch = token[at]
@@ -124,7 +126,7 @@ class Channel:
                 n += 1
             at += n
             if ch.isalpha():
-                out.append([(ch, 0.0)] if n == 1 else [(ch * 2, 0.0), (ch, -1.5)] if n == 2 else [(ch, -0.5), (ch * 2, -0.5)])
+                out.append([(ch, 0.0)] if n == 1 else [(ch * 2, 0.0), (ch, -1.5)] if n == 2 and not all_doubled else [(ch, -0.5), (ch * 2, -0.5)])
             elif ch in LEET:
                 options = [(c, -1.0) for c in LEET[ch]]
                 out.append(options if n == 1 else options + [(c * 2, -1.0) for c in LEET[ch]])
@@ -138,9 +140,9 @@ class Channel:
 
     def decode(self, slots: list[list[tuple[str, float]]]) -> str:
         model, size = self.model, SYMBOLS
-        best: dict[int, tuple[float, str]] = {0: (0.0, "")}  # state: the last three classes
+        best: dict[int, tuple] = {0: (0.0, ())}  # state: the last three classes; text as (text before, letters)
         for options in slots:
-            after: dict[int, tuple[float, str]] = {}
+            after: dict[int, tuple] = {}
             for state, (score, text) in best.items():
                 for letters, cost in options:
                     s, p = state, score + cost
@@ -150,45 +152,69 @@ class Channel:
                             p += model[s * size + c]
                         s = (s * size + c) % (size ** 3) if c else 0
                     if s not in after or p > after[s][0]:
-                        after[s] = (p, text + letters)
+                        after[s] = (p, (text, letters))
             best = after
-        return max((p + (model[s * size] if s else 0.0), text) for s, (p, text) in best.items())[1]
+        text = max(((p + (model[s * size] if s else 0.0), text) for s, (p, text) in best.items()), key=lambda x: x[0])[1]
+        out = []
+        while text:
+            text, letters = text
+            out.append(letters)
+        return "".join(reversed(out))
 
     def restore(self, token: str) -> str:
         found = self.known.get(token)
         if found is None:
             if len(self.known) > 50_000:
                 self.known = {}
-            found = self.known[token] = self.decode(self.slots(token))
+            found = self.decode(self.slots(token))
+            if len(token) <= 100:  # long runs hardly come again
+                self.known[token] = found
         return found
 
 
 def odd_tokens(data: np.ndarray, start: np.ndarray, stop: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(number of words with obfuscation marks, spans of lone characters):
-    indices of odd words, and (first, last + 1) of runs of at least three words
-    of one character."""
+    """(words that a lattice may read in another way, spans of short pieces):
+    indices of words that hold a letter, digit or sign and besides a sign or
+    digit, a separator inside, or a doubled letter, and (first, last + 1) of runs
+    of at least three words of one or two characters, two of them no separators."""
+    def ahead(flags: np.ndarray) -> np.ndarray:
+        return np.concatenate((np.zeros(1, np.int64), np.cumsum(flags)))
+
+    def holds(sums: np.ndarray) -> np.ndarray:
+        return sums[stop] - sums[start]
+
     n = len(data)
-    letter, sign = _LETTER[data], _SIGN[data]
-    after = np.zeros(n, bool)
-    after[:-1] = letter[1:]
-    before = np.zeros(n, bool)
-    before[1:] = letter[:-1]
-    odd = (sign & after) | (_DIGIT[data] & (after | before))
-    same = np.zeros(n, bool)
-    same[1:] = data[1:] == data[:-1]
-    triple = np.zeros(n, bool)
-    triple[2:] = same[2:] & same[1:-1] & letter[2:]
-    odd |= triple
-    inner = np.concatenate((np.zeros(1, np.int64), np.cumsum(_INNER[data] & after & before)))
-    marks = np.concatenate((np.zeros(1, np.int64), np.cumsum(odd)))
-    words = np.flatnonzero((marks[stop] > marks[start]) | (inner[stop] - inner[start] >= 2))
-    lone = (stop - start == 1) & _LONE[data[start]] if len(start) else np.zeros(0, bool)
+    letter, sign, digit = _LETTER[data], _SIGN[data], _DIGIT[data]
+    double = np.zeros(n, bool)
+    double[1:] = (data[1:] == data[:-1]) & letter[1:] & letter[:-1] & (data[1:] < 0x80)
+    for size in (2, 3, 4):  # characters of more bytes
+        head = (data >= (0, 0, 0xC0, 0xE0, 0xF0)[size]) & (data < (0, 0, 0xE0, 0xF0, 0xF8)[size])
+        head[:size] = False
+        for k in range(size):
+            head[size:n - k] &= data[size + k:] == data[k:n - size]
+        double |= head
+    solid = letter | digit | sign
+    first = np.flatnonzero(solid) if n else np.zeros(0, np.int64)
+    inner = np.zeros(n, bool)  # a separator with something before and after it
+    if len(start) and len(first):
+        word = np.repeat(np.arange(len(start)), stop - start)
+        place = np.concatenate([np.zeros(0, np.int64), np.arange(len(word)) - np.repeat(np.cumsum(stop - start) - (stop - start), stop - start) + start[word]])
+        sums = ahead(solid)
+        inner[place] = _INNER[data[place]] & (sums[place] > sums[start[word]]) & (sums[stop[word]] > sums[place + 1])
+    some = holds(ahead(letter | digit)) > 0
+    odd = (holds(ahead(sign | double | inner)) > 0) | ((holds(ahead(digit)) > 0) & (holds(ahead(letter | sign)) > 0))
+    words = np.flatnonzero(some & odd)
+    if not len(start):
+        return words, np.zeros((0, 2), np.int64)
+    points = holds(ahead((data < 0x80) | (data >= 0xC0)))
+    short = (points <= 2) & (holds(ahead(_PIECE[data])) == stop - start)
     new = np.ones(len(start), bool)
-    new[1:] = ~(lone[1:] & lone[:-1] & (doc[1:] == doc[:-1]))
+    new[1:] = ~(short[1:] & short[:-1] & (doc[1:] == doc[:-1]))
     heads = np.flatnonzero(new)
     size = np.diff(np.concatenate((heads, [len(start)])))
-    runs = (size >= 3) & lone[heads] if len(heads) else np.zeros(0, bool)
-    return words, np.stack((heads[runs], heads[runs] + size[runs]), 1) if len(heads) else np.zeros((0, 2), np.int64)
+    full = np.add.reduceat((holds(ahead(solid)) > 0).astype(np.int64), heads)
+    runs = (size >= 3) & short[heads] & (full >= 2)
+    return words, np.stack((heads[runs], heads[runs] + size[runs]), 1)
 
 
 def restored_words(texts: pa.Array, channel: Channel) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:

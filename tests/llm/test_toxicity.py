@@ -54,6 +54,27 @@ def test_scores_hidden_words_and_leaves_clean_ones(spark, corpus):
     assert all(0 <= r.score <= 1 for r in rows.values())
 
 
+HIDDEN = ["mor-on", "i..d..i..o..t", "1.d.1.0.t", "m.0.r.0.n", "iiddiioott", "moroon", "id io t", "m ó r o n".replace("ó", "0"),
+          "i d * o t", "i - d - i - o - t", "worthle$$", "m # r o n", "mo ro n"]
+
+
+def test_scores_every_hidden_form(spark, corpus):
+    docs, labels = corpus
+    more = [(2000 + i, f"the garden {form} was quiet") for i, form in enumerate(HIDDEN)]
+    clean = [(3000, "a well-known garden 2024 was good!"), (3001, "it is as we go - - - to a field"), (3002, "- - - ... a@b.example.com 10.5")]
+    rows = {r.doc_id: r.predicted for r in toxicity.score(
+        spark, docs.unionByName(spark.createDataFrame(more + clean, docs.schema)), labels).collect()}
+    assert [form for i, form in enumerate(HIDDEN) if not rows[2000 + i]] == []
+    assert [rows[i] for i in (3000, 3001, 3002)] == [0, 0, 0]
+
+
+def test_short_pieces_of_accented_letters():
+    data = np.frombuffer("a i m b é c i l e x-y word éé".encode(), np.uint8)
+    start, stop, doc = toxicity.ws.word_spans(data, np.array([0, len(data)]))
+    words, runs = toxicity.odd_tokens(data, start, stop, doc)
+    assert words.tolist() == [9, 11] and runs.tolist() == [[0, 9]]
+
+
 def test_held_out_labels_are_not_used(spark, corpus):
     docs, labels = corpus
     flipped = labels.withColumn("toxic", toxicity.F.when(toxicity.held_out(toxicity.F.col("doc_id")), 1 - toxicity.F.col("toxic"))
