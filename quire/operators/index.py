@@ -18,12 +18,17 @@ evaluated twice (totals and payload); materialise an expensive input first
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quire.session import scratch_path, ship_package
+
 DEFAULT_BUCKET_ROWS = 4096
 
 
@@ -90,6 +95,60 @@ def dense_index(df: DataFrame, order: Sequence[str], group: Sequence[str] = (),
     return j.drop(*bcols, *keys, "_qsz", "_qrb", "_qsb")
 
 
+def range_rank(df: DataFrame, group: Sequence[str], order: Sequence[str], idx_col: str = "idx") -> DataFrame:
+    """``df`` with its 0-based row number within ``group`` by ``order``, both
+    ascending, nulls first. Rows that are equal in all of these are numbered in
+    any order. The result is read from a table in the scratch folder.
+
+    Rows are dealt by ranges of (group, order, a row's own number), so that
+    neither a group nor a repeated key is bound to one task, and are counted as
+    they stream by in order. A group that goes over several ranges is the first
+    or last of each; only these, at most two rows a range, are summed over the
+    ranges and broadcast. ``df`` should be a scan or a narrow step over one: a
+    row's own number must come out alike if a task is run again."""
+    spark = df.sparkSession
+    ship_package(spark)
+    keys = [*group, *order, "_own"]
+    dealt = (df.withColumn("_own", F.monotonically_increasing_id())
+             .repartitionByRange(*keys).sortWithinPartitions(*keys).drop("_own").withColumn("_part", F.spark_partition_id()))
+    schema = T.StructType([*dealt.schema.fields, T.StructField("_run", T.LongType()), T.StructField("_nth", T.LongType())])
+    names = list(group)
+    path = scratch_path(spark, "ranked")
+    dealt.mapInArrow(lambda batches: _number_runs(batches, names), schema).write.parquet(path)
+    rows = spark.read.parquet(path)
+    last = rows.groupBy("_part").agg(F.max("_run").alias("_last"))  # a row a range
+    ends = (rows.select("_part", "_run", *group).join(F.broadcast(last), "_part").where("_run = 0 or _run = _last")
+            .groupBy("_part", "_run", *group).agg(F.count(F.lit(1)).alias("_n")))
+    before = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    if not group:
+        before = Window.partitionBy("_run").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one run a range
+    bases = ends.select("_part", "_run", F.sum("_n").over(before).alias("_base"))
+    return (rows.join(F.broadcast(bases), ["_part", "_run"], "left")
+            .withColumn(idx_col, F.coalesce("_base", F.lit(0)) + F.col("_nth")).drop("_part", "_run", "_nth", "_base"))
+
+
+def _number_runs(batches: Iterator[pa.RecordBatch], group: list[str]) -> Iterator[pa.RecordBatch]:
+    """The rows of a sorted partition with the number of their run of equal
+    ``group`` and their place in it."""
+    last, run, upto = None, 0, 0
+    for batch in batches:
+        n = batch.num_rows
+        if not n:
+            continue
+        new = np.zeros(n, bool)
+        for name in group:
+            col = batch.column(name)
+            before = pa.concat_arrays([last.column(name) if last is not None else col.slice(0, 1), col.slice(0, n - 1)])
+            differs = pc.fill_null(pc.not_equal(col, before), False).to_numpy(zero_copy_only=False)
+            new |= differs | (np.asarray(col.is_null()) != np.asarray(before.is_null()))
+        at = np.arange(n)
+        runs = run + np.cumsum(new)
+        start = np.maximum.accumulate(np.where(new, at, -1))
+        nth = np.where(start < 0, upto + at, at - start)
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(runs), pa.array(nth)], [*batch.schema.names, "_run", "_nth"])
+        last, run, upto = batch.slice(n - 1, 1), int(runs[-1]), int(nth[-1]) + 1
+
+
 def _default(dt: T.DataType) -> Column:
     """A non-null stand-in value of the key's type (paired with its is-null flag)."""
     if isinstance(dt, T.StringType):
