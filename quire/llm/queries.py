@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import bpe, chat, kneser, linecrf, minhash, mixing, repeats, syncmers, toxicity, warc
+from quire.llm import bpe, chat, kneser, linecrf, merkle, minhash, mixing, repeats, syncmers, toxicity, warc
 from quire.sources.tables import table
 
 
@@ -64,6 +64,10 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_examples(turns.unionByName(extra)))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(spark, table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_repeated_passages": op1_repeated_passages,
     "op2_toxicity": op2_toxicity,
@@ -75,6 +79,7 @@ QUERIES = {
     "op8_syncmer_fingerprints": op8_syncmer_fingerprints,
     "op9_line_quality": op9_line_quality,
     "op10_chat_format": op10_chat_format,
+    "op12_merkle_manifest": op12_merkle_manifest,
 }
 
 SQL = {
@@ -160,5 +165,50 @@ SELECT conv_id, count(*) AS n_turns,
        sha256(coalesce(string_agg(text, '' ORDER BY i) FILTER (role = 'assistant'), '')) AS loss_sha256,
        (sum(upto) FILTER (role = 'assistant' OR i = n))::BIGINT AS formatted_chars
 FROM summed GROUP BY conv_id
+""",
+    "op12_merkle_manifest": r"""
+WITH RECURSIVE coded AS (
+  SELECT doc_id, coalesce(':' || source, '') AS tree, text,
+         coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+           || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head,
+         xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+           lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)),
+             lambda r, k: CASE WHEN r & 1 = 1 THEN xor(r >> 1, 3988292384) ELSE r >> 1 END)), 4294967295) % 5 = 0 AS struck
+  FROM documents
+), leaved AS (
+  SELECT doc_id, tree, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+         CASE WHEN struck THEN sha256(head || coalesce(strlen(text) || ':' ||
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '-')) END AS tampered
+  FROM coded
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM leaved
+), up(tree, level, l) AS (
+  SELECT tree, 0, list(leaf ORDER BY i) FROM ranked GROUP BY tree UNION ALL
+  SELECT tree, level + 1, list_transform(range((len(l) + 15) // 16), lambda k: sha256(array_to_string(l[k * 16 + 1:k * 16 + 16], '')))
+  FROM up WHERE len(l) > 1
+), subs AS (
+  SELECT tree, level AS depth, l[1] AS subroot, row_number() OVER (ORDER BY tree) - 1 AS j FROM up WHERE len(l) = 1
+), over(level, l) AS (
+  SELECT 0, list(subroot ORDER BY j) FROM subs UNION ALL
+  SELECT level + 1, list_transform(range((len(l) + 15) // 16), lambda k: sha256(array_to_string(l[k * 16 + 1:k * 16 + 16], '')))
+  FROM over WHERE len(l) > 1
+), steps AS (
+  SELECT tree, level AS step, l, NULL::BIGINT AS j, level FROM up WHERE len(l) > 1 UNION ALL
+  SELECT tree, depth + level, l, j, level FROM subs, over WHERE len(l) > 1
+), fold(tree, i, step, h, others) AS (
+  SELECT tree, i, 0, coalesce(tampered, leaf), '' FROM ranked UNION ALL
+  SELECT tree, i, step + 1, sha256(before || h || after), others || before || after FROM (
+    SELECT f.tree, f.i, f.step, f.h, f.others, array_to_string(l[p // 16 * 16 + 1:p], '') AS before,
+           array_to_string(l[p + 2:p // 16 * 16 + 16], '') AS after
+    FROM fold f JOIN (SELECT * FROM steps) s ON f.tree = s.tree AND f.step = s.step,
+         LATERAL (SELECT (coalesce(s.j, f.i) // (16 ** s.level)::BIGINT)::BIGINT AS p)
+  )
+), ends AS (
+  SELECT tree, i, h, others FROM fold JOIN (SELECT tree, depth + (SELECT max(level) FROM over) AS step FROM subs) USING (tree, step)
+)
+SELECT doc_id, leaf, subroot, root, sha256(others) AS proof_sha256, h AS folded_root, h = root AS verified,
+       tampered IS NOT NULL AS tampered,
+       (CASE WHEN coalesce(tampered, leaf) = leaf THEN 0 ELSE depth + (SELECT max(level) FROM over) END)::INTEGER AS copied
+FROM ranked JOIN subs USING (tree) JOIN ends USING (tree, i), (SELECT l[1] AS root FROM over WHERE len(l) = 1)
 """,
 }
