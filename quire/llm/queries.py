@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import bpe, chat, kneser, linecrf, merkle, minhash, mixing, repeats, syncmers, toxicity, warc
+from quire.llm import bpe, chat, kneser, licenses, linecrf, merkle, minhash, mixing, repeats, syncmers, toxicity, warc
 from quire.sources.tables import table
 
 
@@ -68,6 +68,10 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(spark, table(spark, sf_dir, "documents"))
 
 
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(spark, table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_repeated_passages": op1_repeated_passages,
     "op2_toxicity": op2_toxicity,
@@ -80,6 +84,7 @@ QUERIES = {
     "op9_line_quality": op9_line_quality,
     "op10_chat_format": op10_chat_format,
     "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_license_scan": op13_license_scan,
 }
 
 SQL = {
