@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import bpe, chat, kneser, licenses, linecrf, merkle, minhash, mixing, repeats, syncmers, toxicity, warc
+from quire.llm import bpe, chat, kneser, licenses, linecrf, merkle, minhash, mixing, repair, repeats, syncmers, toxicity, warc
 from quire.sources.tables import table
 
 
@@ -64,6 +64,10 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_examples(turns.unionByName(extra)))
 
 
+def op11_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair_damaged(spark, table(spark, sf_dir, "conversations"))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(spark, table(spark, sf_dir, "documents"))
 
@@ -83,6 +87,7 @@ QUERIES = {
     "op8_syncmer_fingerprints": op8_syncmer_fingerprints,
     "op9_line_quality": op9_line_quality,
     "op10_chat_format": op10_chat_format,
+    "op11_structure_repair": op11_structure_repair,
     "op12_merkle_manifest": op12_merkle_manifest,
     "op13_license_scan": op13_license_scan,
 }
@@ -170,6 +175,67 @@ SELECT conv_id, count(*) AS n_turns,
        sha256(coalesce(string_agg(text, '' ORDER BY i) FILTER (role = 'assistant'), '')) AS loss_sha256,
        (sum(upto) FILTER (role = 'assistant' OR i = n))::BIGINT AS formatted_chars
 FROM summed GROUP BY conv_id
+""",
+    "op11_structure_repair": r"""
+WITH RECURSIVE keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key
+  FROM conversations
+), hit AS (
+  SELECT *, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(key, ''), lambda c: ascii(c)::BIGINT)),
+           lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)),
+             lambda r, k: CASE WHEN r & 1 = 1 THEN xor(r >> 1, 3988292384) ELSE r >> 1 END)), 4294967295) % 20 AS h FROM keyed
+), struck AS (
+  SELECT conv_id, turn, CASE WHEN h = 4 THEN 'user' ELSE role END AS role,
+         CASE h WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(range(CASE WHEN h = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM hit WHERE h <> 0
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(length(role) || ':' || role || text)) AS i,
+         rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare,
+         CASE substr(role, 1, 1) WHEN 's' THEN 0 WHEN 'u' THEN 1 WHEN 'a' THEN 2 ELSE 3 END AS kind
+  FROM struck
+), judged AS (
+  SELECT *, CASE WHEN bare = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+                 WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+         lag(kind) OVER (PARTITION BY conv_id ORDER BY i) AS before
+  FROM placed
+), rows AS (
+  SELECT *, fault IN ('blank', 'duplicate') AS gone, CASE WHEN fault = 'truncated' THEN 1 ELSE 0 END AS cut FROM judged
+), counted AS (
+  SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+         count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (before IS NOT NULL AND (before, kind) NOT IN ((0, 1), (1, 2), (2, 1))) AS illegal
+  FROM rows GROUP BY conv_id
+), todo(conv_id, i, s0, s1, s2, s3) AS (
+  SELECT conv_id, n + 1, {'c': 0, 'a': '', 't': ''}, {'c': 4, 'a': 'II', 't': chr(10) || 'user:' || chr(10) || 'assistant:'},
+         {'c': 2, 'a': 'I', 't': chr(10) || 'assistant:'}, {'c': 0, 'a': '', 't': ''}
+  FROM counted UNION ALL
+  SELECT conv_id, i, list_sort([g0, {'c': b2.c + 2, 'a': 'I' || b2.a, 't': chr(10) || 'user:' || b2.t}])[1], list_sort([g1, {'c': b2.c + 2, 'a': 'I' || b2.a, 't': chr(10) || 'user:' || b2.t}])[1], b2,
+         list_sort([g3, {'c': g2.c + 2, 'a': 'I' || g2.a, 't': chr(10) || 'user:' || g2.t}])[1]
+  FROM (SELECT *, list_sort([g2, {'c': g3.c + 2, 'a': 'I' || g3.a, 't': chr(10) || 'assistant:' || g3.t}])[1] AS b2 FROM (
+    SELECT r.conv_id, r.i,
+           list_sort([{'c': s0.c + 3, 'a': 'D' || s0.a, 't': s0.t},
+             {'c': s1.c + cut + CASE WHEN gone OR NOT kind = 0 THEN 999 ELSE 0 END, 'a': 'K' || s1.a, 't': chr(10) || role || ':' || text || s1.t},
+             {'c': s2.c + cut + CASE WHEN gone OR NOT kind = 1 THEN 999 ELSE 0 END, 'a': 'K' || s2.a, 't': chr(10) || role || ':' || text || s2.t},
+             {'c': s2.c + 2 + cut + CASE WHEN gone THEN 999 ELSE 0 END, 'a': 'R' || s2.a, 't': chr(10) || 'user:' || text || s2.t}])[1] AS g0,
+           list_sort([{'c': s1.c + 3, 'a': 'D' || s1.a, 't': s1.t},
+             {'c': s2.c + cut + CASE WHEN gone OR NOT kind = 1 THEN 999 ELSE 0 END, 'a': 'K' || s2.a, 't': chr(10) || role || ':' || text || s2.t},
+             {'c': s2.c + 2 + cut + CASE WHEN gone THEN 999 ELSE 0 END, 'a': 'R' || s2.a, 't': chr(10) || 'user:' || text || s2.t}])[1] AS g1,
+           list_sort([{'c': s2.c + 3, 'a': 'D' || s2.a, 't': s2.t},
+             {'c': s3.c + cut + CASE WHEN gone OR NOT kind = 2 THEN 999 ELSE 0 END, 'a': 'K' || s3.a, 't': chr(10) || role || ':' || text || s3.t},
+             {'c': s3.c + 2 + cut + CASE WHEN gone THEN 999 ELSE 0 END, 'a': 'R' || s3.a, 't': chr(10) || 'assistant:' || text || s3.t}])[1] AS g2,
+           list_sort([{'c': s3.c + 3, 'a': 'D' || s3.a, 't': s3.t},
+             {'c': s2.c + cut + CASE WHEN gone OR NOT kind = 1 THEN 999 ELSE 0 END, 'a': 'K' || s2.a, 't': chr(10) || role || ':' || text || s2.t},
+             {'c': s2.c + 2 + cut + CASE WHEN gone THEN 999 ELSE 0 END, 'a': 'R' || s2.a, 't': chr(10) || 'user:' || text || s2.t}])[1] AS g3
+    FROM todo t JOIN rows r ON r.conv_id IS NOT DISTINCT FROM t.conv_id AND r.i = t.i - 1))
+), every AS (SELECT DISTINCT conv_id FROM conversations)
+SELECT e.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+       coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(s0.c, 0)::BIGINT AS cost,
+       coalesce(s0.a, '') AS audit, sha256(coalesce(substr(s0.t, 2), '')) AS repaired_sha256
+FROM every e LEFT JOIN counted c ON e.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN (SELECT * FROM todo WHERE i = 1) t ON e.conv_id IS NOT DISTINCT FROM t.conv_id
 """,
     "op12_merkle_manifest": r"""
 WITH RECURSIVE coded AS (
