@@ -6,7 +6,10 @@ consecutive keys each):
 
 1. one row per bucket with its row count and size sum (partial aggregation,
    small shuffle);
-2. a running sum over that small bucket table gives each bucket's base;
+2. a running sum over that small bucket table gives each bucket's base: within
+   a group by a window over the group's buckets, without groups by a tree of
+   totals (ranges of at most about ``FANOUT`` buckets, ranges of ranges, ...),
+   so that no window is without a partition key;
 3. a window partitioned by (group, bucket) finishes the sum inside the bucket.
 
 The join in (3) and the window share the (group, bucket) hash partitioning,
@@ -27,9 +30,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quire.session import scratch_path, ship_package
+from quire.session import ensure_checkpoint_dir, scratch_path, ship_package
 
 DEFAULT_BUCKET_ROWS = 4096
+FANOUT = 10_000
 
 
 def default_bucket(order: Sequence[str], bucket_rows: int) -> list[Column]:
@@ -43,13 +47,15 @@ def dense_index(df: DataFrame, order: Sequence[str], group: Sequence[str] = (),
                 size: Column | str | None = None, bucket: Sequence[Column] | None = None,
                 bucket_rows: int = DEFAULT_BUCKET_ROWS, idx_col: str = "idx",
                 offset_col: str | None = None, group_rows_col: str | None = None,
-                group_size_col: str | None = None) -> DataFrame:
+                group_size_col: str | None = None, fanout: int = FANOUT) -> DataFrame:
     """Add a 0-based dense row index (``idx_col``) in ``order`` within each
     ``group``; with ``size``, also the running sum of sizes before the row
     (``offset_col``). Optional per-group totals of rows / sizes.
 
     ``order`` must be a total order within a group; ``bucket`` must be
-    non-decreasing along it (default: see :func:`default_bucket`)."""
+    non-decreasing along it (default: see :func:`default_bucket`). Without a
+    group the bucket totals are written once (``checkpoint``) and summed up a
+    tree with ``fanout`` children a node."""
     group = list(group)
     order = list(order)
     bucket = list(bucket) if bucket is not None else default_bucket(order, bucket_rows)
@@ -73,19 +79,20 @@ def dense_index(df: DataFrame, order: Sequence[str], group: Sequence[str] = (),
     # bucket totals: partially aggregated before the shuffle (one small row
     # per bucket and task); only the payload join below moves whole rows.
     totals = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("_qn"), F.sum("_qsz").alias("_qs"))
-    before = Window.partitionBy(*g_keys).orderBy(*b_order).rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*g_keys)
-    extra = []
-    if group_rows_col:
-        extra.append(F.sum("_qn").over(whole).alias(group_rows_col))
-    if group_size_col:
-        extra.append(F.sum("_qs").over(whole).alias(group_size_col))
-    totals = totals.select(
-        *keys,
-        F.coalesce(F.sum("_qn").over(before), F.lit(0)).alias("_qrb"),
-        F.coalesce(F.sum("_qs").over(before), F.lit(0)).alias("_qsb"),
-        *extra,
-    )
+    wanted = [(c, of) for c, of in ((group_rows_col, "_qn"), (group_size_col, "_qs")) if c]
+    if g_keys:
+        before = Window.partitionBy(*g_keys).orderBy(*b_order).rowsBetween(Window.unboundedPreceding, -1)
+        whole = Window.partitionBy(*g_keys)
+        totals = totals.select(*keys, F.coalesce(F.sum("_qn").over(before), F.lit(0)).alias("_qrb"),
+                               F.coalesce(F.sum("_qs").over(before), F.lit(0)).alias("_qsb"),
+                               *[F.sum(of).over(whole).alias(c) for c, of in wanted])
+    else:
+        ensure_checkpoint_dir(df.sparkSession)
+        totals = totals.checkpoint()
+        all_rows, all_sizes, n = totals.agg(F.sum("_qn"), F.sum("_qs"), F.count(F.lit(1))).first()
+        every = {"_qn": all_rows or 0, "_qs": all_sizes or 0}
+        totals = tree_bases(totals, b_order, n, fanout).select(
+            *keys, "_qrb", "_qsb", *[F.lit(every[of]).cast("long").alias(c) for c, of in wanted])
     j = d.join(totals, on=keys, how="inner")
     inner = Window.partitionBy(*keys).orderBy(*order)
     j = j.withColumn(idx_col, F.col("_qrb") + F.row_number().over(inner) - 1)
@@ -95,6 +102,31 @@ def dense_index(df: DataFrame, order: Sequence[str], group: Sequence[str] = (),
     return j.drop(*bcols, *keys, "_qsz", "_qrb", "_qsb")
 
 
+def tree_bases(totals: DataFrame, order: list[Column], n: int, fanout: int = FANOUT) -> DataFrame:
+    """``totals`` (its ``n`` rows have ``_qn`` and ``_qs``) with ``_qrb`` and
+    ``_qsb``: the sums of all rows before, in ``order``. The rows are dealt by
+    range to parts of about half ``fanout``; ``fanout`` parts make a node of
+    the next level, until one is left."""
+    parts = max(1, -(-2 * n // fanout))
+    dealt = totals.repartitionByRange(parts, *order).withColumn("_up", F.spark_partition_id().cast("long")).checkpoint()
+    return _sum_up(dealt, order, parts, fanout)
+
+
+def _sum_up(nodes: DataFrame, order: list[Column], parents: int, fanout: int, level: int = 0) -> DataFrame:
+    before = Window.partitionBy("_up").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    here = nodes.withColumn("_qrb", F.coalesce(F.sum("_qn").over(before), F.lit(0))) \
+                .withColumn("_qsb", F.coalesce(F.sum("_qs").over(before), F.lit(0)))
+    if parents == 1:
+        return here.drop("_up")
+    at = f"_at{level}"
+    above = nodes.groupBy(F.col("_up").alias(at)).agg(F.sum("_qn").alias("_qn"), F.sum("_qs").alias("_qs")) \
+                 .withColumn("_up", F.expr(f"{at} div {fanout}"))
+    above = _sum_up(above, [F.col(at)], -(-parents // fanout), fanout, level + 1).select(
+        at, F.col("_qrb").alias("_rows"), F.col("_qsb").alias("_sizes"))
+    return here.join(above, F.col("_up") == F.col(at)).withColumn("_qrb", F.col("_qrb") + F.col("_rows")) \
+               .withColumn("_qsb", F.col("_qsb") + F.col("_sizes")).drop("_up", at, "_rows", "_sizes")
+
+
 def range_rank(df: DataFrame, group: Sequence[str], order: Sequence[str], idx_col: str = "idx") -> DataFrame:
     """``df`` with its 0-based row number within ``group`` by ``order``, both
     ascending, nulls first. Rows that are equal in all of these are numbered in

@@ -3,7 +3,7 @@ import random
 from pyspark.sql import functions as F
 
 from quire.operators import index
-from quire.operators.index import range_rank
+from quire.operators.index import dense_index, range_rank
 
 
 def expected(rows, key):
@@ -39,3 +39,21 @@ def test_range_rank_spreads_one_repeated_key(spark, tmp_path, monkeypatch):
     parts = [x["count"] for x in spark.read.parquet(f"{tmp_path}/ranked").groupBy("_part").count().collect()]
     assert len(parts) > 4 and max(parts) < 1500
     assert sorted(x.idx for x in ranked.collect()) == list(range(4000))
+
+
+def test_tree_of_totals_has_no_window_over_everything(spark):
+    """Several levels: 200 buckets with twelve children a node."""
+    r = random.Random(3)
+    rows = [(r.randrange(200), r.randrange(4000), r.randrange(5)) for _ in range(600)] + [(None, 1, 2), (None, None, 3)]
+    rows = list({x[:2]: x for x in rows}.values())
+    df = spark.createDataFrame(rows, "a long, b long, size long").repartition(3)
+    key = lambda x: tuple((v is not None, v or 0) for v in x[:2])
+    want, total = [], 0
+    for i, x in enumerate(sorted(rows, key=key)):
+        want.append((*x, i, total))
+        total += x[2]
+    for fanout in (12, 10_000):
+        out = dense_index(df, ["a", "b"], size="size", offset_col="at", group_rows_col="n", group_size_col="s", fanout=fanout)
+        got = sorted((tuple(x[c] for c in ("a", "b", "size", "idx", "at")) for x in out.collect()), key=lambda x: x[3])
+        assert got == want and out.select("n", "s").distinct().collect() == [(len(rows), total)]
+    assert not dense_index(df.limit(0), ["a", "b"]).collect()

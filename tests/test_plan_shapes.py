@@ -3,6 +3,9 @@ without a partition spec over payload rows, no Cartesian products, pruned
 scans, broadcasts only where bounded."""
 import re
 
+import pytest
+
+from quire.operators import index
 from quire.plans import catalog as C
 
 SF = "/root/testdata/sf0.01"
@@ -25,6 +28,22 @@ def test_pack_plan(spark):
     assert scans and all("lang" not in l and "n_chars" not in l for l in scans)   # column pruning
 
 
+@pytest.mark.parametrize("name", ["batch_rows", "export_shards", "prediction_record", "concat_sources", "batch_generate"])
+def test_no_window_over_all_rows(spark, name, monkeypatch):
+    """Neither in the query nor in the tree of totals behind its index."""
+    seen, real = [], index.tree_bases
+
+    def watched(*a):
+        out = real(*a)
+        seen.append(plan(out))
+        return out
+
+    monkeypatch.setattr(index, "tree_bases", watched)
+    seen.append(plan(C.QUERIES[name](spark, SF)))
+    assert len(seen) > 1 and any("Window" in p for p in seen)
+    assert not [w for p in seen for w in unpartitioned_windows(p)] and "CartesianProduct" not in seen[-1]
+
+
 def test_split_plan(spark):
     p = plan(C.split_blocks(spark, SF))
     assert "CartesianProduct" not in p
