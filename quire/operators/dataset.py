@@ -122,15 +122,16 @@ def mix(df: DataFrame, group_col: str, weights: Mapping, seed: int, ids: Sequenc
 def concat_sources(parts: Sequence[tuple[str, DataFrame]], order: Sequence[str],
                    bucket_rows: int = DEFAULT_BUCKET_ROWS) -> DataFrame:
     """Append datasets in name order after a schema check (P5/O4). Adds
-    ``part`` and a global dense ``row_idx`` over (part, order)."""
-    parts = sorted(parts, key=lambda p: p[0])
+    ``part`` and a global dense ``row_idx`` over (part, order); a part named
+    None comes first."""
+    parts = sorted(parts, key=lambda p: (p[0] is not None, p[0]))
     first = parts[0][1].schema
     for name, d in parts[1:]:
         if not same_schema(first, d.schema):
             raise ValueError(f"schema of part {name!r} differs from {parts[0][0]!r}")
     out = None
     for name, d in parts:
-        d = d.withColumn("part", F.lit(name))
+        d = d.withColumn("part", F.lit(name).cast("string"))
         out = d if out is None else out.unionByName(d)
     order = list(order)
     return dense_index(out, order=["part", *order], group=(), idx_col="row_idx",

@@ -125,8 +125,8 @@ def q_pack_pad(spark, sf_dir):
 
 def q_concat_sources(spark, sf_dir):
     docs = documents(spark, sf_dir, "lang", "source", "doc_id", "text")
-    langs = sorted(r["lang"] for r in docs.select("lang").distinct().collect())
-    parts = [(lang, pack(tokenise_codepoint(docs.where(F.col("lang") == lang).drop("lang")), block=BLOCK))
+    langs = [r["lang"] for r in docs.select("lang").distinct().collect()]
+    parts = [(lang, pack(tokenise_codepoint(docs.where(F.col("lang").eqNullSafe(lang)).drop("lang")), block=BLOCK))
              for lang in langs]
     out = ds.concat_sources(parts, order=["source", "block_id"])
     return out.select("part", "source", "block_id", "row_idx",
@@ -251,7 +251,7 @@ def q_cache_manifest(spark, sf_dir):
 
     root = scratch_path(spark, "cache")
     _, manifest = materialise(lines, build, root, BLOCK, "codepoint-v1")
-    return manifest
+    return manifest.select("source", "block_size", "tokenizer_fp", "rows")
 
 
 QUERIES.update({
@@ -464,11 +464,11 @@ def q_cut_at_stop(spark, sf_dir):
 
 
 def q_turn_pairs(spark, sf_dir):
-    return infer.turn_pairs(conversations(spark, sf_dir))
+    return infer.turn_pairs(conversations(spark, sf_dir), dense=False)
 
 
 def q_prediction_record(spark, sf_dir):
-    pairs = infer.turn_pairs(conversations(spark, sf_dir))
+    pairs = infer.turn_pairs(conversations(spark, sf_dir), dense=False)
     pairs = dense_index(pairs, order=["conv_id", "turn"])
     pairs = pairs.withColumn("prompt", render_prompt("question"))
     return infer.prediction_record(pairs, input="prompt")

@@ -172,6 +172,11 @@ def strip(col: str) -> str:
     return f"regexp_replace({col}, '\\A[{WS}]+|[{WS}]+\\z', '', 'g')"
 
 
+SQL["cache_manifest"] = f"""WITH {LINES},
+sized AS (SELECT source, CAST(sum(length(text) + 2) AS BIGINT) AS n FROM lines GROUP BY source)
+SELECT source, {BLOCK} AS block_size, 'codepoint-v1' AS tokenizer_fp,
+       CASE WHEN n < {BLOCK} THEN 1 ELSE n // {BLOCK} END AS rows FROM sized"""
+
 SQL["first_source"] = """SELECT doc_id, source FROM documents WHERE source = (SELECT min(source) FROM documents)"""
 
 SQL["source_keys"] = """WITH names AS (
@@ -366,9 +371,10 @@ SQL["cut_at_stop"] = f"""WITH {CHAT}
 SELECT conv_id, split_part(split_part(text, '<|eot_id|>', 1), '<|end_of_text|>', 1) AS text FROM chat"""
 
 PAIRS = """pairs AS (
-  SELECT u.conv_id, u.turn, u.text AS question, a.text AS answer
-  FROM conversations u JOIN conversations a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1
-  WHERE u.role = 'user' AND a.role = 'assistant')"""
+  SELECT conv_id, turn, question, answer FROM (
+    SELECT conv_id, turn, role, text AS question, lead(role) OVER w AS next_role, lead(text) OVER w AS answer
+    FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn))
+  WHERE role = 'user' AND next_role = 'assistant')"""
 
 SQL["turn_pairs"] = f"WITH {PAIRS} SELECT conv_id, turn, question, answer FROM pairs"
 

@@ -5,7 +5,8 @@ import re
 
 import pytest
 
-from quire.operators import index
+from quire.operators import dataset as ds
+from quire.operators import index, infer
 from quire.plans import catalog as C
 
 SF = "/root/testdata/sf0.01"
@@ -53,9 +54,17 @@ def test_split_plan(spark):
         assert "_ps" in line
 
 
-def test_turn_pairs_is_a_join_not_a_window(spark):
-    p = plan(C.q_turn_pairs(spark, SF))
+def test_turn_pairs_is_a_join_not_a_window_over_conversations(spark):
+    p = plan(infer.turn_pairs(C.conversations(spark, SF)))
     assert "Window" not in p and "Join" in p
+    gaps = plan(C.q_turn_pairs(spark, SF))
+    assert "Join" in gaps and not unpartitioned_windows(gaps)
+
+
+def test_parts_without_a_name(spark):
+    parts = [(name, spark.createDataFrame([(i,)], "i long")) for i, name in enumerate(["b", None, "a"])]
+    rows = ds.concat_sources(parts, order=["i"]).orderBy("row_idx").collect()
+    assert [(r.part, r.i) for r in rows] == [(None, 1), ("a", 2), ("b", 0)]
 
 
 def test_bigram_scoring_is_preaggregated(spark):
