@@ -582,19 +582,8 @@ def q_score_stream(spark, sf_dir):
                       "query", F.get_json_object("output", "$.output").alias("output"), "error")
 
 
-def q_tokenise_stream(spark, sf_dir):
-    """Document lines as arriving text files -> streamed tokens read back."""
-    root = scratch_path(spark, "corpus")
-    doc_lines(spark, sf_dir).select("text").write.text(f"{root}/in")
-    q = st.tokenise_stream(spark, f"{root}/in", f"{root}/out", f"{root}/ckpt", tokenise_codepoint)
-    q.awaitTermination()
-    out = spark.read.parquet(f"{root}/out")
-    return out.select("source", "line_no", F.size("input_ids").cast("long").alias("n_tokens"))
-
-
 QUERIES.update({
     "score_stream": q_score_stream,
-    "tokenise_stream": q_tokenise_stream,
 })
 
 
