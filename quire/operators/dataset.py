@@ -15,6 +15,7 @@ from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quire.operators.index import DEFAULT_BUCKET_ROWS, dense_index, md5_key
 from quire.schemas import same_schema
@@ -170,6 +171,95 @@ def batch(df: DataFrame, size: int, order: Sequence[str], ragged: str = "fail",
     return g.select(*out)
 
 
+def collate(df: DataFrame, size: int, order: Sequence[str], ragged: str = "fail",
+            bucket: Sequence[Column] | None = None, bucket_rows: int = DEFAULT_BUCKET_ROWS) -> DataFrame:
+    """Rows -> batches by the schema (P9): of all columns but ``order`` those
+    that are no strings are stacked, each into an array of its own type, where
+    the batch's first row has a value; otherwise the batch has none (null).
+
+    ``label`` (a number) or, where the first row has none, ``label_ids`` (an
+    array) gives ``labels``: longs if whole numbers by type, else doubles. A
+    column named ``labels`` that has values goes before them.
+
+    Arrays must have equal lengths at every depth: ``ragged="fail"`` raises,
+    ``"first"`` repeats the first row's values in all columns but those of the
+    labels (P10). A null behind a first value raises, as does a ragged ``label_ids``."""
+    if ragged not in ("fail", "first"):
+        raise ValueError("ragged must be 'fail' or 'first'")
+    if size < 1:
+        raise ValueError("batch size must be at least 1")
+    kinds = {f.name: f.dataType for f in df.schema if f.name not in order}
+    keys = [c for c, t in kinds.items() if c not in ("label", "label_ids") and not isinstance(t, (T.StringType, T.VarcharType, T.CharType))]
+    used = [*keys, *[c for c in ("label", "label_ids") if c in kinds]]
+    idx = dense_index(df.select(*order, *used), order=list(order), bucket=bucket, bucket_rows=bucket_rows)
+    g = (idx.withColumn("batch_id", F.floor(F.col("idx") / size).cast("long")).groupBy("batch_id")
+            .agg(F.array_sort(F.collect_list(F.struct("idx", F.struct(*used).alias("v")))).alias("_r"))
+            .select("batch_id", F.transform("_r", lambda x: x["v"]).alias("_r")))
+
+    def first(c: str) -> Column:
+        return F.col("_r")[0][c]
+
+    def stacked(c: str) -> Column:
+        values = F.transform("_r", _field(c))
+        empty = F.raise_error(F.lit(f"null in column {c} behind a first value"))
+        return F.when(F.exists(values, lambda x: x.isNull()), empty.cast(T.ArrayType(kinds[c]))).otherwise(values)
+
+    def uneven(c: str) -> Column:
+        kind, values, out = kinds[c], F.filter(F.transform("_r", _field(c)), lambda x: x.isNotNull()), F.lit(False)
+        while isinstance(kind, T.ArrayType):
+            lens = F.transform(values, lambda x: F.size(x))
+            out = out | (F.array_min(lens) != F.array_max(lens))
+            kind, values = kind.elementType, F.flatten(values)
+        return F.coalesce(out, F.lit(False))
+
+    is_ragged = F.lit(False)
+    for c in keys:
+        is_ragged = is_ragged | (first(c).isNotNull() & uneven(c))
+    out = {}
+    for c in keys:
+        if ragged == "first":
+            value = F.when(F.col("ragged"), F.array_repeat(first(c), F.size("_r"))).otherwise(stacked(c))
+        else:
+            stop = F.raise_error(F.lit("ragged batch: rows of unequal length")).cast(T.ArrayType(kinds[c]))
+            value = F.when(F.col("ragged"), stop).otherwise(stacked(c))
+        out[c] = F.when(first(c).isNotNull(), value)
+    labels = [out.pop("labels")] if "labels" in out else []
+    if "label" in kinds:
+        labels.append(F.when(first("label").isNotNull(), stacked("label")).cast(T.ArrayType(_label_type(kinds["label"]))))
+    if "label_ids" in kinds:
+        stop = F.raise_error(F.lit("label_ids of unequal length")).cast(T.ArrayType(kinds["label_ids"]))
+        ids = F.when(uneven("label_ids"), stop).otherwise(stacked("label_ids"))
+        labels.append(F.when(first("label_ids").isNotNull(), ids).cast(T.ArrayType(_label_type(kinds["label_ids"]))))
+    made = g.withColumn("ragged", is_ragged)
+    if labels:
+        shapes = {made.select(c.alias("c")).schema["c"].dataType.simpleString() for c in labels}
+        if len(shapes) > 1:
+            made = _one_label_column(made, labels, shapes)
+        else:
+            made = made.withColumn("_labels", F.coalesce(*labels))
+        out["labels"] = F.col("_labels")
+    return made.select("batch_id", F.size("_r").cast("int").alias("rows"), "ragged", *[v.alias(c) for c, v in out.items()])
+
+
+def _one_label_column(made: DataFrame, labels: list[Column], shapes: set[str]) -> DataFrame:
+    """Labels that come as numbers in one batch and as arrays in another cannot
+    share a column; only one of the sources may have values then."""
+    first, *rest = labels
+    both = F.raise_error(F.lit(f"labels of different shapes: {sorted(shapes)}"))
+    clash = F.lit(False)
+    for other in rest:
+        clash = clash | (first.isNull() & other.isNotNull())
+    kind = made.select(first.alias("c")).schema["c"].dataType
+    return made.withColumn("_labels", F.when(clash, both.cast(kind)).otherwise(first))
+
+
+def _label_type(kind: T.DataType) -> T.DataType:
+    """Longs for whole numbers, doubles for others, inside arrays as well."""
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(_label_type(kind.elementType))
+    return T.LongType() if isinstance(kind, (T.IntegralType, T.BooleanType)) else T.DoubleType()
+
+
 def _field(name: str):
     return lambda x: x[name]
 

@@ -179,6 +179,36 @@ def q_batch_ragged(spark, sf_dir):
     return _batch_view(ds.batch(blocks, BATCH, ["source", "block_id"], ragged="first"))
 
 
+def labelled_rows(spark, sf_dir) -> DataFrame:
+    lab = table(spark, sf_dir, "labels")
+    return documents(spark, sf_dir, "doc_id", "lang", "n_chars").join(lab, "doc_id")
+
+
+def q_batch_labels(spark, sf_dir):
+    """Numbers as labels; scalars, arrays and a column that some first rows lack."""
+    rows = labelled_rows(spark, sf_dir).select(
+        "doc_id", "lang", F.col("quality").alias("label"), (F.col("n_chars") / 8).alias("size"), F.array("n_chars", "doc_id").alias("pair"),
+        F.when(F.col("lang") == "en", F.col("toxic").cast("long")).alias("maybe"))
+    # a batch whose first row has the column must have it throughout: languages are batched apart
+    parts = [ds.collate(rows.where(part), BATCH, ["doc_id"]).withColumn("part", F.lit(name)) for name, part in
+             (("en", F.col("lang") == "en"), ("other", ~F.col("lang").eqNullSafe("en")))]
+    b = parts[0].unionByName(parts[1])
+    return b.select("part", "batch_id", "rows", "ragged", ids_text("labels").alias("labels"),
+                    F.array_join(F.transform("size", lambda x: (x * 8).cast("long")), ",").alias("sizes"),
+                    F.array_join(F.transform("pair", lambda p: F.array_join(p, ":")), ",").alias("pairs"), ids_text("maybe").alias("maybe"))
+
+
+def q_batch_label_ids(spark, sf_dir):
+    """Arrays as labels, and arrays of unequal length that fall back to the first row."""
+    rows = labelled_rows(spark, sf_dir).select(
+        "doc_id", F.array("quality", "toxic").alias("label_ids"),
+        F.array_repeat(F.col("doc_id"), F.col("toxic") + 1).alias("input_ids"), "n_chars")
+    b = ds.collate(rows, BATCH, ["doc_id"], ragged="first")
+    pairs = lambda c: F.array_join(F.transform(c, lambda p: F.array_join(p, ":")), ",")
+    return b.select("batch_id", "rows", "ragged", pairs("labels").alias("labels"), pairs("input_ids").alias("ids"),
+                    ids_text("n_chars").alias("sizes"))
+
+
 def q_step_report(spark, sf_dir):
     return ds.step_report(cp_blocks(spark, sf_dir), BATCH, ACCUM, BLOCK)
 
@@ -199,6 +229,8 @@ QUERIES.update({
     "mix_tokens": q_mix_tokens,
     "batch_rows": q_batch_rows,
     "batch_ragged": q_batch_ragged,
+    "batch_labels": q_batch_labels,
+    "batch_label_ids": q_batch_label_ids,
     "step_report": q_step_report,
     "export_shards": q_export_shards,
 })

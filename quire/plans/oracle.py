@@ -164,6 +164,29 @@ SQL["export_shards"] = """SELECT vec_id,
        CAST(CASE WHEN n // 3 = 0 THEN 2 ELSE least((rn - 1) // (n // 3), 2) END AS INTEGER) AS shard
 FROM (SELECT vec_id, row_number() OVER (ORDER BY vec_id) AS rn, count(*) OVER () AS n FROM embeddings)"""
 
+SQL["batch_labels"] = """WITH placed AS (
+  SELECT *, row_number() OVER (PARTITION BY part ORDER BY doc_id) - 1 AS i FROM (
+    SELECT doc_id, n_chars, quality, toxic, CASE WHEN lang = 'en' THEN 'en' ELSE 'other' END AS part FROM documents JOIN labels USING (doc_id)))
+SELECT part, CAST(i // 12 AS BIGINT) AS batch_id, CAST(count(*) AS INTEGER) AS rows, false AS ragged,
+       string_agg(quality::VARCHAR, ',' ORDER BY i) AS labels, string_agg(n_chars::VARCHAR, ',' ORDER BY i) AS sizes,
+       string_agg(n_chars || ':' || doc_id, ',' ORDER BY i) AS pairs,
+       CASE WHEN part = 'en' THEN string_agg(toxic::VARCHAR, ',' ORDER BY i) END AS maybe
+FROM placed GROUP BY part, i // 12"""
+
+SQL["batch_label_ids"] = """WITH placed AS (
+  SELECT *, row_number() OVER (ORDER BY doc_id) - 1 AS i FROM documents JOIN labels USING (doc_id)),
+made AS (
+  SELECT i // 12 AS b, count(*) AS n, min(toxic) <> max(toxic) AS ragged,
+         string_agg(quality || ':' || toxic, ',' ORDER BY i) AS labels, arg_min(n_chars, i) AS n0, arg_min(doc_id, i) AS d0, arg_min(toxic, i) AS t0,
+         string_agg(CASE toxic WHEN 1 THEN doc_id || ':' || doc_id ELSE doc_id::VARCHAR END, ',' ORDER BY i) AS ids,
+         string_agg(n_chars::VARCHAR, ',' ORDER BY i) AS sizes
+  FROM placed GROUP BY i // 12)
+SELECT CAST(b AS BIGINT) AS batch_id, CAST(n AS INTEGER) AS rows, ragged, labels,
+       CASE WHEN ragged THEN array_to_string(list_transform(range(n), lambda k: CASE t0 WHEN 1 THEN d0 || ':' || d0 ELSE d0::VARCHAR END), ',')
+            ELSE ids END AS ids,
+       CASE WHEN ragged THEN array_to_string(list_transform(range(n), lambda k: n0::VARCHAR), ',') ELSE sizes END AS sizes
+FROM made"""
+
 WS = (r"\t\n\x{0b}\x{0c}\r\x{1c}-\x{1f} \x{85}\x{a0}\x{1680}"
       r"\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}")
 

@@ -102,3 +102,39 @@ def test_argument_checks_and_null_sizes(spark):
     alone = spark.createDataFrame([(1, "x", None), (2, "y", 3)], "id bigint, g string, n int")
     got = {r.id for r in ds.mix(alone, "g", {"x": 1, "y": 1}, 5, ["id"], unit="tokens", size="n").collect()}
     assert got == {1}                                 # a NULL size counts as 0: within a target of 0
+
+
+def collator(rows, ragged):
+    """What the collator makes of one batch of dicts, by its rules."""
+    first, out = rows[0], {}
+    for k in ("label", "label_ids"):
+        if "labels" not in out and first.get(k) is not None:
+            out["labels"] = [r[k] for r in rows]
+    keys = [k for k, v in first.items() if k not in ("label", "label_ids") and v is not None and not isinstance(v, str)]
+    uneven = any(isinstance(first[k], list) and len({len(r[k]) for r in rows}) > 1 for k in keys)
+    for k in keys:
+        out[k] = [first[k]] * len(rows) if uneven and ragged == "first" else [r[k] for r in rows]
+    return out, uneven
+
+
+def test_collate_by_schema(spark):
+    rows = [{"i": i, "text": "s", "label": i % 2 if i < 8 else None, "label_ids": [float(i), 1.0], "x": i * 0.5,
+             "ids": [i] * (2 if i < 4 else 1 + i % 2), "sometimes": i if i >= 4 else None, "deep": [[i, 1], [2, 3]]} for i in range(10)]
+    schema = "i long, text string, label int, label_ids array<double>, x double, ids array<int>, sometimes long, deep array<array<long>>"
+    df = spark.createDataFrame([tuple(r.values()) for r in rows], schema).repartition(3)
+    numbers = ds.collate(df.drop("label_ids").where("i < 8"), 4, ["i"], ragged="first")
+    for b in numbers.collect():
+        some = [{k: v for k, v in r.items() if k not in ("i", "label_ids")} for r in rows[b.batch_id * 4:b.batch_id * 4 + 4]]
+        want, uneven = collator(some, "first")
+        assert b.ragged == uneven and b.rows == 4 and "text" not in b
+        assert {k: b[k] for k in ("labels", "x", "ids", "sometimes", "deep") if b[k] is not None} == want
+    assert dict(numbers.dtypes)["labels"] == "array<bigint>"
+    arrays = ds.collate(df.drop("label").where("i >= 8"), 4, ["i"], ragged="first").first()
+    assert arrays.labels == [[8.0, 1.0], [9.0, 1.0]] and dict(ds.collate(df.drop("label"), 4, ["i"]).dtypes)["labels"] == "array<array<double>>"
+    for bad in (ds.collate(df.where("i >= 4"), 4, ["i"]), ds.collate(df.drop("label_ids"), 10, ["i"], ragged="first"),
+                ds.collate(df, 4, ["i"], ragged="first")):
+        with pytest.raises(Exception, match="ragged batch|null in column|different shapes"):
+            bad.collect()
+    own = ds.collate(spark.createDataFrame([(1, 2, 7), (2, 3, None)], "i long, label int, labels long"), 1, ["i"]).orderBy("batch_id")
+    assert [r.labels for r in own.collect()] == [[7], [3]]
+    assert not ds.collate(df.limit(0), 4, ["i"]).collect()
