@@ -8,8 +8,8 @@ consecutive keys each):
    small shuffle);
 2. a running sum over that small bucket table gives each bucket's base: within
    a group by a window over the group's buckets, without groups by a tree of
-   totals (ranges of at most about ``FANOUT`` buckets, ranges of ranges, ...),
-   so that no window is without a partition key;
+   totals (ranges of buckets, ranges of at most ``FANOUT`` ranges, ...), so
+   that no window is without a partition key;
 3. a window partitioned by (group, bucket) finishes the sum inside the bucket.
 
 The join in (3) and the window share the (group, bucket) hash partitioning,
@@ -87,12 +87,8 @@ def dense_index(df: DataFrame, order: Sequence[str], group: Sequence[str] = (),
                                F.coalesce(F.sum("_qs").over(before), F.lit(0)).alias("_qsb"),
                                *[F.sum(of).over(whole).alias(c) for c, of in wanted])
     else:
-        ensure_checkpoint_dir(df.sparkSession)
-        totals = totals.checkpoint()
-        all_rows, all_sizes, n = totals.agg(F.sum("_qn"), F.sum("_qs"), F.count(F.lit(1))).first()
-        every = {"_qn": all_rows or 0, "_qs": all_sizes or 0}
-        totals = tree_bases(totals, b_order, n, fanout).select(
-            *keys, "_qrb", "_qsb", *[F.lit(every[of]).cast("long").alias(c) for c, of in wanted])
+        totals = tree_bases(totals, b_order, fanout).select(
+            *keys, "_qrb", "_qsb", *[F.col(f"_all{of}").alias(c) for c, of in wanted])
     j = d.join(totals, on=keys, how="inner")
     inner = Window.partitionBy(*keys).orderBy(*order)
     j = j.withColumn(idx_col, F.col("_qrb") + F.row_number().over(inner) - 1)
@@ -102,14 +98,18 @@ def dense_index(df: DataFrame, order: Sequence[str], group: Sequence[str] = (),
     return j.drop(*bcols, *keys, "_qsz", "_qrb", "_qsb")
 
 
-def tree_bases(totals: DataFrame, order: list[Column], n: int, fanout: int = FANOUT) -> DataFrame:
-    """``totals`` (its ``n`` rows have ``_qn`` and ``_qs``) with ``_qrb`` and
-    ``_qsb``: the sums of all rows before, in ``order``. The rows are dealt by
-    range to parts of about half ``fanout``; ``fanout`` parts make a node of
-    the next level, until one is left."""
-    parts = max(1, -(-2 * n // fanout))
+def tree_bases(totals: DataFrame, order: list[Column], fanout: int = FANOUT) -> DataFrame:
+    """``totals`` (with ``_qn`` and ``_qs``) with ``_qrb`` and ``_qsb``, the sums
+    of all rows before in ``order``, and ``_all_qn`` and ``_all_qs``, those of all
+    rows. The rows are dealt by range to the shuffle's partitions; ``fanout``
+    parts make a node of the next level, until one is left."""
+    spark = totals.sparkSession
+    ensure_checkpoint_dir(spark)
+    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     dealt = totals.repartitionByRange(parts, *order).withColumn("_up", F.spark_partition_id().cast("long")).checkpoint()
-    return _sum_up(dealt, order, parts, fanout)
+    rows, sizes = dealt.agg(F.sum("_qn"), F.sum("_qs")).first()
+    return _sum_up(dealt, order, parts, fanout).withColumns(
+        {"_all_qn": F.lit(rows or 0).cast("long"), "_all_qs": F.lit(sizes or 0).cast("long")})
 
 
 def _sum_up(nodes: DataFrame, order: list[Column], parents: int, fanout: int, level: int = 0) -> DataFrame:

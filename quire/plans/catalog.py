@@ -648,7 +648,14 @@ def q_length_reduction_unigram(spark, sf_dir):
     return vc.compare_lengths(a, b, "doc_id", "lang")
 
 
+def q_decode_unigram(spark, sf_dir):
+    v = unigram_vocab(spark, sf_dir)
+    ids = ug.tokenise_unigram(documents(spark, sf_dir, "doc_id", "text"), v).select("doc_id", "input_ids")
+    return ug.decode_unigram_table(ids, v)
+
+
 QUERIES.update({
+    "decode_unigram": q_decode_unigram,
     "train_unigram": q_train_unigram,
     "tokenise_unigram": q_tokenise_unigram,
     "length_reduction_unigram": q_length_reduction_unigram,

@@ -220,6 +220,8 @@ ORDER BY item_id, pos LIMIT 10"""
 
 SQL["strip_text"] = f"WITH {LINES} SELECT doc_id, pos, {strip('text')} AS text FROM lines"
 
+SQL["decode_unigram"] = f"SELECT doc_id, regexp_replace(regexp_replace(text, '[{WS}]+', ' ', 'g'), ' \\z', '') AS text FROM documents"
+
 SQL["nonblank"] = f"WITH {LINES} SELECT doc_id, pos FROM lines WHERE length({strip('text')}) > 0"
 
 WORD_SEP = r"[ \t\n\r\x{0b}\x{0c}]+"

@@ -95,16 +95,79 @@ def test_arrow_pre_tokens_equal_python():
     assert got == [w for t in texts for w in ug.pre_tokens(t or "")]
 
 
-def test_seed_pieces_vs_python(spark):
-    import random
-    rng = random.Random(5)
-    alpha = ["a", "b", "é", "ཀ", "་", "\U0001F600"]
-    words = {"".join(rng.choice(alpha) for _ in range(rng.randint(1, 12))): float(rng.randint(1, 5)) for _ in range(300)}
-    want = {}
+def maximal_repeats(words):
+    """Substrings of two characters or more that occur twice, by definition."""
+    at = {}
     for w, f in words.items():
         for i in range(len(w)):
-            for j in range(i + 1, min(len(w), i + 4) + 1):
-                want[w[i:j]] = want.get(w[i:j], 0.0) + f
+            for j in range(i + 2, len(w) + 1):
+                c, left, right = at.setdefault(w[i:j], [0.0, set(), set()])
+                at[w[i:j]][0] = c + f
+                left.add(w[i - 1] if i else "")
+                right.add(w[j] if j < len(w) else "")
+    return {p: c for p, (c, left, right) in at.items()
+            if c > 1 and (len(left) > 1 or "" in left) and (len(right) > 1 or "" in right)}
+
+
+def test_repeated_pieces_by_definition(spark):
+    """Also with prefixes so hot that they are cut several times."""
+    rng = random.Random(5)
+    alpha = ["a", "a", "a", "b", "é", "ཀ", "་", "\U0001F600"]
+    words = {"".join(rng.choice(alpha) for _ in range(rng.randint(1, 12))): float(rng.randint(1, 5)) for _ in range(300)}
+    words |= {"a" * 30: 1.0, "qu" * 9: 2.0, "qux": 1.0}
     df = spark.createDataFrame(list(words.items()), "word string, freq double").repartition(3)
-    got = {r.piece: r.c for r in ug.seed_pieces(df, 10_000, 4).collect()}
-    assert got == want
+    want = maximal_repeats(words)
+    for limit in (10_000, 20, 3):
+        chars, longer = ug.repeated_pieces(df, 40, limit)
+        assert {r.piece: r.c for r in longer.collect()} == want
+        assert len(longer.collect()) == len(want)
+        assert {r.piece: r.c for r in chars.collect()} == {c: sum(w.count(c) * f for w, f in words.items()) for c in set("".join(words))}
+    seeds = {r.piece: r.c for r in ug.seed_pieces(df, 50).collect() if len(r.piece) > 1}
+    cover = sorted((c * len(p) for p, c in seeds.items()), reverse=True)
+    assert len(seeds) >= 50 and cover[-1] == cover[49]  # ties are whole
+
+
+def test_forward_backward_equals_the_loop(spark):
+    import numpy as np
+    rng = random.Random(9)
+    words = ["".join(rng.choice("abcd") for _ in range(rng.choice([1, 2, 5, 9, 30, 400]))) for _ in range(60)] + ["a" * 3000]
+    pieces = sorted({c for c in "abcd"} | {w[i:i + k] for w in words[:40] for i in range(0, len(w), 3) for k in (2, 3, 11)})
+    logp = {p: math.log(rng.uniform(1e-6, 0.1)) for p in pieces if len(p) == 1 or rng.random() < 0.7}
+    prob = np.array([0.0, *[math.exp(logp[p]) if p in logp else 0.0 for p in pieces]])
+    df = spark.createDataFrame([(w, float(i % 3 + 1)) for i, w in enumerate(words)], "word string, freq double")
+    rows = ug.lattices(df, pieces).collect()
+    longest = max(map(len, pieces))
+    for r in rows:
+        n = len(r.word)
+        cells = np.frombuffer(bytes(r.cells), np.int32).reshape(1, n, min(n, longest))
+        want, ll = ug.expected_counts(r.word, r.freq, logp, longest)
+        got, got_ll, bad = ug.forward_backward(cells, np.array([r.freq]), prob, 1.8 if n < 1000 else 0.0)
+        if n >= 1000:
+            assert bad.all()
+            continue
+        assert math.isclose(ll, got_ll, rel_tol=1e-9)
+        assert all(math.isclose(got[i], want.get(p, 0.0), rel_tol=1e-9, abs_tol=1e-9) for i, p in enumerate(pieces, 1))
+    bc = spark.sparkContext.broadcast
+    sums = ug.lattices(df, pieces).mapInArrow(ug._e_step_fn(bc(prob), bc(pieces), 0.0), "at long, c double")
+    total = {r.at: r.c for r in sums.groupBy("at").agg({"c": "sum"}).withColumnRenamed("sum(c)", "c").collect()}
+    whole = [ug.expected_counts(w, float(i % 3 + 1), logp, longest) for i, w in enumerate(words)]  # underflows among them
+    assert math.isclose(total[0], sum(ll for _, ll in whole), rel_tol=1e-9)
+    for i, p in enumerate(pieces, 1):
+        assert math.isclose(total.get(i, 0.0), sum(c.get(p, 0.0) for c, _ in whole), rel_tol=1e-9, abs_tol=1e-9)
+
+
+def test_long_pieces_are_learned_and_decoded(spark):
+    rng = random.Random(2)
+    long = ["internationalisation", "uncharacteristically", "བསྒྲུབས་པའི་རྒྱལ་པོ"]
+    texts = [" ".join(rng.choice([*long, "".join(rng.choice("abcdefg") for _ in range(5))]) for _ in range(30)) for _ in range(60)]
+    texts += ["  two  spaces\t", "", None, "odd Ω"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i long, text string")
+    v = ug.train_unigram(df.where("i < 60"), 80)
+    pieces = {r.piece for r in v.collect()}
+    assert any(len(p) > 8 for p in pieces) and pieces & {ug.SPACE + w for w in long[:2]}
+    ids = ug.tokenise_unigram(df, v).select("i", "input_ids")
+    back = {r.i: r.text for r in ug.decode_unigram_table(ids, v).collect()}
+    assert all(back[i] == texts[i] for i in range(60)) and back[61] == back[62] == ""
+    assert back[63] == "odd <unk>" and "<unk>" in back[60]
+    loose = spark.createDataFrame([(1, [0, 999, -1]), (2, None)], "i long, input_ids array<int>")
+    assert [r.text for r in ug.decode_unigram_table(loose, v).orderBy("i").collect()] == ["<unk>" * 3, ""]
