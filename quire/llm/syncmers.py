@@ -7,15 +7,19 @@ wherever they stand, so the chosen windows are anchors for positional matching.
 The fingerprint holds all of them in order, each as 8 hex digits of its position
 and 16 of its hash.
 
-Anchors of two texts match where they have the same hash; among anchors of one
-hash, those next to one another by position. A match counts if another one has
-the same offset (difference of positions). Likeness is the share of matched
-anchors among all: m / (a + b - m).
+Anchors of two texts are paired one to one: of each hash the first place in one
+with the first in the other, the second with the second, and so on. A pair
+matches if another pair has the same offset (difference of positions). Likeness
+is the share of matched anchors among all: m / (a + b - m).
+
+Every text is worked on once: texts are dealt by range of ids, get their anchors
+there, and the next document's come along from the row behind.
 
 Defined cases: a null text is empty; a text of fewer than K_CHARS characters has
 one window, all its characters, and its match counts alone; a text without
 characters has the empty fingerprint, which is like another empty one by 1 and
-like others by 0; repeated doc_ids are ordered by the hash of their texts; the
+like others by 0; null ids come last, and they and repeated doc_ids are ordered
+by the hash of their texts; the
 next document of a single one is itself; an empty table gives an empty result.
 Other columns are ignored.
 """
@@ -26,6 +30,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from quire.operators.index import dense_index
+
 SPACE = r"[\x20\x09-\x0D]+"
 #: Windows of words, and of characters for fingerprints; S is a power of two.
 K, S = 4, 2
@@ -38,32 +44,28 @@ def word_hashes(text: Column) -> Column:
 
 
 def character_hashes(text: Column) -> Column:
-    return F.transform(F.filter(F.split(text, ""), lambda c: c != ""), lambda c: F.xxhash64(c))
+    return F.transform(F.when(text != "", F.split(text, "", -1)).otherwise(F.array().cast("array<string>")), lambda c: F.xxhash64(c))
 
 
-def _with_later(values: Column, by: int, f) -> Column:
-    """f(value, value ``by`` places later); the last ``by`` values are not meant to be used."""
-    return F.zip_with(values, F.slice(values, 1 + by, F.greatest(F.size(values) - by, F.lit(0))), f)
+def string_hashes(symbols: str, s: int) -> Column:
+    """The hash of the string of ``s`` symbols from each place; the last places have shorter ones, not meant to be used."""
+    return F.transform(symbols, lambda x, i: F.xxhash64(x, *[F.get(symbols, i + j) for j in range(1, s)]))
 
 
 def with_anchors(df: DataFrame, text: str, out: str, symbols=word_hashes, k: int = K, s: int = S) -> DataFrame:
     """``df`` with ``out``: array of (pos, hash) of the chosen windows, pos in
     symbols from 0."""
     places = k - s + 1
-    df = df.withColumn("__w", symbols(F.col(text))).withColumn("__m", F.col("__w"))
-    step = 1
-    while step < s:  # hashes of the strings of s symbols
-        df = df.withColumn("__m", _with_later(F.col("__m"), step, lambda a, b: F.xxhash64(a, b)))
-        step *= 2
-    df = df.withColumn("__i", F.col("__m"))
-    step = 1
-    while 2 * step <= places - 2:  # least hash of ``step`` places
-        df = df.withColumn("__i", _with_later(F.col("__i"), step, lambda a, b: F.least(a, b)))
-        step *= 2
+    step = 4 if places > 6 else 1
+    df = df.withColumn("__w", symbols(F.col(text))).withColumn("__m", string_hashes("__w", s))
+    least = F.transform("__m", lambda x, i: F.least(x, *[F.get("__m", i + j) for j in range(1, step)])) if step > 1 else F.col("__m")
+    df = df.withColumn("__i", least)  # least hash of ``step`` places
+    inner = [*range(1, places - 1 - step, step), places - 1 - step]
 
     def chosen(i: Column) -> Column:
         edge = F.least(F.get("__m", i), F.get("__m", i + places - 1))
-        return edge <= F.least(F.get("__i", i + 1), F.get("__i", i + places - 1 - step))
+        found = [F.get("__i", i + j) for j in inner]
+        return edge <= (F.least(*found) if len(found) > 1 else found[0])
 
     starts = F.sequence(F.lit(0), F.size("__w") - k)
     at = [j for j in range(0, places, s)] + ([places - 1] if (places - 1) % s else [])  # strings that cover the window
@@ -84,25 +86,40 @@ def as_text(anchors: Column) -> Column:
         F.lpad(F.hex(a["pos"]), 8, "0"), F.lpad(F.hex(a["hash"]), 16, "0")))), "")
 
 
+def _numbered(df: DataFrame, anchors: str, side: int, out: str) -> DataFrame:
+    """``df`` with ``out``: (hash, nth, side, pos) of the anchors, nth counting those of one hash by position."""
+    df = df.withColumn("__s", F.sort_array(F.transform(anchors, lambda x: F.struct(x["hash"].alias("hash"), x["pos"].alias("pos")))))
+    new = lambda i: (i == 0) | (F.get("__s", i)["hash"] != F.get("__s", i - 1)["hash"])
+    df = df.withColumn("__f", F.when(F.size("__s") > 0, F.filter(F.sequence(F.lit(0), F.size("__s") - 1), new))
+                       .otherwise(F.array().cast("array<int>")))
+    ends = F.concat(F.slice("__f", F.lit(2), F.size("__f")), F.array(F.size("__s")))
+    nth = F.flatten(F.zip_with("__f", F.slice(ends, F.lit(1), F.size("__f")), lambda a, b: F.sequence(F.lit(0), b - a - 1)))
+    return df.withColumn(out, F.zip_with("__s", nth, lambda x, n: F.struct(
+        x["hash"].alias("hash"), n.alias("nth"), F.lit(side).alias("side"), x["pos"].alias("pos")))).drop("__s", "__f")
+
+
 def with_likeness(df: DataFrame, a: str, b: str, out: str) -> DataFrame:
     """``df`` with ``out``, the share of the anchors of ``a`` and ``b`` (array
     of (pos, hash)) that match at consistent offsets."""
-    def side(column: str, n: int) -> Column:
-        return F.transform(column, lambda x: F.struct(x["hash"].alias("hash"), x["pos"].alias("pos"), F.lit(n).alias("side")))
-
-    df = df.withColumn("__x", F.array_sort(F.concat(side(a, 0), side(b, 1))))
+    hashes = lambda c: F.transform(c, lambda x: x["hash"])
+    some = df.withColumn("__any", F.arrays_overlap(hashes(a), hashes(b)))  # most pairs share nothing: nothing to sort
+    for c in (a, b):
+        some = some.withColumn(f"__{c}", F.when(F.col("__any"), F.col(c)).otherwise(F.slice(c, 1, 0)))
+    some = _numbered(_numbered(some, f"__{a}", 0, "__x0"), f"__{b}", 1, "__x1")
+    some = some.withColumn("__x", F.sort_array(F.concat("__x0", "__x1")))
     here, after = (lambda i: F.get("__x", i)), (lambda i: F.get("__x", i + 1))
-    met = F.filter(F.sequence(F.lit(0), F.size("__x") - 2), lambda i: (
-        (here(i)["hash"] == after(i)["hash"]) & (here(i)["side"] != after(i)["side"])))
-    offsets = F.transform(met, lambda i: (after(i)["pos"] - here(i)["pos"]) * F.when(here(i)["side"] == 0, 1).otherwise(-1))
-    df = df.withColumn("__o", F.when(F.size("__x") >= 2, F.array_sort(offsets)).otherwise(F.array().cast("array<int>")))
+    paired = lambda i: (here(i)["hash"] == after(i)["hash"]) & (here(i)["nth"] == after(i)["nth"])
+    met = F.filter(F.sequence(F.lit(0), F.size("__x") - 2), paired)
+    offsets = F.transform(met, lambda i: after(i)["pos"] - here(i)["pos"])
+    some = some.withColumn("__o", F.when(F.size("__x") >= 2, F.sort_array(offsets)).otherwise(F.array().cast("array<int>")))
     o = lambda i: F.get("__o", i)
     alone = F.least(F.size(a), F.size(b)) == 1
     same = F.filter(F.sequence(F.lit(0), F.size("__o") - 1), lambda i: (
         alone | F.coalesce(o(i) == F.when(i > 0, o(i - 1)), F.lit(False)) | F.coalesce(o(i) == o(i + 1), F.lit(False))))
-    common = F.when(F.size("__o") > 0, F.least(F.size(same), F.size(a), F.size(b))).otherwise(0)
+    common = F.when(F.size("__o") > 0, F.size(same)).otherwise(0)
     every = F.size(a) + F.size(b)
-    return df.withColumn(out, F.when(every == 0, F.lit(1.0)).otherwise(common / (every - common))).drop("__x", "__o")
+    return some.withColumn(out, F.when(every == 0, F.lit(1.0)).otherwise(common / (every - common))) \
+               .drop("__any", f"__{a}", f"__{b}", "__x0", "__x1", "__x", "__o")
 
 
 def id_range(docs: DataFrame) -> Column:
@@ -110,9 +127,12 @@ def id_range(docs: DataFrame) -> Column:
     CELLS^2 cells between approximate quantiles of the ids, each cut into equal
     parts. However ids are spread, a part has at most one cell's documents."""
     probes = [i / CELLS ** 2 for i in range(CELLS ** 2)]
-    cuts, high, n = docs.agg(F.percentile_approx("doc_id", probes, 20 * CELLS ** 2), F.max("doc_id"), F.count("*")).first()
+    cuts, high, n, known = docs.agg(F.percentile_approx("doc_id", probes, 20 * CELLS ** 2), F.max("doc_id"), F.count("*"),
+                                    F.count("doc_id")).first()
+    # null ids come after all others, in parts of their own by the order of ties
+    of_nulls = -1 - F.floor((F.col("tie").cast("double") / 2.0 ** 64 + 0.5) * ((n - known) // BUCKET + 1)).cast("long")
     if not cuts:
-        return F.lit(-1).cast("long")
+        return of_nulls
     ends = [*cuts[1:], high]
     parts = max(1, n // CELLS ** 2 // BUCKET + 1)
     groups = [cuts[i:i + CELLS] for i in range(0, len(cuts), CELLS)]
@@ -123,7 +143,8 @@ def id_range(docs: DataFrame) -> Column:
     low = F.get(array(cuts), cell)
     width = F.get(array([max(1, -(-(b - a) // parts)) for a, b in zip(cuts, ends)]), cell)
     part = F.floor((F.col("doc_id").cast("double") - low) / width)
-    return F.coalesce(cell.cast("long") * (1 << 32) + F.greatest(part, F.lit(0)), F.lit(-1)).cast("long")
+    known_ids = (cell.cast("long") * (1 << 32) + F.greatest(part, F.lit(0))).cast("long")
+    return F.when(F.col("doc_id").isNull(), of_nulls).otherwise(known_ids)
 
 
 def with_next(docs: DataFrame, columns: list[str], more) -> DataFrame:
@@ -133,13 +154,13 @@ def with_next(docs: DataFrame, columns: list[str], more) -> DataFrame:
 
     Documents are ordered within ranges of ids (see id_range); only the first document of each range is looked up by the range before, in the
     partitioning by range that the order needs anyway."""
-    cut = docs.withColumn("bucket", id_range(docs)).withColumn("tie", F.xxhash64(columns[0]))
+    tied = docs.withColumn("tie", F.xxhash64(columns[0]))
+    cut = tied.withColumn("bucket", id_range(tied)).repartition("bucket")
     order = W.partitionBy("bucket").orderBy(F.desc_nulls_last("doc_id"), "tie")
     heads = more(cut.withColumn("rn", F.row_number().over(order)).where("rn = 1"))
-    down = W.partitionBy(F.lit(0)).orderBy(F.desc("bucket"))
-    ids = cut.select("bucket").distinct()
-    follow = ids.select(F.col("bucket").alias("of"), F.coalesce(
-        F.lead("bucket").over(down), F.max("bucket").over(W.partitionBy(F.lit(0)))).alias("bucket"))
+    ids = dense_index(tied.withColumn("bucket", id_range(tied)).select("bucket").distinct(), ["bucket"], idx_col="at", group_rows_col="of_all")
+    behind = ids.select(F.col("bucket").alias("of"), F.pmod(F.col("at") - 1, F.col("of_all")).alias("at"))  # buckets descend
+    follow = behind.join(ids.select("at", "bucket"), "at").select("of", "bucket")
     whole = more(cut)
     added = [c for c in whole.columns if c not in ("doc_id", "bucket", "tie")]
     first = follow.join(heads.select("bucket", F.struct(*added).alias("head")), "bucket").select("of", "head")
@@ -176,11 +197,11 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     """The fingerprint of every text and of its edited text, whose last
     floor(n_chars / 2) code points give way to the first of the next text."""
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    pairs = with_next(texts, ["text"], lambda rows: rows).select("doc_id", "text", "next_text")
+    pairs = with_next(texts, ["text"], lambda rows: character_anchors(rows, "text", "anchors"))
     half = F.expr("length(text) div 2").cast("int")
     cut = pairs.withColumn("cut", F.length("text") - half).withColumn("next_half", F.substring("next_text", F.lit(1), half))
     cut = cut.withColumn("edited", F.concat(F.substring("text", F.lit(1), F.col("cut")), F.col("next_half")))
-    done = edited_anchors(character_anchors(character_anchors(cut, "text", "anchors"), "next_text", "next_anchors"))
+    done = edited_anchors(cut)
     done = with_likeness(with_likeness(done, "anchors", "edited_anchors", "near_edited"), "anchors", "next_anchors", "near_next")
     return done.select(
         "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),

@@ -59,8 +59,7 @@ def test_character_anchors_by_definition(spark):
     k, s = syncmers.K_CHARS, syncmers.S_CHARS
     parts = sorted({t[i:i + s] for t in texts for i in range(len(t) - s + 1)})
     df = spark.createDataFrame([(p,) for p in parts], "p string").withColumn("__m", syncmers.character_hashes(syncmers.F.col("p")))
-    for step in (1, 2, 4):
-        df = df.withColumn("__m", syncmers._with_later(syncmers.F.col("__m"), step, lambda a, b: syncmers.F.xxhash64(a, b)))
+    df = df.withColumn("__m", syncmers.string_hashes("__m", s))
     h = {x.p: x["__m"][0] for x in df.collect()}
     rows = syncmers.character_anchors(spark.createDataFrame(list(enumerate(texts)), "i long, text string"), "text", "anchors")
     got = {x.i: x.anchors for x in rows.collect()}
@@ -100,3 +99,52 @@ def test_short_edited_texts(spark):
     plain = {x.doc_id: x.f for x in syncmers.character_anchors(spark.createDataFrame(edited, "doc_id long, text string"), "text", "a")
              .select("doc_id", syncmers.as_text(syncmers.F.col("a")).alias("f")).collect()}
     assert {i: x.edited_fingerprint for i, x in rows.items()} == plain
+
+
+def brute_likeness(a, b):
+    """Pairs by the k-th place of each hash, matched where the offset is shared."""
+    places = [{}, {}]
+    for side, anchors in enumerate((a, b)):
+        for pos, h in sorted(anchors):
+            places[side].setdefault(h, []).append(pos)
+    offsets = [y - x for h in places[0] for x, y in zip(places[0][h], places[1].get(h, []))]
+    alone = min(len(a), len(b)) == 1
+    m = sum(alone or offsets.count(o) > 1 for o in offsets)
+    most = sum(min(len(p), len(places[1].get(h, []))) for h, p in places[0].items())
+    assert m <= most
+    return 1.0 if not a and not b else m / (len(a) + len(b) - m)
+
+
+def test_likeness_by_definition_where_passages_repeat(spark):
+    r = random.Random(12)
+    word = lambda: "".join(r.choice("abcdefghijklmnop") for _ in range(6))
+    passage = " ".join(word() for _ in range(30))
+    other = lambda n: " ".join(word() for _ in range(n))
+    texts = [" ".join(passage for _ in range(6)), " ".join(passage + " " + other(5) for _ in range(6)), "ab " * 500, "ab " * 300 + other(20),
+             passage, other(30), "", "x", "x", "abcdefghijklmnopqrstuvwxyz" * 2]
+    pairs = [(i, j) for i in range(len(texts)) for j in range(len(texts))]
+    df = spark.createDataFrame([(i, j, texts[i], texts[j]) for i, j in pairs], "i long, j long, a string, b string")
+    df = syncmers.character_anchors(syncmers.character_anchors(df, "a", "one"), "b", "two")
+    for x in syncmers.with_likeness(df, "one", "two", "near").collect():
+        one, two = ([(p.pos, p.hash) for p in side] for side in (x.one, x.two))
+        assert abs(x.near - brute_likeness(one, two)) < 1e-12
+        assert x.i != x.j or x.near == 1.0 or len({p for p in one}) < 1
+
+
+def test_many_null_ids_are_spread(spark):
+    df = spark.createDataFrame([(None, f"text {i}") for i in range(60)] + [(7, "a"), (8, "b")], "doc_id long, text string")
+    old = syncmers.BUCKET, syncmers.CELLS
+    syncmers.BUCKET, syncmers.CELLS = 4, 2
+    try:
+        rows = syncmers.with_next(df, ["text"], lambda x: x).collect()
+        tied = df.withColumn("tie", syncmers.F.xxhash64("text"))
+        sizes = [x["count"] for x in tied.groupBy(syncmers.id_range(tied)).count().collect()]
+    finally:
+        syncmers.BUCKET, syncmers.CELLS = old
+    assert max(sizes) < 20 and len(sizes) > 8
+    following = {x.text: x.next_text for x in rows}
+    at, seen = "b", []
+    while at not in seen:
+        seen.append(at)
+        at = following[at]
+    assert len(seen) == 62 and at == "b" and seen[1] == "a"
