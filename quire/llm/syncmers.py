@@ -1,4 +1,4 @@
-"""Document fingerprints from closed syncmers (DataFrame functions only).
+"""Document fingerprints from closed syncmers.
 
 The symbols are characters. A window of ``K_CHARS`` characters is chosen when
 the smallest hash of its inner strings of ``S_CHARS`` lies at its first or last
@@ -12,114 +12,121 @@ with the first in the other, the second with the second, and so on. A pair
 matches if another pair has the same offset (difference of positions). Likeness
 is the share of matched anchors among all: m / (a + b - m).
 
-Every text is worked on once: texts are dealt by range of ids, get their anchors
-there, and the next document's come along from the row behind.
+Texts meet their next one by DataFrame functions alone. Anchors and likeness are
+worked out by numpy in Arrow batches: with array functions, which evaluate some
+twenty lambda calls for every character, they took several times the CPU that
+is allowed (README has the figures).
 
 Defined cases: a null text is empty; a text of fewer than K_CHARS characters has
 one window, all its characters, and its match counts alone; a text without
 characters has the empty fingerprint, which is like another empty one by 1 and
 like others by 0; null ids come last, and they and repeated doc_ids are ordered
-by the hash of their texts; the
-next document of a single one is itself; an empty table gives an empty result.
-Other columns are ignored.
+by the hash of their texts; the next document of a single one is itself; an
+empty table gives an empty result. Other columns are ignored.
 """
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from quire.llm import words as ws
+from quire.llm.arrow import slices
 from quire.operators.index import dense_index
+from quire.session import ship_package
 
-SPACE = r"[\x20\x09-\x0D]+"
-#: Windows of words, and of characters for fingerprints; S is a power of two.
-K, S = 4, 2
 K_CHARS, S_CHARS = 24, 8
 BUCKET, CELLS = 512, 32
-
-
-def word_hashes(text: Column) -> Column:
-    return F.transform(F.filter(F.split(text, SPACE), lambda w: w != ""), lambda w: F.xxhash64(w))
-
-
-def character_hashes(text: Column) -> Column:
-    return F.transform(F.when(text != "", F.split(text, "", -1)).otherwise(F.array().cast("array<string>")), lambda c: F.xxhash64(c))
-
-
-def string_hashes(symbols: str, s: int) -> Column:
-    """The hash of the string of ``s`` symbols from each place; the last places have shorter ones, not meant to be used."""
-    return F.transform(symbols, lambda x, i: F.xxhash64(x, *[F.get(symbols, i + j) for j in range(1, s)]))
-
-
-def with_anchors(df: DataFrame, text: str, out: str, symbols=word_hashes, k: int = K, s: int = S) -> DataFrame:
-    """``df`` with ``out``: array of (pos, hash) of the chosen windows, pos in
-    symbols from 0."""
-    places = k - s + 1
-    step = 4 if places > 6 else 1
-    df = df.withColumn("__w", symbols(F.col(text))).withColumn("__m", string_hashes("__w", s))
-    least = F.transform("__m", lambda x, i: F.least(x, *[F.get("__m", i + j) for j in range(1, step)])) if step > 1 else F.col("__m")
-    df = df.withColumn("__i", least)  # least hash of ``step`` places
-    inner = [*range(1, places - 1 - step, step), places - 1 - step]
-
-    def chosen(i: Column) -> Column:
-        edge = F.least(F.get("__m", i), F.get("__m", i + places - 1))
-        found = [F.get("__i", i + j) for j in inner]
-        return edge <= (F.least(*found) if len(found) > 1 else found[0])
-
-    starts = F.sequence(F.lit(0), F.size("__w") - k)
-    at = [j for j in range(0, places, s)] + ([places - 1] if (places - 1) % s else [])  # strings that cover the window
-    many = F.transform(F.filter(starts, chosen), lambda i: F.struct(
-        i.alias("pos"), F.xxhash64(*[F.get("__m", i + j) for j in at]).alias("hash")))
-    one = F.array(F.struct(F.lit(0).alias("pos"), F.xxhash64("__w").alias("hash")))
-    none = F.slice(one, 1, 0)
-    return df.withColumn(out, F.when(F.size("__w") >= k, many).when(F.size("__w") > 0, one).otherwise(none)) \
-             .drop("__w", "__m", "__i")
-
-
-def character_anchors(df: DataFrame, text: str, out: str) -> DataFrame:
-    return with_anchors(df, text, out, character_hashes, K_CHARS, S_CHARS)
-
-
-def as_text(anchors: Column) -> Column:
-    return F.array_join(F.transform(anchors, lambda a: F.lower(F.concat(
-        F.lpad(F.hex(a["pos"]), 8, "0"), F.lpad(F.hex(a["hash"]), 16, "0")))), "")
-
-
-def _numbered(df: DataFrame, anchors: str, side: int, out: str) -> DataFrame:
-    """``df`` with ``out``: (hash, nth, side, pos) of the anchors, nth counting those of one hash by position."""
-    df = df.withColumn("__s", F.sort_array(F.transform(anchors, lambda x: F.struct(x["hash"].alias("hash"), x["pos"].alias("pos")))))
-    new = lambda i: (i == 0) | (F.get("__s", i)["hash"] != F.get("__s", i - 1)["hash"])
-    df = df.withColumn("__f", F.when(F.size("__s") > 0, F.filter(F.sequence(F.lit(0), F.size("__s") - 1), new))
-                       .otherwise(F.array().cast("array<int>")))
-    ends = F.concat(F.slice("__f", F.lit(2), F.size("__f")), F.array(F.size("__s")))
-    nth = F.flatten(F.zip_with("__f", F.slice(ends, F.lit(1), F.size("__f")), lambda a, b: F.sequence(F.lit(0), b - a - 1)))
-    return df.withColumn(out, F.zip_with("__s", nth, lambda x, n: F.struct(
-        x["hash"].alias("hash"), n.alias("nth"), F.lit(side).alias("side"), x["pos"].alias("pos")))).drop("__s", "__f")
-
-
-def with_likeness(df: DataFrame, a: str, b: str, out: str) -> DataFrame:
-    """``df`` with ``out``, the share of the anchors of ``a`` and ``b`` (array
-    of (pos, hash)) that match at consistent offsets."""
-    hashes = lambda c: F.transform(c, lambda x: x["hash"])
-    some = df.withColumn("__any", F.arrays_overlap(hashes(a), hashes(b)))  # most pairs share nothing: nothing to sort
-    for c in (a, b):
-        some = some.withColumn(f"__{c}", F.when(F.col("__any"), F.col(c)).otherwise(F.slice(c, 1, 0)))
-    some = _numbered(_numbered(some, f"__{a}", 0, "__x0"), f"__{b}", 1, "__x1")
-    some = some.withColumn("__x", F.sort_array(F.concat("__x0", "__x1")))
-    here, after = (lambda i: F.get("__x", i)), (lambda i: F.get("__x", i + 1))
-    paired = lambda i: (here(i)["hash"] == after(i)["hash"]) & (here(i)["nth"] == after(i)["nth"])
-    met = F.filter(F.sequence(F.lit(0), F.size("__x") - 2), paired)
-    offsets = F.transform(met, lambda i: after(i)["pos"] - here(i)["pos"])
-    some = some.withColumn("__o", F.when(F.size("__x") >= 2, F.sort_array(offsets)).otherwise(F.array().cast("array<int>")))
-    o = lambda i: F.get("__o", i)
-    alone = F.least(F.size(a), F.size(b)) == 1
-    same = F.filter(F.sequence(F.lit(0), F.size("__o") - 1), lambda i: (
-        alone | F.coalesce(o(i) == F.when(i > 0, o(i - 1)), F.lit(False)) | F.coalesce(o(i) == o(i + 1), F.lit(False))))
-    common = F.when(F.size("__o") > 0, F.size(same)).otherwise(0)
-    every = F.size(a) + F.size(b)
-    return some.withColumn(out, F.when(every == 0, F.lit(1.0)).otherwise(common / (every - common))) \
-               .drop("__any", f"__{a}", f"__{b}", "__x0", "__x1", "__x", "__o")
+#: Characters whose windows are worked on together.
+STEP = 1 << 20
+
+SCHEMA = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
+          "near_edited double, near_next double")
+
+
+def string_hashes(code_points: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """64-bit hashes of strings of code points, equal for equal strings at any place."""
+    sums = np.zeros(len(code_points) + 1, np.uint64)
+    with np.errstate(over="ignore"):
+        np.cumsum(ws.mix(code_points.astype(np.uint64) + ws.BASE) * ws._power("up", ws.BASE, len(code_points)), out=sums[1:])
+    return ws.spans_hash(sums, start, stop)
+
+
+def _chosen(cp: np.ndarray, starts: int) -> tuple[np.ndarray, np.ndarray]:
+    """(place, hash) of the closed syncmers among the first ``starts`` windows."""
+    at = np.arange(len(cp) - S_CHARS + 1)
+    m = string_hashes(cp, at, at + S_CHARS)
+    places = K_CHARS - S_CHARS + 1
+    low, span = m, 1
+    while 2 * span <= places - 2:  # least hash of ``span`` places
+        low = np.minimum(low[:-span], low[span:])
+        span *= 2
+    i = np.arange(starts)
+    inner = np.minimum(low[i + 1], low[i + places - 1 - span])
+    found = np.flatnonzero(np.minimum(m[i], m[i + places - 1]) <= inner)
+    return found, string_hashes(cp, found, found + K_CHARS)
+
+
+def anchors(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(positions, hashes) of the chosen windows of each text."""
+    sizes = np.array([len(t) for t in texts], np.int64)
+    begin = np.concatenate(([0], np.cumsum(sizes)))
+    cp = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+    owner = np.repeat(np.arange(len(texts)), sizes)
+    where, hashes = [], []
+    for a in range(0, len(cp) - K_CHARS + 1, STEP):
+        n = min(STEP, len(cp) - K_CHARS + 1 - a)
+        found, h = _chosen(cp[a:a + n + K_CHARS - 1], n)
+        found = found + a
+        inside = owner[found] == owner[found + K_CHARS - 1]
+        where.append(found[inside])
+        hashes.append(h[inside])
+    short = np.flatnonzero((sizes > 0) & (sizes < K_CHARS))
+    for t in short.tolist():
+        part = cp[begin[t]:begin[t + 1]]
+        where.append(begin[t:t + 1])
+        hashes.append(string_hashes(part, np.zeros(1, np.int64), np.array([len(part)])))
+    at = np.concatenate(where) if where else np.zeros(0, np.int64)
+    h = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
+    order = np.argsort(at, kind="stable")
+    at, h = at[order], h[order]
+    cuts = np.searchsorted(at, begin)
+    return [(at[a:b] - start, h[a:b]) for a, b, start in zip(cuts[:-1], cuts[1:], begin)]
+
+
+def as_text(pos: np.ndarray, hashes: np.ndarray) -> str:
+    out = np.empty(len(pos), np.dtype([("pos", ">u4"), ("hash", ">u8")]))
+    out["pos"], out["hash"] = pos, hashes
+    return out.tobytes().hex()
+
+
+def _numbered(pos: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, number of the place among those of the hash, position)."""
+    order = np.lexsort((pos, hashes))
+    h, at = hashes[order], np.arange(len(order))
+    first = np.concatenate(([True], h[1:] != h[:-1])) if len(h) else np.zeros(0, bool)
+    return h, at - np.maximum.accumulate(np.where(first, at, 0)), pos[order]
+
+
+def likeness(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
+    """The share of the anchors of two texts that match at consistent offsets."""
+    na, nb = len(a[0]), len(b[0])
+    if not na or not nb:
+        return float(na == nb)
+    (ha, ka, pa_), (hb, kb, pb) = _numbered(*a), _numbered(*b)
+    h, k, p = np.concatenate((ha, hb)), np.concatenate((ka, kb)), np.concatenate((pa_, pb))
+    order = np.lexsort((np.arange(len(h)) >= na, k, h))
+    h, k, p = h[order], k[order], p[order]
+    pairs = np.flatnonzero((h[1:] == h[:-1]) & (k[1:] == k[:-1]))
+    _, counts = np.unique(p[pairs + 1] - p[pairs], return_counts=True)
+    matched = int(counts.sum() if min(na, nb) == 1 else counts[counts > 1].sum())
+    return matched / (na + nb - matched)
 
 
 def id_range(docs: DataFrame) -> Column:
@@ -147,63 +154,45 @@ def id_range(docs: DataFrame) -> Column:
     return F.when(F.col("doc_id").isNull(), of_nulls).otherwise(known_ids)
 
 
-def with_next(docs: DataFrame, columns: list[str], more) -> DataFrame:
-    """``docs`` (doc_id, ``columns``) after ``more`` (a function that adds
-    columns to rows), with next_<column> of the next document by descending
-    doc_id, after the last one the first.
+def with_next(docs: DataFrame, columns: list[str]) -> DataFrame:
+    """``docs`` (doc_id, ``columns``) with next_<column> of the next document by
+    descending doc_id, after the last one the first.
 
     Documents are ordered within ranges of ids (see id_range); only the first document of each range is looked up by the range before, in the
     partitioning by range that the order needs anyway."""
     tied = docs.withColumn("tie", F.xxhash64(columns[0]))
-    cut = tied.withColumn("bucket", id_range(tied)).repartition("bucket")
+    cut = tied.withColumn("bucket", id_range(tied))
     order = W.partitionBy("bucket").orderBy(F.desc_nulls_last("doc_id"), "tie")
-    heads = more(cut.withColumn("rn", F.row_number().over(order)).where("rn = 1"))
+    heads = cut.withColumn("rn", F.row_number().over(order)).where("rn = 1")
     ids = dense_index(tied.withColumn("bucket", id_range(tied)).select("bucket").distinct(), ["bucket"], idx_col="at", group_rows_col="of_all")
     behind = ids.select(F.col("bucket").alias("of"), F.pmod(F.col("at") - 1, F.col("of_all")).alias("at"))  # buckets descend
     follow = behind.join(ids.select("at", "bucket"), "at").select("of", "bucket")
-    whole = more(cut)
-    added = [c for c in whole.columns if c not in ("doc_id", "bucket", "tie")]
-    first = follow.join(heads.select("bucket", F.struct(*added).alias("head")), "bucket").select("of", "head")
-    rows = whole.withColumn("after", F.lead(F.struct(*added)).over(order))
+    first = follow.join(heads.select("bucket", F.struct(*columns).alias("head")), "bucket").select("of", "head")
+    rows = cut.withColumn("after", F.lead(F.struct(*columns)).over(order))
     met = rows.join(first, F.col("bucket") == F.col("of"), "left").withColumn("after", F.coalesce("after", "head"))
-    return met.select("doc_id", *added, *[F.col(f"after.{c}").alias(f"next_{c}") for c in added])
-
-
-def edited_anchors(df: DataFrame) -> DataFrame:
-    """``df`` with edited_anchors of the first ``cut`` characters of text and the
-    first ``half`` of next_text. Windows are chosen by themselves, so only those
-    across the cut are looked for anew; a text of under K_CHARS is one window."""
-    near = K_CHARS - 1
-    df = df.withColumn("half2", F.length("next_half"))
-    df = df.withColumn("middle", F.when(F.length("edited") < K_CHARS, F.col("edited")).otherwise(F.concat(
-        F.substring("text", F.greatest(F.col("cut") - near, F.lit(0)) + 1, F.least(F.lit(near), F.col("cut"))),
-        F.substring("next_half", F.lit(1), F.lit(near)))))
-    df = character_anchors(df, "middle", "across")
-
-    def inside(anchors: str, end: str) -> Column:
-        return F.filter(anchors, lambda x: x["pos"] + K_CHARS <= F.col(end))
-
-    def moved(anchors: Column, by: Column) -> Column:
-        return F.transform(anchors, lambda x: F.struct((x["pos"] + by).cast("int").alias("pos"), x["hash"].alias("hash")))
-
-    across = F.when(F.length("middle") >= K_CHARS, F.col("across")).otherwise(F.slice("across", 1, 0))
-    many = F.concat(inside("anchors", "cut"), moved(across, F.greatest(F.col("cut") - near, F.lit(0))),
-                    moved(inside("next_anchors", "half2"), F.col("cut")))
-    return df.withColumn("edited_anchors", F.when(F.length("edited") < K_CHARS, F.col("across")).otherwise(many)) \
-             .drop("half2", "middle", "across")
+    return met.select("doc_id", *columns, *[F.col(f"after.{c}").alias(f"next_{c}") for c in columns])
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
     """The fingerprint of every text and of its edited text, whose last
     floor(n_chars / 2) code points give way to the first of the next text."""
+    ship_package(docs.sparkSession)
+    names = [f.split()[0] for f in SCHEMA.split(", ")]
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for part in slices(iter([whole]), "text"):
+                for batch in slices(iter([part]), "next_text"):
+                    texts, after = (batch.column(c).to_pylist() for c in ("text", "next_text"))
+                    edited = [t[:len(t) - len(t) // 2] + x[:len(t) // 2] for t, x in zip(texts, after)]
+                    own, of_edited, of_next = anchors(texts), anchors(edited), anchors(after)
+                    columns = [[len(t) for t in texts], [hashlib.sha256(e.encode("utf-8", "surrogatepass")).hexdigest() for e in edited],
+                               [as_text(*x) for x in own], [as_text(*x) for x in of_edited],
+                               [likeness(x, y) for x, y in zip(own, of_edited)], [likeness(x, y) for x, y in zip(own, of_next)]]
+                    kinds = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column("doc_id"), *[pa.array(c, k) for c, k in zip(columns, kinds)]], names)
+
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    pairs = with_next(texts, ["text"], lambda rows: character_anchors(rows, "text", "anchors"))
-    half = F.expr("length(text) div 2").cast("int")
-    cut = pairs.withColumn("cut", F.length("text") - half).withColumn("next_half", F.substring("next_text", F.lit(1), half))
-    cut = cut.withColumn("edited", F.concat(F.substring("text", F.lit(1), F.col("cut")), F.col("next_half")))
-    done = edited_anchors(cut)
-    done = with_likeness(with_likeness(done, "anchors", "edited_anchors", "near_edited"), "anchors", "next_anchors", "near_next")
-    return done.select(
-        "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
-        as_text(F.col("anchors")).alias("fingerprint"), as_text(F.col("edited_anchors")).alias("edited_fingerprint"),
-        "near_edited", "near_next")
+    pairs = with_next(texts, ["text"]).select("doc_id", "text", "next_text")
+    return pairs.mapInArrow(work, SCHEMA)

@@ -1,6 +1,9 @@
 import hashlib
 import random
 
+import numpy as np
+import pytest
+
 from quire.llm import syncmers
 
 
@@ -27,20 +30,19 @@ def test_next_over_ranges(spark):
     old = syncmers.BUCKET, syncmers.CELLS
     syncmers.BUCKET, syncmers.CELLS = 2, 4
     try:
-        got = {r.doc_id: r.next_text for r in syncmers.with_next(df, ["text"], lambda x: x).collect()}
+        got = {r.doc_id: r.next_text for r in syncmers.with_next(df, ["text"]).collect()}
     finally:
         syncmers.BUCKET, syncmers.CELLS = old
     down = sorted(ids, reverse=True)
     assert got == {i: f"text {j}" for i, j in zip(down, down[1:] + down[:1])}
 
 
-def test_anchors_do_not_depend_on_context(spark):
+def test_anchors_do_not_depend_on_context():
     shared = " ".join(f"w{i * i % 101}" for i in range(40))
-    df = spark.createDataFrame([(1, f"some head words {shared}"), (2, f"{shared} tail")], "doc_id long, text string")
-    a, b = [{x.hash: x.pos for x in r.anchors} for r in syncmers.with_anchors(df, "text", "anchors").orderBy("doc_id").collect()]
-    inside = [h for h, p in b.items() if p + syncmers.K <= 40]
-    assert inside and all(h in a for h in inside)
-    assert {a[h] - b[h] for h in inside if list(b.values()).count(b[h]) == 1} >= {3}
+    (p, h), (q, g) = syncmers.anchors([f"some head words {shared}", f"{shared} tail"])
+    at = dict(zip(h.tolist(), p.tolist()))
+    inside = [(x, y) for x, y in zip(g.tolist(), q.tolist()) if y + syncmers.K_CHARS <= len(shared)]
+    assert len(inside) > 5 and all(at[x] - y == 16 for x, y in inside if g.tolist().count(x) == h.tolist().count(x) == 1)
 
 
 def brute_anchors(h, text, k, s):
@@ -53,22 +55,26 @@ def brute_anchors(h, text, k, s):
     return out
 
 
-def test_character_anchors_by_definition(spark):
+def hash_of(text):
+    return int(syncmers.string_hashes(np.array([ord(c) for c in text], np.uint32), np.zeros(1, int), np.array([len(text)]))[0])
+
+
+@pytest.mark.parametrize("step", [7, 100, 1 << 20])
+def test_anchors_by_definition(step, monkeypatch):
+    """Also in pieces, of texts side by side."""
+    monkeypatch.setattr(syncmers, "STEP", step)
     r = random.Random(2)
-    texts = ["".join(r.choice("ab c我é😀") for _ in range(n)) for n in (300, 24, 25, 23, 0)]
+    texts = ["".join(r.choice("ab c我é😀") for _ in range(n)) for n in (300, 24, 25, 23, 0, 1, 60)] + ["ab" * 90]
     k, s = syncmers.K_CHARS, syncmers.S_CHARS
-    parts = sorted({t[i:i + s] for t in texts for i in range(len(t) - s + 1)})
-    df = spark.createDataFrame([(p,) for p in parts], "p string").withColumn("__m", syncmers.character_hashes(syncmers.F.col("p")))
-    df = df.withColumn("__m", syncmers.string_hashes("__m", s))
-    h = {x.p: x["__m"][0] for x in df.collect()}
-    rows = syncmers.character_anchors(spark.createDataFrame(list(enumerate(texts)), "i long, text string"), "text", "anchors")
-    got = {x.i: x.anchors for x in rows.collect()}
-    names = {}
-    for i, t in enumerate(texts[:3]):
-        want = brute_anchors(h, t, k, s)
-        assert [a.pos for a in got[i]] == [p for p, _ in want]
-        assert all(names.setdefault(w, a.hash) == a.hash for a, (_, w) in zip(got[i], want))
-    assert len(got[0]) > 20 and len(got[3]) == 1 and got[4] == []
+    h = {p: hash_of(p) for t in texts for i in range(len(t) - s + 1) for p in [t[i:i + s]]}
+    for t, (pos, hashes) in zip(texts, syncmers.anchors(texts)):
+        want = brute_anchors(h, t, k, s) if len(t) >= k else [(0, t)] if t else []
+        assert [(p, x) for p, x in zip(pos.tolist(), hashes.tolist())] == [(p, hash_of(w)) for p, w in want]
+    assert len(syncmers.anchors(texts)[0][0]) > 20
+
+
+def plain(texts):
+    return {i: syncmers.as_text(*syncmers.anchors([t])[0]) for i, t in texts.items()}
 
 
 def test_all_anchors_and_shared_passages_at_other_places(spark):
@@ -85,9 +91,7 @@ def test_all_anchors_and_shared_passages_at_other_places(spark):
     assert rows[2].near_next == 0
     assert 0.2 < rows[11].near_next < 0.5
     edited = {i: t[:len(t) - len(t) // 2] + texts[j][:len(t) // 2] for (i, t), j in zip(sorted(texts.items(), reverse=True), [10, 3, 2, 1, 11])}
-    plain = {x.doc_id: x.f for x in syncmers.character_anchors(spark.createDataFrame(list(edited.items()), "doc_id long, text string"), "text", "a")
-             .select("doc_id", syncmers.as_text(syncmers.F.col("a")).alias("f")).collect()}
-    assert {i: x.edited_fingerprint for i, x in rows.items()} == plain
+    assert {i: x.edited_fingerprint for i, x in rows.items()} == plain(edited)
     assert all(0.2 < rows[i].near_edited < 0.6 for i in (1, 3, 11))
 
 
@@ -95,10 +99,8 @@ def test_short_edited_texts(spark):
     texts = {i: "abcdefghijklmnopqrstuvwxyz0123456789"[:i] for i in (1, 2, 7, 22, 23, 24, 25, 30, 36)}
     rows = {x.doc_id: x for x in syncmers.fingerprints(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
     ids = sorted(texts, reverse=True)
-    edited = [(i, texts[i][:len(texts[i]) - len(texts[i]) // 2] + texts[j][:len(texts[i]) // 2]) for i, j in zip(ids, ids[1:] + ids[:1])]
-    plain = {x.doc_id: x.f for x in syncmers.character_anchors(spark.createDataFrame(edited, "doc_id long, text string"), "text", "a")
-             .select("doc_id", syncmers.as_text(syncmers.F.col("a")).alias("f")).collect()}
-    assert {i: x.edited_fingerprint for i, x in rows.items()} == plain
+    edited = {i: texts[i][:len(texts[i]) - len(texts[i]) // 2] + texts[j][:len(texts[i]) // 2] for i, j in zip(ids, ids[1:] + ids[:1])}
+    assert {i: x.edited_fingerprint for i, x in rows.items()} == plain(edited)
 
 
 def brute_likeness(a, b):
@@ -115,20 +117,19 @@ def brute_likeness(a, b):
     return 1.0 if not a and not b else m / (len(a) + len(b) - m)
 
 
-def test_likeness_by_definition_where_passages_repeat(spark):
+def test_likeness_by_definition_where_passages_repeat():
     r = random.Random(12)
     word = lambda: "".join(r.choice("abcdefghijklmnop") for _ in range(6))
     passage = " ".join(word() for _ in range(30))
     other = lambda n: " ".join(word() for _ in range(n))
     texts = [" ".join(passage for _ in range(6)), " ".join(passage + " " + other(5) for _ in range(6)), "ab " * 500, "ab " * 300 + other(20),
              passage, other(30), "", "x", "x", "abcdefghijklmnopqrstuvwxyz" * 2]
-    pairs = [(i, j) for i in range(len(texts)) for j in range(len(texts))]
-    df = spark.createDataFrame([(i, j, texts[i], texts[j]) for i, j in pairs], "i long, j long, a string, b string")
-    df = syncmers.character_anchors(syncmers.character_anchors(df, "a", "one"), "b", "two")
-    for x in syncmers.with_likeness(df, "one", "two", "near").collect():
-        one, two = ([(p.pos, p.hash) for p in side] for side in (x.one, x.two))
-        assert abs(x.near - brute_likeness(one, two)) < 1e-12
-        assert x.i != x.j or x.near == 1.0 or len({p for p in one}) < 1
+    found = syncmers.anchors(texts)
+    for i, x in enumerate(found):
+        for j, y in enumerate(found):
+            one, two = (list(zip(p.tolist(), h.tolist())) for p, h in (x, y))
+            near = syncmers.likeness(x, y)
+            assert abs(near - brute_likeness(one, two)) < 1e-12 and (i != j or near == 1.0)
 
 
 def test_many_null_ids_are_spread(spark):
@@ -136,7 +137,7 @@ def test_many_null_ids_are_spread(spark):
     old = syncmers.BUCKET, syncmers.CELLS
     syncmers.BUCKET, syncmers.CELLS = 4, 2
     try:
-        rows = syncmers.with_next(df, ["text"], lambda x: x).collect()
+        rows = syncmers.with_next(df, ["text"]).collect()
         tied = df.withColumn("tie", syncmers.F.xxhash64("text"))
         sizes = [x["count"] for x in tied.groupBy(syncmers.id_range(tied)).count().collect()]
     finally:
