@@ -16,7 +16,8 @@ Work is linear in the group: documents with equal sets are one class; in a
 bucket every class is compared with the first one only, on the full sets. What
 this leaves apart in a bucket (classes of different components) is then
 compared within tasks, block by block, by longer sketches of FINE coordinates;
-a pair is looked at in the first bucket that it shares only, and those that can
+a pair is looked at in the first bucket that it shares only (told by the 64-bit
+keys of the buckets themselves), and those that can
 be as alike as asked (4.5 standard deviations below 0.8, a chance of 3e-6 to
 miss one) are compared on the full sets as well. Components come from the links.
 
@@ -137,7 +138,8 @@ def full_sets(docs: DataFrame, n: int) -> DataFrame:
 
 
 def set_sketches(sets: DataFrame) -> DataFrame:
-    """(node, n, sketch, fine): 16 bits of each coordinate of both sketches."""
+    """(node, n, keys, fine): the band keys of the sketch, and 16 bits of each
+    coordinate of the longer one."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -148,12 +150,13 @@ def set_sketches(sets: DataFrame) -> DataFrame:
                 hashes = lists.flatten().to_numpy().view(np.uint64)
                 owner = np.repeat(np.arange(batch.num_rows), size)
                 columns = [batch.column("node"), pa.array(size)]
-                for t in (T, FINE):
-                    raw = ws.mix(sketches(owner, hashes, batch.num_rows, t)).astype("<u2").tobytes()
-                    columns.append(pa.array([raw[2 * t * i:2 * t * (i + 1)] for i in range(batch.num_rows)], pa.binary()))
-                yield pa.RecordBatch.from_arrays(columns, ["node", "n", "sketch", "fine"])
+                keys = band_keys(sketches(owner, hashes, batch.num_rows)).astype("<i8").tobytes()
+                fine = ws.mix(sketches(owner, hashes, batch.num_rows, FINE)).astype("<u2").tobytes()
+                for raw, width in ((keys, 8 * BANDS), (fine, 2 * FINE)):
+                    columns.append(pa.array([raw[width * i:width * (i + 1)] for i in range(batch.num_rows)], pa.binary()))
+                yield pa.RecordBatch.from_arrays(columns, ["node", "n", "keys", "fine"])
 
-    return sets.select(F.col("doc_id").alias("node"), "shingles").mapInArrow(work, "node long, n long, sketch binary, fine binary")
+    return sets.select(F.col("doc_id").alias("node"), "shingles").mapInArrow(work, "node long, n long, keys binary, fine binary")
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -209,8 +212,7 @@ def _apart(percent: int):
             p, q = np.nonzero(fits)
             for k in range(0, len(p), 1 << 14):
                 x, y = i[p[k:k + (1 << 14)]], right[q[k:k + (1 << 14)]]
-                shared = (rows["sketch"][x] == rows["sketch"][y]).reshape(-1, BANDS, ROWS).all(2)
-                first = shared.argmax(1) == rows["band"][x]
+                first = (rows["keys"][x] == rows["keys"][y]).argmax(1) == rows["band"][x]  # whole keys, as the buckets have them
                 x, y = x[first], y[first]
                 alike = (rows["fine"][x] == rows["fine"][y]).mean(1) >= least
                 got[0].append(rows["node"][x[alike]])
@@ -220,8 +222,8 @@ def _apart(percent: int):
 
     def work(key: tuple, table: pa.Table) -> pa.Table:
         rows = {c: table.column(c).to_numpy() for c in ("node", "component", "n", "side", "band")}
-        for c, t in (("sketch", T), ("fine", FINE)):
-            rows[c] = np.frombuffer(b"".join(table.column(c).to_pylist()), "<u2").reshape(-1, t)
+        for c, kind, t in (("keys", "<i8", BANDS), ("fine", "<u2", FINE)):
+            rows[c] = np.frombuffer(b"".join(table.column(c).to_pylist()), kind).reshape(-1, t)
         x, y = pairs(rows)
         return pa.table({"a": np.maximum(x, y), "b": np.minimum(x, y)})
 
@@ -259,9 +261,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, words: int = 5, percen
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
     cut = around.select("*", blocks.alias("blocks"), F.pmod(F.xxhash64("node"), blocks).cast("int").alias("block"))
     dealt = cut.select(
-        "key", "band", "node", "component", "n", "sketch", "fine", "block",
+        "key", "band", "node", "component", "n", "keys", "fine", "block",
         F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).select(
-        "key", "band", "node", "component", "n", "sketch", "fine", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"),
+        "key", "band", "node", "component", "n", "keys", "fine", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"),
         F.when(F.col("block") == F.col("other"), 2).when(F.col("block") < F.col("other"), 0).otherwise(1).alias("side"))
     more = (dealt.groupBy("key", "p", "q").applyInArrow(_apart(percent), "a long, b long").where("a != b").distinct()
             .join(star, ["a", "b"], "left_anti").checkpoint())

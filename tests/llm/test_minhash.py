@@ -93,3 +93,34 @@ def test_components(spark):
     edges = [(5, 3), (3, 1), (9, 8), (8, 7), (7, 6), *[(i, i + 1) for i in range(20, 60)]]
     got = {r.node: r.component for r in minhash.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {3: 1, 5: 1, 7: 6, 8: 6, 9: 6, **{i: 20 for i in range(21, 61)}}
+
+
+def test_a_pair_is_met_in_its_first_bucket_only():
+    """By whole keys: other bands may agree in any part of their keys."""
+    low = np.arange(minhash.BANDS, dtype=np.int64)
+    one, two = low + (7 << 40), low + (9 << 40)  # all bands agree in their low 16 bits
+    two[[5, 20]] = one[[5, 20]]
+    fine = np.zeros(minhash.FINE, "<u2").tobytes()
+    met = []
+    for band in range(minhash.BANDS):
+        table = pa.table({"node": [1, 2], "component": [1, 2], "n": [50, 50], "side": [2, 2], "band": [band, band],
+                          "keys": [one.astype("<i8").tobytes(), two.astype("<i8").tobytes()], "fine": [fine, fine]})
+        met += [band] * minhash._apart(80)((0,), table).num_rows
+    assert met == [5]
+
+
+def test_links_of_all_edited_copies(spark):
+    """Copies with ever more words replaced: every link of the definition is found."""
+    rng = np.random.default_rng(4)
+    rows = []
+    for base in range(40):
+        words = [f"w{x}" for x in rng.integers(0, 10 ** 6, 150)]
+        rows.append((1000 * base, " ".join(words)))
+        for k in range(12):
+            copy = list(words)
+            for at in rng.choice(150, size=k // 2, replace=False):
+                copy[at] = f"x{rng.integers(0, 10 ** 6)}"
+            rows.append((1000 * base + k + 1, " ".join(copy)))
+    want = {int(i): int(c) for i, _, c in brute(rows, 4, 80)}
+    out = minhash.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), 4, 80).collect()
+    assert {r.doc_id: r.component_id for r in out} == want and len(set(want.values())) < len(rows) / 2
