@@ -150,18 +150,23 @@ def mixed_texts(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """The documents of the mix, one row for every pass that takes words of a
     document, with the text of the words taken: the whole text, or its first
     words joined by spaces where the last block of the mix ends in it. text and
-    n_chars are those of the words taken, other columns stay."""
-    taken = (mix(spark, docs).where("taken > 0").groupBy("doc_id", "key")
-             .agg(F.max(F.struct("size", F.sort_array("parts").alias("parts"))).alias("of")))
-    times = F.transform("of.parts", lambda x: x["times"])
+    n_chars are those of the words taken, other columns stay. Rows of equal id and
+    text get what the mix gives each of them, by source and one to one."""
+    same = W.partitionBy("doc_id", "key", "source")  # rows that are equal but for columns the mix does not know
+    taken = mix(spark, docs).where("taken > 0").withColumn("nth", F.row_number().over(same.orderBy(F.desc("taken")))) \
+        .withColumn("parts", F.sort_array("parts"))
+    times = F.transform("parts", lambda x: x["times"])
     passes = taken.select(
-        F.col("doc_id").alias("i"), F.col("key").alias("k"), F.col("of.size").alias("size"), "of.parts",
+        F.col("doc_id").alias("i"), F.col("key").alias("k"), F.col("source").alias("s"), "nth", "size", "parts",
         F.explode(F.sequence(F.lit(1).cast("long"), F.array_max(times))).alias("pass"))
-    words = passes.select("i", "k", "size", F.aggregate(
+    words = passes.select("i", "k", "s", "nth", "size", F.aggregate(
         "parts", F.lit(0).cast("long"),
         lambda sum_, x: sum_ + F.when(x["times"] >= F.col("pass"), x["words"]).otherwise(F.lit(0).cast("long"))).alias("words"))
     packed = docs.select(F.struct(*docs.columns).alias("d"), F.xxhash64("doc_id", "text").alias("k2"))
-    met = packed.join(words, F.col("d.doc_id").eqNullSafe(F.col("i")) & (F.col("k2") == F.col("k")))
+    equal = W.partitionBy("k2", "d.doc_id", "d.source").orderBy(F.xxhash64("d"))
+    met = packed.withColumn("at", F.row_number().over(equal)).join(
+        words, F.col("d.doc_id").eqNullSafe(F.col("i")) & (F.col("k2") == F.col("k")) & F.col("d.source").eqNullSafe(F.col("s"))
+        & (F.col("at") == F.col("nth")))
     text = F.when(F.col("words") == F.col("size"), F.col("d.text")).otherwise(F.array_join(
         F.slice(F.regexp_extract_all("d.text", F.lit(WORD), F.lit(0)), F.lit(1), F.col("words").cast("int")), " "))
     made = met.withColumn("t", text)

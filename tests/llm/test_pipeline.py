@@ -62,3 +62,31 @@ def test_mixing_and_encoding_stages(steps):
 
 def test_run_is_the_stages(spark, steps):
     assert corpus_pipeline.run(spark, SF).count() == len(steps[-1])
+
+
+def test_rows_of_one_id_are_judged_by_themselves(spark):
+    word = lambda k, n=40: " ".join(f"{k}w{i}" for i in range(n))
+    rows = [(1, word("a"), "en", "s", 1), (2, word("b"), "en", "s", 1), (2, word("c"), "en", "s", 1), (2, word("a"), "en", "t", 1),
+            (3, word("d") + " end", "en", "s", 1), (3, word("e"), "en", "s", 1), (4, word("d"), "en", "s", 1),
+            (None, word("f"), "en", "s", 1), (None, word("f"), "en", "s", 1), (None, word("g"), "en", None, 1), (None, word("a"), "en", "s", 1),
+            (5, None, None, None, None), (6, "", "en", "s", 0), (7, word("h"), "en", "s", 1), (7, word("h"), "en", "s", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    out = corpus_pipeline.drop_near_duplicates(spark, docs, SF).collect()
+    texts = sorted((r.text or "") for r in out)
+    assert texts == sorted(["", "", word("a"), word("b"), word("c"), word("d"), word("e"), word("f"), word("g"), word("h")])
+    assert [r.doc_id for r in out if r.text == word("a")] == [1] and [r.doc_id for r in out if r.text == word("d")] == [4]
+    assert not corpus_pipeline.drop_near_duplicates(spark, docs.limit(0), SF).collect()
+
+
+def test_mixed_rows_take_what_the_mix_plans(spark):
+    text = lambda k: " ".join(f"{k}w{i}" for i in range(90))
+    rows = [(1, text("a"), "en", "s", 1), (1, text("a"), "en", "t", 1), (1, text("a"), "en", "t", 2), (None, text("b"), "en", None, 3)]
+    rows += [(i, text(f"c{i}"), "de", "st"[i % 2], i) for i in range(10, 40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    plan = {}
+    for r in mixing.mix(spark, docs).collect():
+        plan[r.doc_id, r.source] = plan.get((r.doc_id, r.source), 0) + r.taken
+    got = dict.fromkeys(plan, 0)
+    for r in mixing.mixed_texts(spark, docs).collect():
+        got[r.doc_id, r.source] += len(r.text.split())
+    assert got == plan and sum(plan.values()) > 2000
