@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from quire.session import ensure_checkpoint_dir
 
 WORD = r"[^\x20\x09-\x0D]+"
+SPACED = r"[\x20\x09-\x0D]*" + WORD
 BLOCK = 32
 MAX_PASSES = 3
 #: 2^31 / golden ratio, made odd: i -> i * STEP mod 2^31 is the golden sequence in integers.
@@ -69,18 +70,23 @@ def source_targets(sizes: DataFrame) -> DataFrame:
 
 def shuffled_offsets(sizes: DataFrame, n_docs: int) -> DataFrame:
     """``sizes`` with ``start``: the words of the source before the document in
-    the hashed order. Buckets of that order hold about DOC_BUCKET documents."""
+    the hashed order. Buckets of that order hold about DOC_BUCKET documents;
+    rows of equal id and text are one row with a count there, so that neither a
+    repeated id nor a repeated row fills a bucket."""
     n_buckets = max(1, n_docs // DOC_BUCKET + 1)
-    keyed = sizes.select("*", F.xxhash64("doc_id").alias("h")).select(
+    equal = sizes.groupBy("doc_id", "key", "source", "size").agg(F.count("*").alias("copies"))
+    keyed = equal.select("*", F.xxhash64("key").alias("h"), (F.col("size") * F.col("copies")).alias("all")).select(
         "*", F.floor(F.shiftrightunsigned("h", 1) / F.lit(float(1 << 63)) * n_buckets).alias("bucket"))
-    totals = keyed.groupBy("source", "bucket").agg(F.sum("size").alias("total"))
+    totals = keyed.groupBy("source", "bucket").agg(F.sum("all").alias("total"))
     base = totals.select(
         F.col("source").alias("s"), F.col("bucket").alias("b"),
         (F.sum("total").over(W.partitionBy("source").orderBy("bucket")) - F.col("total")).alias("base"))
-    inside = W.partitionBy("source", "bucket").orderBy("h", "doc_id", "key").rowsBetween(W.unboundedPreceding, 0)
-    return (keyed.withColumn("upto", F.sum("size").over(inside))
+    inside = W.partitionBy("source", "bucket").orderBy("h", "doc_id", "key", "size").rowsBetween(W.unboundedPreceding, 0)
+    return (keyed.withColumn("upto", F.sum("all").over(inside))
             .join(base, F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b")))
-            .select("doc_id", "key", "source", "size", (F.col("base") + F.col("upto") - F.col("size")).alias("start")))
+            .select("doc_id", "key", "source", "size", (F.col("base") + F.col("upto") - F.col("all")).alias("start"),
+                    F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)).alias("nth"))
+            .select("doc_id", "key", "source", "size", (F.col("start") + F.col("nth") * F.col("size")).alias("start")))
 
 
 def schedule(spark: SparkSession, targets: DataFrame, n_slots: int) -> DataFrame:
@@ -148,8 +154,8 @@ def mix(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
 def mixed_texts(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """The documents of the mix, one row for every pass that takes words of a
-    document, with the text of the words taken: the whole text, or its first
-    words joined by spaces where the last block of the mix ends in it. text and
+    document, with the text of the words taken: the whole text, or the text up to
+    the end of the last word taken where the last block of the mix ends in it. text and
     n_chars are those of the words taken, other columns stay. Rows of equal id and
     text get what the mix gives each of them, by source and one to one."""
     same = W.partitionBy("doc_id", "key", "source")  # rows that are equal but for columns the mix does not know
@@ -168,7 +174,7 @@ def mixed_texts(spark: SparkSession, docs: DataFrame) -> DataFrame:
         words, F.col("d.doc_id").eqNullSafe(F.col("i")) & (F.col("k2") == F.col("k")) & F.col("d.source").eqNullSafe(F.col("s"))
         & (F.col("at") == F.col("nth")))
     text = F.when(F.col("words") == F.col("size"), F.col("d.text")).otherwise(F.array_join(
-        F.slice(F.regexp_extract_all("d.text", F.lit(WORD), F.lit(0)), F.lit(1), F.col("words").cast("int")), " "))
+        F.slice(F.regexp_extract_all("d.text", F.lit(SPACED), F.lit(0)), F.lit(1), F.col("words").cast("int")), ""))
     made = met.withColumn("t", text)
     new = {"text": F.col("t"), "n_chars": F.length("t").cast("long")}
     return made.select(*[new.get(c, F.col(f"d.`{c}`")).alias(c) for c in docs.columns])
