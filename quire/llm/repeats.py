@@ -17,8 +17,9 @@ string. Occurrences with equal key and equal context are one entry of the
 dictionary; an entry met twice is repeated as a whole, whatever the size of the
 group, and only keys with several different entries go on.
 
-Suffix arrays: these entries are dealt out by key. The reversed left parts of
-the entries of a task are sorted (suffix array of the dictionary), and so are
+Suffix arrays: these entries are dealt out by key and worked on in runs of whole
+keys, so that a task holds few at a time. The reversed left parts of the entries
+of a run are sorted (suffix array of the dictionary), and so are
 the right parts (suffix array of the parse), each with the lengths of common
 prefixes between neighbours. A string with l bytes on the left is repeated if
 and only if another entry has the same class at depth l on the left and at depth
@@ -29,7 +30,8 @@ Starts without a trigger in reach (periodic text) are counted by the hash of
 their string as well, repeats within a text before they leave the task.
 
 Rows are told apart by a 64-bit hash of doc_id and text, strings by 64-bit
-hashes of key and context together (128 bits).
+hashes of key and context together (128 bits), those out of a trigger's reach by
+one 64-bit hash.
 
 Defined cases: a null text is empty; texts shorter than LENGTH stay whole; the
 bytes left may hold parts of characters, which ``kept_text`` drops;
@@ -222,11 +224,30 @@ def repeated_starts(lefts: list[bytes], rights: list[bytes], starts: np.ndarray)
     return found
 
 
+def _whole_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Tables of HOT entries or more, fewer than twice as many and a batch, that
+    hold all entries of their keys; the batches are sorted by key and no key has
+    more than HOT."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.num_rows for b in held) > HOT:
+            table = pa.Table.from_batches(held)
+            key = table.column("key").to_numpy()
+            last = int(np.searchsorted(key, key[-1]))  # the last key may go on
+            if last:
+                yield table.slice(0, last)
+            held = table.slice(last).combine_chunks().to_batches()
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def _examined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    parts = list(batches)
-    if not parts:
-        return
-    table = pa.Table.from_batches(parts)
+    for table in _whole_keys(batches):
+        yield from _repeated_once(table)
+
+
+def _repeated_once(table: pa.Table) -> Iterator[pa.RecordBatch]:
     lefts, rights = table.column("left").to_pylist(), table.column("right").to_pylist()
     found = repeated_starts(lefts, rights, table.column("starts").to_numpy())
     once = table.column("n").to_numpy() == 1  # the others are known to be repeated
@@ -283,7 +304,7 @@ def covers(spark: SparkSession, docs: DataFrame) -> DataFrame:
     contexts_path = scratch_path(spark, "contexts")
     texts.join(by_text, "row").mapInArrow(_contexts, CONTEXT).write.parquet(contexts_path)
     contexts = spark.read.schema(CONTEXT).parquet(contexts_path)
-    examined = (contexts.where("not hot").repartition("key").mapInArrow(_examined, "row long, start long, stop long"))
+    examined = (contexts.where("not hot").repartition("key").sortWithinPartitions("key").mapInArrow(_examined, "row long, start long, stop long"))
     strings = contexts.where("hot").mapInArrow(_strings, "key long, string long, row long, start long, n long")
     often = strings.groupBy("key", "string").agg(F.count("*").alias("m")).where("m > 1").select("key", "string")
     hot = strings.where("n = 1").join(often, ["key", "string"]).select("row", "start", (F.col("start") + LENGTH).alias("stop"))

@@ -2,6 +2,7 @@ import hashlib
 import random
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 
 from quire.llm import repeats
@@ -71,6 +72,16 @@ def test_hot_keys_are_counted_by_string(spark, monkeypatch):
     assert found(spark, rows) == brute(rows)
 
 
+def test_runs_hold_whole_keys(monkeypatch):
+    monkeypatch.setattr(repeats, "HOT", 10)
+    keys = sorted(random.Random(4).choices(range(-30, 30), k=200)) + [90] * 10
+    batches = pa.table({"key": keys}).to_batches(max_chunksize=7)
+    runs = [t.column("key").to_pylist() for t in repeats._whole_keys(iter(batches))]
+    assert [k for run in runs for k in run] == keys and len(runs) > 8 and max(map(len, runs)) <= 2 * 10 + 7
+    assert all(a[-1] < b[0] for a, b in zip(runs, runs[1:]))
+    assert list(repeats._whole_keys(iter([]))) == []
+
+
 def test_edges(spark, edge_docs, edge_rows, no_docs):
     out = repeats.remove_repeats(spark, edge_docs, ("lang", "size")).collect()
     got = sorted((str(r.doc_id), r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(r.kept).hexdigest()) for r in out)
