@@ -11,8 +11,10 @@ The scorer is a list of rules, each a word or the beginning of a word with the
 share of toxic documents among those that hold it. Rules are learned on at
 most SAMPLE labelled documents (those of smallest hash of doc_id), one after
 the other: the next is the one that covers most of the toxic documents, each of
-which counts a quarter as much after every rule that it meets. Documents that are
-copies of one another count once. The score is the largest share
+which counts a quarter as much after every rule that it meets; of equal ones the
+smallest hash. Candidates are the 50 * RULES words and beginnings that most toxic
+documents of the sample hold (of equal counts the smallest hash). Documents that
+are copies of one another count once. The score is the largest share
 among the rules that a text meets, or the rate of the rest where it meets none.
 
 Sizes: the language model has SYMBOLS^4 numbers and the rules are at most

@@ -1,3 +1,5 @@
+import itertools
+import math
 import random
 import zlib
 
@@ -36,6 +38,67 @@ def test_restores(channel, token, plain):
     assert channel.restore(token) == plain
 
 
+def path_score(channel, letters, cost):
+    """Score of one reading: letters in words, spaces in a row as one, a space at the end."""
+    size, state, total = toxicity.SYMBOLS, (0, 0, 0), cost
+    for ch in letters + " ":
+        c = ord(ch) - 96 if "a" <= ch <= "z" else 27 if ch != " " else 0
+        if c or any(state):
+            total += channel.model[((state[0] * size + state[1]) * size + state[2]) * size + c]
+        state = (*state[1:], c) if c else (0, 0, 0)
+    return total
+
+
+@pytest.mark.parametrize("token", ["1d10t", "id!1ot", "m0rr0n", "w*rth", "i.d-i o", "a$$", "66 7", "m # r o n", "bb..ee", "é1l", "|+|", "%", "  a"])
+def test_decodes_the_best_of_all_readings(channel, token):
+    readings = {}
+    for path in itertools.product(*channel.slots(token)):
+        letters = "".join(x for x, _ in path)
+        readings[letters] = max(readings.get(letters, -1e9), path_score(channel, letters, sum(c for _, c in path)))
+    got = channel.decode(channel.slots(token))
+    assert got in readings and readings[got] == pytest.approx(max(readings.values()), abs=1e-6)
+
+
+def wilson(k, n, z=1.64):
+    p, n = k / max(n, 1), max(n, 1)
+    return (p + z * z / (2 * n) - z * math.sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n)
+
+
+def test_rules_are_those_of_a_plain_greedy(spark, corpus):
+    docs, labels = corpus
+    model = spark.sparkContext.broadcast(toxicity.character_model(docs).tobytes())
+    names, shares, rest = toxicity.learn_rules(spark, docs, labels, model)
+    free = labels.where(~toxicity.held_out(toxicity.F.col("doc_id")))
+    rows = sorted(toxicity.labelled_features(docs.join(free, "doc_id"), model).collect(), key=lambda r: r.doc_id)
+    first = {}
+    for r in rows:
+        first.setdefault((r["copy"], r.toxic), r)
+    rows, holds = list(first.values()), {}
+    for i, r in enumerate(rows):
+        for f in r.features:
+            holds.setdefault(f, set()).add(i)
+    weight, picked, want = [1.0] * len(rows), [], []
+    while True:
+        best = (0.0, 0, 0.0)
+        for f in sorted(holds):
+            k, n = sum(rows[i].toxic for i in holds[f]), len(holds[f])
+            left = sum(weight[i] for i in holds[f] if rows[i].toxic)
+            if f in picked or k < toxicity.SUPPORT or 2 * k < n or left < toxicity.SUPPORT / 2 or wilson(k, n) < toxicity.LEAST_SHARE:
+                continue
+            new = wilson(left, left + n - k)
+            if new >= toxicity.LEAST_SHARE and left * new > best[0] + 1e-12:
+                best = (left * new, f, wilson(k, n))
+        if not best[0]:
+            break
+        picked.append(best[1])
+        want.append(best[2])
+        for i in holds[best[1]]:
+            weight[i] /= 4
+    met = [i for i in range(len(rows)) if weight[i] == 1]
+    assert len(picked) >= 3 and names.tolist() == picked and shares.tolist() == pytest.approx(want)
+    assert rest == pytest.approx(sum(rows[i].toxic for i in met) / max(len(met), 1))
+
+
 def test_model_is_a_distribution(corpus):
     p = np.exp(toxicity.character_model(corpus[0]).reshape(-1, toxicity.SYMBOLS))
     assert np.allclose(p.sum(1), 1, atol=1e-4)
