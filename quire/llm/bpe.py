@@ -30,6 +30,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 
 from quire.llm.arrow import slices
+from quire.session import ship_package
 
 SPACE = r"\t-\r \x85\xa0" + "".join(map(chr, (0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 SPACES = regex.compile(f"[{SPACE}]+")
@@ -240,6 +241,7 @@ def encode(spark: SparkSession, docs: DataFrame, vocabulary: str | None = None,
            decoded: bool = True) -> DataFrame:
     """``docs`` with n_tokens, ids (binary: little-endian unsigned 32-bit
     integers) and, if asked for, decoded: the text that the ids stand for."""
+    ship_package(spark)
     with open(vocabulary or default_vocabulary(), "rb") as f:
         spec = spark.sparkContext.broadcast(f.read())
     made = ["n_tokens", "ids", *["decoded"] * decoded]

@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from quire.llm import words as ws
 from quire.llm.arrow import joined, slices
+from quire.session import ship_package
 
 SAMPLE = 4000
 CONTENT_SHARE = 0.5
@@ -214,6 +215,7 @@ def _steps(doc: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Field:
     """The field from at most ``sample`` labelled documents; their lines, as
     feature numbers, are all that the driver sees."""
+    ship_package(docs.sparkSession)
     chosen = (labels.where("quality is not null").groupBy("doc_id").agg(F.max("quality").alias("good"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select(F.col("good").cast("int"), "text")
@@ -249,6 +251,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Field:
 
 def judge(spark: SparkSession, docs: DataFrame, field: Field, share: float = CONTENT_SHARE) -> DataFrame:
     """Base figures, content share and verdict of every document."""
+    ship_package(spark)
     model = spark.sparkContext.broadcast(pickle.dumps((field.lines, field.steps)))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

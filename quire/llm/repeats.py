@@ -50,7 +50,7 @@ from pyspark.sql import functions as F
 
 from quire.llm import words as ws
 from quire.llm.arrow import joined, slices
-from quire.session import ensure_checkpoint_dir, scratch_path
+from quire.session import ensure_checkpoint_dir, scratch_path, ship_package
 
 LENGTH, WINDOW, RADIUS, KEY = 200, 8, 24, 64
 LEFT = LENGTH - KEY
@@ -343,6 +343,7 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, carry: tuple[str, ...]
     kept_text) of every row; kept is the bytes left, kept_text the whole
     characters among them."""
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     kept = ["doc_id", *carry]
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), *carry)
     kinds = dict(texts.dtypes)

@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from quire.llm import words as ws
 from quire.llm.arrow import joined, slices
-from quire.session import ensure_checkpoint_dir, scratch_path
+from quire.session import ensure_checkpoint_dir, scratch_path, ship_package
 
 SAMPLE, RULES = 10_000, 400
 #: A rule needs so many toxic documents, and this lower bound of its share.
@@ -364,6 +364,7 @@ def learn_rules(spark: SparkSession, docs: DataFrame, labels: DataFrame, model)
 def scored(spark: SparkSession, docs: DataFrame, labels: DataFrame, kept: list[str]) -> DataFrame:
     """``kept`` columns of ``docs`` and ``score``, of every document."""
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     texts = docs.select("doc_id", F.col("text").cast("string"))
     model = spark.sparkContext.broadcast(character_model(texts).tobytes())
     names, shares, rest = learn_rules(spark, texts, labels.select("doc_id", "toxic"), model)

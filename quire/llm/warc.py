@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.llm.arrow import slices
-from quire.session import scratch_path
+from quire.session import scratch_path, ship_package
 
 EOL, END = "\r\n", "\r\n\r\n"
 RECORDS = 512
@@ -225,6 +225,7 @@ def merge_index(runs: DataFrame, partitions: int) -> DataFrame:
 
 def capture_history(spark: SparkSession, pages: DataFrame, least: int = 0, captures_per_range: int = 100_000) -> DataFrame:
     """Writes the pages as archives, reads them back and merges the runs."""
+    ship_package(spark)
     archive, index = scratch_path(spark, "warc"), scratch_path(spark, "runs")
     write(pages, archive, least)
     read_runs(spark, archive).write.parquet(index)

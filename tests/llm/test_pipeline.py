@@ -1,12 +1,13 @@
 import hashlib
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from quire.llm import mixing
+from quire.llm import mixing, repeats, toxicity
 
 SF = "/root/testdata/sf0.001"
 
@@ -36,13 +37,62 @@ def test_near_duplicates_stage(steps):
     assert set(map(str, after.doc_id)) == kept and len(after) == len(kept)
 
 
+def left_texts(docs):
+    """The texts without repeated strings by definition; characters that are cut apart go."""
+    raw = {i: t.encode() for i, t in zip(docs.doc_id, docs.text)}
+    count = Counter(b[p:p + repeats.LENGTH] for b in raw.values() for p in range(len(b) - repeats.LENGTH + 1))
+    out = {}
+    for i, b in raw.items():
+        pieces, at = [], 0
+        for p in range(len(b) - repeats.LENGTH + 1):
+            if count[b[p:p + repeats.LENGTH]] > 1:
+                if p > at:
+                    pieces.append(b[at:p])
+                at = p + repeats.LENGTH
+        out[i] = "".join(x.decode(errors="ignore") for x in [*pieces, b[at:]])
+    return out
+
+
+def test_toxicity_stage(spark):
+    """At sf0.01, as sf0.001 has too few toxic labels for a rule."""
+    folder = SF.replace("0.001", "0.01")
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    low = {r.doc_id for r in toxicity.score(spark, docs, labels).where("predicted = 0").collect()}
+    after = corpus_pipeline.drop_toxic(spark, docs, folder).collect()
+    assert {r.doc_id: r.text for r in after} == {i: texts[i] for i in low} and len(after) == len(low)
+    truth = {r.doc_id: r.toxic for r in labels.collect()}
+    share = lambda kind: np.mean([i in low for i in texts if truth.get(i) == kind])
+    assert share(0) >= 0.97 and share(1) <= 0.5
+
+
+def test_stages_on_edge_rows(spark, edge_docs, edge_rows, no_docs):
+    """Null and repeated ids, empty and long texts, clashing names, no rows: defined results of each stage."""
+    for docs in (edge_docs, no_docs):
+        rows = len(edge_rows) if docs is edge_docs else 0
+        safe = corpus_pipeline.drop_toxic(spark, docs, SF)
+        assert safe.columns == corpus_pipeline.COLUMNS and safe.count() == rows  # nothing in them is toxic
+        apart = corpus_pipeline.drop_near_duplicates(spark, safe, SF)
+        left = sorted((r.text is None, r.text or "", str(r.doc_id)) for r in apart.collect())
+        assert apart.columns == corpus_pipeline.COLUMNS and len(left) == (rows and 13)  # two copies of the first text and the one with a tail go
+        cut = corpus_pipeline.drop_repeated_passages(spark, apart, SF)
+        assert cut.columns == corpus_pipeline.COLUMNS and cut.count() == len(left)
+        mixed = corpus_pipeline.mix_sources(spark, cut, SF)
+        assert mixed.columns == corpus_pipeline.COLUMNS and all(r.text.split() for r in mixed.collect())
+        done = corpus_pipeline.encode(spark, docs, SF).collect()
+        assert len(done) == rows and all(4 * r.n_tokens == len(r.ids) for r in done)
+        assert all((r.n_tokens == 0) == (not (t or "").split()) for r, t in [(r, dict((x[0], x[1]) for x in edge_rows)[r.doc_id])
+                   for r in done if r.doc_id in (3, 4, 5, 6, 7)])
+
+
 def test_repeated_passages_stage(steps):
     from test_repeats import brute
     before, after = steps[2], steps[3]
+    assert dict(zip(after.doc_id, after.text)) == left_texts(before)
     want = {i: h for i, _, _, _, h in brute(list(zip(before.doc_id, before.text)))}
-    got = {str(i): hashlib.sha256((t or "").encode()).hexdigest() for i, t in zip(after.doc_id, after.text)}
-    same = sum(want[i] == h for i, h in got.items())
-    assert set(want) == set(got) and same >= 0.95 * len(got)  # the rest lost parts of characters
+    whole = {str(i): hashlib.sha256(t.encode()).hexdigest() for i, t in zip(after.doc_id, after.text)}
+    assert set(want) == set(whole) and sum(want[i] == h for i, h in whole.items()) >= 0.95 * len(want)  # characters cut apart
+    assert (after.n_chars == after.text.map(len)).all()
 
 
 def test_mixing_and_encoding_stages(steps):
