@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quire.functions.batches import slices
 from quire.session import ship_package
 
 # Fixed values of this tokenizer.
@@ -34,6 +35,8 @@ SPECIALS = ("<unk>", "<s>", "</s>")
 PRE_TOKEN = r"[^\s་།]*[་།]+|[^\s་།]+"
 UNK_PENALTY = 10.0
 MAX_VOCAB_BROADCAST = 2_000_000
+#: Bytes of text whose words are counted together.
+WORD_BYTES = 8 << 20
 
 
 def pre_tokens(text: str) -> list[str]:
@@ -204,7 +207,7 @@ def word_counts(df: DataFrame, text_col: str = "text") -> DataFrame:
     def run(batches):
         import pyarrow as pa
         import pyarrow.compute as pc
-        for rb in batches:
+        for rb in slices(batches, text_col, WORD_BYTES):
             vc = pc.value_counts(arrow_pre_tokens(rb.column(text_col)))
             yield pa.RecordBatch.from_arrays([vc.field("values"), pc.cast(vc.field("counts"), pa.float64())],
                                              names=["word", "freq"])
@@ -594,7 +597,7 @@ def _tokenise_fn(bc, text_col, passthrough, max_len, bos_id, eos_id):
         import pyarrow as pa
         logp, ids, unk_id, unk_logp = bc.value
         memo: dict = {}
-        for rb in batches:
+        for rb in slices(batches, text_col):
             texts = rb.column(text_col).to_pylist()
             out = []
             for t in texts:
@@ -667,7 +670,7 @@ def decode_unigram_table(df: DataFrame, vocab: DataFrame, ids_col: str = "input_
         import pyarrow.compute as pc
         pieces = pa.array(bc.value, pa.large_string())
         outside = len(pieces) - 1
-        for rb in batches:
+        for rb in slices(batches, ids_col):
             ids = rb.column(ids_col)
             lens = np.where(np.asarray(ids.is_valid()), pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False), 0)
             flat = pc.fill_null(pc.list_flatten(ids), outside).to_numpy(zero_copy_only=False)
