@@ -386,9 +386,27 @@ def digamma(x: float) -> float:
     return acc + math.log(x) - 0.5 * inv - inv2 * (1.0 / 12 - inv2 * (1.0 / 120 - inv2 * (1.0 / 252 - inv2 / 240)))
 
 
+#: A share of all counts below this is no count: it would not survive as a probability.
+LEAST_SHARE = 1e-290
+
+
+def _present(counts: dict, chars: set) -> dict:
+    """Counts that have a probability as a float. Between two good pieces a
+    third's count can shrink by powers from step to step; on its way to zero its
+    share of a large total is zero first, which has no logarithm. Such a count
+    is dropped as a zero is, and a character's starts again at 1e-3, so that
+    every character stays covered."""
+    least = LEAST_SHARE * sum(counts.values())
+    kept = {p: c for p, c in counts.items() if c > least}
+    for ch in chars:
+        kept.setdefault(ch, 1e-3)
+    return kept
+
+
 def _m_step(counts: dict, prior: str) -> dict:
     """Maximum likelihood (``prior="none"``): log(c / total). Bayesian
-    (``prior="digamma"``): psi(c) - psi(total), which shrinks rare pieces."""
+    (``prior="digamma"``): psi(c) - psi(total), which shrinks rare pieces.
+    Expects what :func:`_present` leaves."""
     total = sum(counts.values())
     if prior == "digamma":
         lt = digamma(total)
@@ -563,9 +581,7 @@ def train_unigram(df: DataFrame, vocab_size: int, text_col: str = "text", max_le
             counts = {names[r["at"] - 1]: r["c"] for r in sums if r["at"]}
             tilt = -sum(r["c"] for r in sums if not r["at"]) / characters
             bc.unpersist()
-            for ch in chars:                      # every character stays covered
-                counts.setdefault(ch, 1e-3)
-            logp = _m_step(counts, prior)
+            logp = _m_step(_present(counts, chars), prior)
         if len(logp) <= target:
             break
         keep_n = max(target, min(int(len(logp) * shrink), len(logp) - 1))

@@ -3,6 +3,8 @@ import itertools
 import math
 import random
 
+import pytest
+
 from quire.operators import unigram as ug
 
 
@@ -171,3 +173,12 @@ def test_long_pieces_are_learned_and_decoded(spark):
     assert back[63] == "odd <unk>" and "<unk>" in back[60]
     loose = spark.createDataFrame([(1, [0, 999, -1]), (2, None)], "i long, input_ids array<int>")
     assert [r.text for r in ug.decode_unigram_table(loose, v).orderBy("i").collect()] == ["<unk>" * 3, ""]
+
+
+@pytest.mark.parametrize("prior", ["none", "digamma"])
+def test_counts_that_underflow_in_a_large_total_are_no_counts(prior):
+    counts = {"a": 1e9, "b": 5e-324, "ab": 3e8, "ba": 1e-316, "c": 1e-300}
+    logp = ug._m_step(ug._present(counts, {"a", "b", "c"}), prior)
+    assert set(logp) == {"a", "b", "c", "ab"}
+    assert all(math.exp(v) > 0 or prior == "digamma" for v in logp.values())
+    assert ug._present({"a": 2.0, "ab": 1e-9}, {"a", "z"}) == {"a": 2.0, "ab": 1e-9, "z": 1e-3}
