@@ -136,7 +136,7 @@ def mix(spark: SparkSession, docs: DataFrame) -> DataFrame:
     sizes = sized(docs).checkpoint()
     n_docs, total = sizes.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
     targets = source_targets(sizes).checkpoint()
-    offsets = shuffled_offsets(sizes, n_docs)
+    offsets = shuffled_offsets(sizes, n_docs).checkpoint()  # read twice: one small plan instead of two copies in a large one
     slots = schedule(spark, targets, -(-total // BLOCK))
     times = slots.groupBy("source", "block").agg(F.count("*").alias("times"))
     cut = pieces(offsets)

@@ -110,3 +110,11 @@ def test_repeated_rows_do_not_fill_a_bucket(spark, monkeypatch):
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
     starts = sorted((r.start, r.start + r["size"]) for r in mixing.shuffled_offsets(mixing.sized(docs), len(rows)).collect())
     assert len(starts) == 400 and starts[0][0] == 0 and all(a[1] == b[0] for a, b in zip(starts, starts[1:]))
+
+
+def test_offsets_are_worked_out_once(spark):
+    """Their windows stand in a plan of their own, not twice in that of the mix."""
+    docs = spark.createDataFrame([(1, "a b c", "x"), (2, "d e", "y")], "doc_id long, text string, source string")
+    plan = mixing.mix(spark, docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" in plan
+    assert "xxhash64" not in plan
