@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from quire.llm import words as ws
 from quire.llm.arrow import joined, slices
-from quire.session import ensure_checkpoint_dir, scratch_path, ship_package
+from quire.session import ensure_checkpoint_dir, frees_shuffles, scratch_path, ship_package
 
 T, BANDS, ROWS, FINE = 128, 32, 4, 512
 #: Standard deviations of the estimate that a pair worth comparing may lie below the likeness asked for.
@@ -230,6 +230,7 @@ def _apart(percent: int):
     return work
 
 
+@frees_shuffles
 def near_duplicates(spark: SparkSession, docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row."""
     ensure_checkpoint_dir(spark)

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quire.session import ensure_checkpoint_dir
+from quire.session import ensure_checkpoint_dir, frees_shuffles
 
 WORD = r"[^\x20\x09-\x0D]+"
 SPACED = r"[\x20\x09-\x0D]*" + WORD
@@ -128,6 +128,7 @@ def pieces(offsets: DataFrame) -> DataFrame:
     return cut.select("source", "block", "start", (low - F.col("start")).alias("first"), (high - low).alias("words"))
 
 
+@frees_shuffles
 def mix(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """One row per document: (doc_id, key, source, size, taken, parts,
     source_size, target). ``parts`` are the pieces taken (first, words, times);

@@ -50,7 +50,7 @@ from pyspark.sql import functions as F
 
 from quire.llm import words as ws
 from quire.llm.arrow import joined, slices
-from quire.session import ensure_checkpoint_dir, scratch_path, ship_package
+from quire.session import ensure_checkpoint_dir, frees_shuffles, scratch_path, ship_package
 
 LENGTH, WINDOW, RADIUS, KEY = 200, 8, 24, 64
 LEFT = LENGTH - KEY
@@ -338,6 +338,7 @@ def _cut(kept: list[str]):
 MADE = ["n_bytes", "n_removed", "n_spans", "kept", "kept_text"]
 
 
+@frees_shuffles
 def remove_repeats(spark: SparkSession, docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, the columns to carry, n_bytes, n_removed, n_spans, kept,
     kept_text) of every row; kept is the bytes left, kept_text the whole

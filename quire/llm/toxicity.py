@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from quire.llm import words as ws
 from quire.llm.arrow import joined, slices
-from quire.session import ensure_checkpoint_dir, scratch_path, ship_package
+from quire.session import ensure_checkpoint_dir, frees_shuffles, scratch_path, ship_package
 
 SAMPLE, RULES = 10_000, 400
 #: A rule needs so many toxic documents, and this lower bound of its share.
@@ -361,6 +361,7 @@ def learn_rules(spark: SparkSession, docs: DataFrame, labels: DataFrame, model)
     return names[picked], np.array(shares), float(min(rest, 0.2))
 
 
+@frees_shuffles
 def scored(spark: SparkSession, docs: DataFrame, labels: DataFrame, kept: list[str]) -> DataFrame:
     """``kept`` columns of ``docs`` and ``score``, of every document."""
     ensure_checkpoint_dir(spark)
