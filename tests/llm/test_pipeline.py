@@ -140,3 +140,17 @@ def test_mixed_rows_take_what_the_mix_plans(spark):
     for r in mixing.mixed_texts(spark, docs).collect():
         got[r.doc_id, r.source] += len(r.text.split())
     assert got == plan and sum(plan.values()) > 2000
+
+
+def test_encoding_goes_both_ways(spark, steps):
+    """The stage decodes as op5 does: the tokens of the ids, and what op5 gives for the same texts."""
+    import json
+
+    from quire.llm import bpe
+    mixed, encoded = steps[4:]
+    with open(bpe.default_vocabulary(), "rb") as f:
+        name = {i: t for t, i in json.load(f)["model"]["vocab"].items()}
+    assert all(x == " ".join(name[i] for i in np.frombuffer(ids, "<u4").tolist())
+               for ids, x in zip(encoded.ids, encoded.decoded) if "<|" not in x)
+    docs = spark.createDataFrame(list(enumerate(mixed.text)), "doc_id long, text string")
+    assert sorted(encoded.decoded) == sorted(r.decoded for r in bpe.encode(spark, docs).collect()) and any(encoded.decoded)
