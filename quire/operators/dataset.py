@@ -17,8 +17,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quire.operators.index import DEFAULT_BUCKET_ROWS, dense_index, md5_key
+from quire.operators.index import DEFAULT_BUCKET_ROWS, dense_index, keyed_index, md5_key
 from quire.schemas import same_schema
+from quire.session import stored
 
 PREFIX_HEX = 4
 MAX_BROADCAST_BUCKET_ROWS = 4_000_000
@@ -150,25 +151,35 @@ def batch(df: DataFrame, size: int, order: Sequence[str], ragged: str = "fail",
         raise ValueError("ragged must be 'fail' or 'first'")
     if size < 1:
         raise ValueError("batch size must be at least 1")
-    cols = list(cols)
-    idx = dense_index(df.select(*order, *cols), order=list(order), bucket=bucket, bucket_rows=bucket_rows)
-    g = (idx.withColumn("batch_id", F.floor(F.col("idx") / size).cast("long"))
-            .groupBy("batch_id")
-            .agg(F.array_sort(F.collect_list(F.struct("idx", *cols))).alias("_r")))
+    cols, n_cols = list(cols), len(cols)
+    # read three times below: written once, it is made once and its shuffles are gone
+    df = stored(df.sparkSession, df.select(*dict.fromkeys([*order, *cols])), "rows")
+    # lengths are taken before anything is moved, and every column is gathered by itself, so that columns nobody asks for stay behind
+    sized = df.select(*order, *cols, *[F.size(c).alias(f"_n{i}") for i, c in enumerate(cols)])
+    idx, keys = keyed_index(sized, order=list(order), bucket=bucket, bucket_rows=bucket_rows)
+    # most batches lie within a bucket, whose rows are together; the few that do not are put together afterwards
+    parts = idx.withColumn("batch_id", F.floor(F.col("idx") / size).cast("long")).groupBy(*keys, "batch_id").agg(
+        F.count(F.lit(1)).alias("_rows"),
+        *[f(f"_n{i}").alias(f"_{f.__name__}{i}") for i in range(n_cols) for f in (F.min, F.max)],
+        *[F.collect_list(F.struct("idx", F.col(c).alias("v"))).alias(f"_v{i}") for i, c in enumerate(cols)])
+    whole = parts.where(F.col("_rows") == size).drop(*keys)
+    cut = parts.where(F.col("_rows") < size).groupBy("batch_id").agg(
+        F.sum("_rows").alias("_rows"),
+        *[f(f"_{f.__name__}{i}").alias(f"_{f.__name__}{i}") for i in range(n_cols) for f in (F.min, F.max)],
+        *[F.flatten(F.collect_list(f"_v{i}")).alias(f"_v{i}") for i in range(n_cols)])
     is_ragged = F.lit(False)
-    for c in cols:
-        lens = F.transform(F.transform("_r", _field(c)), lambda x: F.size(x))
-        is_ragged = is_ragged | (F.array_min(lens) != F.array_max(lens))
-    out = [F.col("batch_id"), F.size("_r").cast("int").alias("rows"), is_ragged.alias("ragged")]
-    for c in cols:
-        stacked = F.transform("_r", _field(c))
+    for i in range(n_cols):
+        is_ragged = is_ragged | (F.col(f"_min{i}") != F.col(f"_max{i}"))
+    out = [F.col("batch_id"), F.col("_rows").cast("int").alias("rows"), is_ragged.alias("ragged")]
+    for i, c in enumerate(cols):
+        stacked = F.transform(F.array_sort(f"_v{i}"), _field("v"))
         if ragged == "first":
-            stacked = F.when(is_ragged, F.array_repeat(F.col("_r")[0][c], F.size("_r"))).otherwise(stacked)
+            stacked = F.when(is_ragged, F.array_repeat(stacked[0], F.col("_rows").cast("int"))).otherwise(stacked)
         else:
             stacked = F.when(is_ragged, F.raise_error(F.lit("ragged batch: rows of unequal length"))
                              ).otherwise(stacked)
         out.append(stacked.alias(c))
-    return g.select(*out)
+    return whole.unionByName(cut).select(*out)
 
 
 def collate(df: DataFrame, size: int, order: Sequence[str], ragged: str = "fail",

@@ -26,11 +26,11 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quire.session import ensure_checkpoint_dir, scratch_path, ship_package
+from quire.session import ensure_checkpoint_dir, frees_shuffles, scratch_path, ship_package
 
 DEFAULT_BUCKET_ROWS = 4096
 FANOUT = 10_000
@@ -56,6 +56,16 @@ def dense_index(df: DataFrame, order: Sequence[str], group: Sequence[str] = (),
     non-decreasing along it (default: see :func:`default_bucket`). Without a
     group the bucket totals are written once (``checkpoint``) and summed up a
     tree with ``fanout`` children a node."""
+    j, keys = keyed_index(df, order, group, size, bucket, bucket_rows, idx_col, offset_col, group_rows_col, group_size_col, fanout)
+    return j.drop(*keys)
+
+
+def keyed_index(df: DataFrame, order: Sequence[str], group: Sequence[str] = (), size: Column | str | None = None,
+                bucket: Sequence[Column] | None = None, bucket_rows: int = DEFAULT_BUCKET_ROWS, idx_col: str = "idx",
+                offset_col: str | None = None, group_rows_col: str | None = None, group_size_col: str | None = None,
+                fanout: int = FANOUT) -> tuple[DataFrame, list[str]]:
+    """:func:`dense_index` with the columns, named second, by which its rows lie
+    together: a step that groups by these needs no shuffle."""
     group = list(group)
     order = list(order)
     bucket = list(bucket) if bucket is not None else default_bucket(order, bucket_rows)
@@ -95,7 +105,7 @@ def dense_index(df: DataFrame, order: Sequence[str], group: Sequence[str] = (),
     if offset_col:
         running = F.sum("_qsz").over(inner.rowsBetween(Window.unboundedPreceding, Window.currentRow))
         j = j.withColumn(offset_col, F.col("_qsb") + running - F.col("_qsz"))
-    return j.drop(*bcols, *keys, "_qsz", "_qrb", "_qsb")
+    return j.drop(*bcols, "_qsz", "_qrb", "_qsb"), keys
 
 
 def tree_bases(totals: DataFrame, order: list[Column], fanout: int = FANOUT) -> DataFrame:
@@ -106,12 +116,18 @@ def tree_bases(totals: DataFrame, order: list[Column], fanout: int = FANOUT) ->
     spark = totals.sparkSession
     ensure_checkpoint_dir(spark)
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    dealt = totals.repartitionByRange(parts, *order).withColumn("_up", F.spark_partition_id().cast("long")).checkpoint()
+    dealt = _written(spark, totals.repartitionByRange(parts, *order).withColumn("_up", F.spark_partition_id().cast("long")))
     rows, sizes = dealt.agg(F.sum("_qn"), F.sum("_qs")).first()
     return _sum_up(dealt, order, parts, fanout).withColumns(
         {"_all_qn": F.lit(rows or 0).cast("long"), "_all_qs": F.lit(sizes or 0).cast("long")})
 
 
+@frees_shuffles
+def _written(spark: SparkSession, totals: DataFrame) -> DataFrame:
+    """The totals as a table; the shuffles that led to them are not needed any more."""
+    return totals.select("*").checkpoint()
+
+
 def _sum_up(nodes: DataFrame, order: list[Column], parents: int, fanout: int, level: int = 0) -> DataFrame:
     before = Window.partitionBy("_up").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     here = nodes.withColumn("_qrb", F.coalesce(F.sum("_qn").over(before), F.lit(0))) \

@@ -138,3 +138,30 @@ def test_collate_by_schema(spark):
     own = ds.collate(spark.createDataFrame([(1, 2, 7), (2, 3, None)], "i long, label int, labels long"), 1, ["i"]).orderBy("batch_id")
     assert [r.labels for r in own.collect()] == [[7], [3]]
     assert not ds.collate(df.limit(0), 4, ["i"]).collect()
+
+
+@pytest.mark.parametrize("size, bucket_rows, n", [(3, 5, 41), (4, 2, 9), (12, 4096, 30), (5, 5, 0), (7, 3, 7)])
+def test_batches_over_buckets_are_those_of_the_order(spark, size, bucket_rows, n):
+    """Batches within a bucket, over two and over many of them, nulls and unequal lengths."""
+    rows = [(f"s{i % 2}" if i % 5 else None, i, None if i % 11 == 4 else [i] * (1 + (i % 9 == 7)), [i, i]) for i in range(n)]
+    df = spark.createDataFrame(rows, "source string, i long, input_ids array<long>, labels array<long>").repartition(4)
+    got = {r.batch_id: r for r in ds.batch(df, size, ["source", "i"], ragged="first", cols=("input_ids", "labels"), bucket_rows=bucket_rows).collect()}
+    rows.sort(key=lambda r: (r[0] is not None, r[0] or "", r[1]))
+    assert sorted(got) == list(range(-(-n // size)))
+    for b, r in got.items():
+        some = rows[b * size:(b + 1) * size]
+        lens = {len(x[2]) for x in some if x[2] is not None}
+        ragged = len(lens) > 1
+        assert r.rows == len(some) and bool(r.ragged) == ragged
+        assert r.input_ids == ([some[0][2]] * len(some) if ragged else [x[2] for x in some])
+        assert r.labels == ([some[0][3]] * len(some) if ragged else [x[3] for x in some])
+
+
+def test_batch_moves_rows_once_and_only_what_is_asked_for(spark):
+    rows = [("s", i, [i] * 3, [i] * 3) for i in range(60)]
+    df = spark.createDataFrame(rows, "source string, i long, input_ids array<long>, labels array<long>")
+    out = ds.batch(df, 7, ["source", "i"], cols=("input_ids", "labels"), bucket_rows=10).select("batch_id", "input_ids")
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    gathered = [x for x in plan.splitlines() if "collect_list" in x]
+    assert gathered and not any("labels" in x for x in gathered)
+    assert sorted(i for r in out.collect() for (i, *_) in r.input_ids) == list(range(60))
